@@ -28,8 +28,37 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from loamframe.llm.token_store import store_tokens
+
+    return store_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from loamframe.llm.packing import pack_documents
+
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from loamframe.llm.duck_bpe import bpe_encode_decode
+
+    return bpe_encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from loamframe.llm.token_counts import document_token_counts
+
+    counts = document_token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
+    return counts.select("doc_id", "n_tokens")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_rules, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op7_token_counts, op8_exact_dedup)}
 
 
 _OP1 = r"""
