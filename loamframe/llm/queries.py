@@ -49,6 +49,13 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loamframe.llm.quality import score_quality
+
+    scored = score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from loamframe.llm.token_counts import document_token_counts
@@ -57,8 +64,20 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_tokens")
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loamframe.llm.jaccard import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loamframe.llm.substrings import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op7_token_counts, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op5_quality, op7_token_counts, op8_exact_dedup, op9_jaccard, op10_substrings)}
 
 
 _OP1 = r"""
@@ -83,5 +102,19 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 
+_OP10 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+m AS (SELECT run, min(doc_id) AS first_doc FROM x GROUP BY run),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM x JOIN m USING (run) WHERE first_doc < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS text FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id
+), n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_rules": _OP1, "op8_exact_dedup": _OP8}
+    return {"op1_url_rules": _OP1, "op8_exact_dedup": _OP8, "op10_substrings": _OP10}
