@@ -8,14 +8,16 @@ whole.  The result equals ``Tokenizer.encode(text, add_special_tokens=False)``.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 
-#: Chunks remembered by one worker; the memory is emptied when full.
-CACHE_CHUNKS = 400_000
+#: Chunks seen twice and chunks seen once that one worker remembers; each memory is emptied when full.
+HOT_CHUNKS, COLD_CHUNKS = 400_000, 250_000
 #: Characters cut at once.
 SEGMENT = 1 << 20
 
@@ -54,6 +56,16 @@ def word_chunk(key: str) -> str:
     return key
 
 
+#: The printable character that byte-level vocabularies write for each byte.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_MARKS = frozenset(".,!?;:)\"-")
+
+
+def _printed(word: str) -> str:
+    return word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+
+
 def segments(text: str) -> Iterator[str]:
     """Pieces of a long text, each but the first starting with a space."""
     at = 0
@@ -79,20 +91,83 @@ class ChunkEncoder:
         self.keys: Callable[[str], list[str] | None] = word_keys if word else byte_level_keys
         self.chunk = word_chunk if word else byte_level_chunk
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        self.word = word
+        self.bare = Tokenizer(self.tokenizer.model)  # for words that are already split and printed
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.marks = {m: self._whole(m) for m in _MARKS}
+        self.line = b"" if word else self._whole("\n")
+        self.hot: dict[str, bytes] = {}
+        self.cold: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, body: str) -> bool:
+        """Whether the tokenizer takes ``body`` as one word just as it stands."""
+        return body.isalpha() and (not self.word or (not _LATIN.search(body) and body == body.lower()))
+
+    def _encode_new(self, keys: list[str]) -> dict[str, bytes]:
+        """Ids of chunks.
+
+        Letters, perhaps with one mark after them, go to the model alone as the
+        words they are; other chunks go to the whole tokenizer.
+        """
+        code, marks, letters = self.code, self.marks, self._letters
+        simple, odd, built = [], [], []
+        for k in keys:
+            if letters(k):
+                simple.append(k)
+                continue
+            after = marks.get(k[-1:])
+            body = k if after is None else k[:-1]
+            before = b""
+            if body[:1] == "\n" and not self.word:
+                before, body = self.line, "\r" + body[1:]
+            if letters(body[1:] if body[:1] == "\r" and not self.word else body):
+                built.append((k, before, body, after or b""))
+            else:
+                odd.append(k)
+        hot, cold, own = self.hot, self.cold, set(simple)
+        words = simple + list({b for _, _, b, _ in built if b not in hot and b not in cold and b not in own})
+        space = "" if self.word else _BYTES[32]
+        printed = [_printed(w[1:]) if w[0] == "\r" else space + _printed(w) for w in words]
+        out = {w: array(code, e.ids).tobytes() for w, e in zip(words, self.bare.encode_batch_fast(printed, add_special_tokens=False), strict=True)}
+        for k, e in zip(odd, self.tokenizer.encode_batch_fast([self.chunk(k) for k in odd], add_special_tokens=False), strict=True):
+            out[k] = array(code, e.ids).tobytes()
+        for k, before, body, after in built:
+            ids = out.get(body) or hot.get(body) or cold[body]
+            out[k] = before + ids + after
+        return out
 
-    def _learn(self, missing: set[str]) -> None:
-        if len(self.cache) + len(missing) > CACHE_CHUNKS:
-            self.cache = {}
-        new = list(missing)
-        for key, e in zip(new, self.tokenizer.encode_batch_fast([self.chunk(k) for k in new], add_special_tokens=False), strict=True):
-            self.cache[key] = np.array(e.ids, self.dtype).tobytes()
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not hot; those seen before become so."""
+        cold, again, new = self.cold, {}, []
+        for k in missing:
+            ids = cold.pop(k, None)
+            if ids is None:
+                new.append(k)
+            else:
+                again[k] = ids
+        fresh = self._encode_new(new)
+        if len(self.hot) + len(again) > HOT_CHUNKS:
+            self.hot = {}
+        if len(cold) + len(fresh) > COLD_CHUNKS:
+            self.cold = {}
+        self.hot.update(again)
+        self.cold.update(fresh)
+        return again | fresh
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes; memory follows the group, not the list."""
+        collecting = gc.isenabled()
+        gc.disable()  # millions of small strings, no cycles
+        try:
+            return self._encode_all(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode_all(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         at = 0
         while at < len(texts):
@@ -109,13 +184,12 @@ class ChunkEncoder:
 
     def _group(self, texts: list[str]) -> list[bytes]:
         cut = [self.keys(t) for t in texts]
-        get = self.cache.get
+        get = self.hot.get
         found = [None if keys is None else list(map(get, keys)) for keys in cut]
         missing = {k for keys, ids in zip(cut, found, strict=True) if ids is not None and None in ids for k, i in zip(keys, ids, strict=True) if i is None}
         if not missing:
             return [self._whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, found, strict=True)]
-        self._learn(missing)
-        fresh = self.cache
+        fresh = self._learn(missing)
         out = []
         for t, keys, ids in zip(texts, cut, found, strict=True):
             if ids is None:
