@@ -56,6 +56,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loamframe.llm.vector_links import vector_links
+
+    return vector_links(_table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from loamframe.llm.token_counts import document_token_counts
@@ -77,7 +83,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op5_quality, op7_token_counts, op8_exact_dedup, op9_jaccard, op10_substrings)}
+    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op5_quality, op6_embedding_links, op7_token_counts, op8_exact_dedup, op9_jaccard, op10_substrings)}
 
 
 _OP1 = r"""
