@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.shared import materialise
+from loamframe.llm.shared import discard, materialise
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,7 +58,8 @@ def components(edges: DataFrame) -> DataFrame:
         lower = large.where("u > v")
         small = lower.groupBy("u").agg(F.min("v").alias("m"))
         rest = lower.join(small, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = materialise(rest.union(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        last, now = now, materialise(rest.union(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(now.sparkSession, last)
         state = _state(now)
         if state == before:
             break

@@ -8,8 +8,9 @@ prefixes are joined, the others' are intersected on the joined pairs, and what i
 left is verified on the sets.  Tokens of one document alone are never sent.
 
 Components are wanted, so a token's group is first joined as a star around one
-member; only members still in different components are paired further, until
-no untested pair is left.
+member; only members still in different components are compared further: all
+pairs of small token groups, and larger ones block against block, where sets meet
+in a task and only links that join components leave it.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from loamframe.llm.components import components
 from loamframe.llm.exchange import Answers, Block, exchange, read_blocks
-from loamframe.llm.shared import materialise, numbered, partitions, pinned
+from loamframe.llm.shared import discard, materialise, numbered, partitions, stable
 from loamframe.llm.words import grams, mix
 
 SHINGLE = 5
@@ -31,6 +32,10 @@ SHINGLE = 5
 THRESHOLD = 80
 #: Global token orders whose prefixes a pair must share.
 ORDERS = 3
+#: Largest token group whose pairs are listed; members of larger ones are compared in blocks of :data:`BLOCK`.
+SMALL, BLOCK = 12, 256
+#: Distinct tokens held at once when blocks are compared.
+COLUMNS = 8192
 #: Star rounds before the remaining cross-component pairs are listed.
 STARS = 2
 
@@ -83,50 +88,51 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = THRESH
         total = np.bincount(which, weights=numbers, minlength=len(values))
         return np.floor(np.log2(total))[which]
 
-    with pinned(spark):
-        rows = numbered(docs).select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text")
-        answers = exchange(rows.select("rid", "text"), tokens, frequency, lower=True)
-
-        def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            replies = Answers(answers)
-            for block in read_blocks(batches, True):
-                sets = block_sets(block, width)
-                firsts = _firsts(sets)
-                keys, _ = tokens(block)
-                classes = replies.of(block, keys)
-                rid = np.concatenate(block.rid)
-                doc_id = pa.concat_arrays([b.column("doc_id").slice(i, n) for b, i, n in block.rows])
-                shared, prefixes = [], [[] for _ in range(orders)]
-                for i, s in enumerate(sets):
-                    n = len(s)
-                    c = classes[np.searchsorted(keys, s)] if i == firsts[i] and n else np.zeros(0, np.uint8)
-                    common = np.count_nonzero(c)
-                    if not n or i != firsts[i] or common < _least_common(n, percent):
-                        shared.append(None)
-                        for p in prefixes:
-                            p.append(None)
-                        continue
-                    shared.append(s[c > 0].view(np.int64))
-                    p_len = n - _least_common(n, percent) + 1
-                    for k in range(orders):
-                        first = np.lexsort((mix(s, salt=k + 1), c))[:p_len]
-                        first = first[c[first] > 0]
-                        prefixes[k].append(s[first].view(np.int64))
-                kind = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_pydict({
-                    "rid": pa.array(rid, pa.int64()), "doc_id": doc_id, "n": pa.array([len(s) for s in sets], pa.int32()),
-                    "class": pa.array(rid[firsts], pa.int64()), "shared": pa.array(shared, kind),
-                    **{f"p{k}": pa.array(p, kind) for k, p in enumerate(prefixes)},
-                })
-
-        schema = "rid long, doc_id long, n int, class long, shared array<long>" + "".join(f", p{k} array<long>" for k in range(orders))
-        described = materialise(rows.mapInArrow(describe, schema), "described")
+    rows = numbered(stable(docs)).select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text")
+    answers = exchange(rows.select("rid", "text"), tokens, frequency, lower=True)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        replies = Answers(answers)
+        for block in read_blocks(batches, True):
+            sets = block_sets(block, width)
+            firsts = _firsts(sets)
+            keys, _ = tokens(block)
+            classes = replies.of(block, keys)
+            rid = np.concatenate(block.rid)
+            doc_id = pa.concat_arrays([b.column("doc_id").slice(i, n) for b, i, n in block.rows])
+            shared, prefixes = [], [[] for _ in range(orders)]
+            for i, s in enumerate(sets):
+                n = len(s)
+                c = classes[np.searchsorted(keys, s)] if i == firsts[i] and n else np.zeros(0, np.uint8)
+                common = np.count_nonzero(c)
+                if not n or i != firsts[i] or common < _least_common(n, percent):
+                    shared.append(None)
+                    for p in prefixes:
+                        p.append(None)
+                    continue
+                shared.append(s[c > 0].view(np.int64))
+                p_len = n - _least_common(n, percent) + 1
+                for k in range(orders):
+                    first = np.lexsort((mix(s, salt=k + 1), c))[:p_len]
+                    first = first[c[first] > 0]
+                    prefixes[k].append(s[first].view(np.int64))
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_pydict({
+                "rid": pa.array(rid, pa.int64()), "doc_id": doc_id, "n": pa.array([len(s) for s in sets], pa.int32()),
+                "class": pa.array(rid[firsts], pa.int64()), "shared": pa.array(shared, kind),
+                **{f"p{k}": pa.array(p, kind) for k, p in enumerate(prefixes)},
+            })
+
+    schema = "rid long, doc_id long, n int, class long, shared array<long>" + "".join(f", p{k} array<long>" for k in range(orders))
+    described = materialise(rows.mapInArrow(describe, schema), "described")
+    discard(spark, answers)
 
     links = _linked(described.where("shared is not null").select("class", "n", "shared", *[f"p{k}" for k in range(orders)]), percent, orders)
     group = components(links).select(F.col("node").alias("class"), F.col("component").alias("group"))
     members = described.select("rid", "doc_id", "n", "class").join(group, "class", "left")
     # documents of no group stand alone, copies inside a block under their class
     members = materialise(members.withColumn("group", F.when(F.col("n") == 0, F.col("rid")).otherwise(F.coalesce("group", "class"))), "members")
+    discard(spark, described, links)
     order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.col("rid").alias("row"), F.col("doc_id").alias("doc_id"))
     heads = members.groupBy("group").agg(F.min(order).alias("head"))
     return members.join(heads, "group").select(
@@ -135,70 +141,138 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = THRESH
 
 
 def _pair_up(star: bool, salt: int, percent: int):  # noqa: ANN202
-    """A function from (bucket of) token, class, n, group rows to candidate pairs."""
+    """A function from (bucket of) token, class, n, group rows to candidate pairs.
+
+    Stars pair the members of other groups with one member.  Otherwise small
+    token groups give all pairs across groups, and larger ones a star marked as a
+    family, whose members are compared in blocks.
+    """
 
     def pairs(table: pa.Table) -> pa.Table:
         token, cls, n, group = (table.column(c).to_numpy() for c in ("token", "class", "n", "group"))
         by = np.lexsort((n, mix(group.view(np.uint64), salt=salt), token))
         token, cls, n, group = token[by], cls[by], n[by].astype(np.int64), group[by]
         cuts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        ends = np.append(cuts[1:], len(token))
-        a, b = [], []
+        sizes = np.diff(np.append(cuts, len(token)))
+        head = np.repeat(cuts, sizes)
+        apart = group != group[head]
+        near = apart & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head]))
         if star:
-            head = np.repeat(cuts, ends - cuts)
-            near = (group != group[head]) & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head]))
-            a, b = [cls[head[near]]], [cls[near]]
+            found = [(cls[head[near]], cls[near], False)]
         else:
-            for i, j in zip(cuts.tolist(), ends.tolist(), strict=True):
-                if group[i] == group[j - 1] and (group[i:j] == group[i]).all():
-                    continue
-                for x in range(i, j - 1):
-                    y = slice(x + 1, j)
-                    near = (group[y] != group[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))
-                    b.append(cls[y][near])
-                    a.append(np.full(len(b[-1]), cls[x]))
-        a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a, b))
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
+            open_group = np.repeat(np.logical_or.reduceat(apart, cuts), sizes) if len(cuts) else apart
+            big = open_group & np.repeat(sizes > SMALL, sizes)
+            found = [(cls[head[big]], cls[big], True)]
+            some = open_group & ~big
+            for step in range(1, SMALL):  # each member with the one ``step`` places on
+                i = np.flatnonzero(some[:-step] & (head[:-step] == head[step:])) if len(some) > step else np.zeros(0, np.int64)
+                i = i[(group[i] != group[i + step]) & (100 * np.minimum(n[i], n[i + step]) >= percent * np.maximum(n[i], n[i + step]))]
+                found.append((cls[i], cls[i + step], False))
+        out = []
+        for a, b, family in found:
+            both = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+            both = np.unique(both[a != b], axis=0)
+            out.append(pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64()), "family": pa.array([family] * len(both), pa.bool_())}))
+        return pa.concat_tables(out)
 
     return pairs
 
 
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set on the left shares with each on the right."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    if not sum(map(len, left)) or not sum(map(len, right)):
+        return out
+    l_all, r_all = np.concatenate(left), np.concatenate(right)
+    values = np.intersect1d(l_all, r_all)
+    l_row, r_row = (np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right))
+    l_ok, r_ok = np.isin(l_all, values), np.isin(r_all, values)
+    l_row, l_at = l_row[l_ok], np.searchsorted(values, l_all[l_ok])
+    r_row, r_at = r_row[r_ok], np.searchsorted(values, r_all[r_ok])
+    for at in range(0, len(values), COLUMNS):
+        m, k = (np.zeros((len(x), min(COLUMNS, len(values) - at)), np.float32) for x in (left, right))
+        i, j = (l_at >= at) & (l_at < at + COLUMNS), (r_at >= at) & (r_at < at + COLUMNS)
+        m[l_row[i], l_at[i] - at] = 1
+        k[r_row[j], r_at[j] - at] = 1
+        out += m @ k.T
+    return out
+
+
+def _compare_blocks(percent: int, orders: int):  # noqa: ANN202
+    """A function from the members of two blocks of a family to links that join their groups."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        block = table.column("block").to_numpy()
+        lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+        a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        arrays = lambda name, at: [x.values.to_numpy() for x in table.column(name).take(pa.array(at)).combine_chunks()]
+        n, group, cls = table.column("n").to_numpy().astype(np.int64), table.column("group").to_numpy(), table.column("class").to_numpy()
+        able = group[a][:, None] != group[b][None, :]
+        for k in range(orders):
+            able &= _common(arrays(f"p{k}", a), arrays(f"p{k}", b)) > 0
+        common = _common(arrays("shared", a), arrays("shared", b)).astype(np.int64)
+        able &= 100 * common >= percent * (n[a][:, None] + n[b][None, :] - common)
+        top: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while top.get(x, x) != x:
+                x = top[x]
+            return x
+
+        links = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(able)), strict=True):
+            u, v = root(int(group[a[i]])), root(int(group[b[j]]))
+            if u != v:
+                top[max(u, v)] = min(u, v)
+                links.append((cls[a[i]], cls[b[j]]))
+        return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([y for _, y in links], pa.int64())})
+
+    return compare
+
+
+def _families(edges: DataFrame, sets: DataFrame, group: DataFrame | None, percent: int, orders: int) -> DataFrame:
+    """Links inside families (``a``, ``b`` chain their members), found block against block."""
+    members = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnsRenamed({"node": "class", "component": "fam"})
+    size = members.groupBy("fam").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    held = members.join(size, "fam").join(sets, "class")
+    held = held.withColumn("group", F.col("class")) if group is None else held.join(group, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    held = held.withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    held = held.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
+    return held.groupBy("fam", "lo", "hi").applyInArrow(_compare_blocks(percent, orders), "u long, v long")
+
+
 def _linked(sets: DataFrame, percent: int, orders: int) -> DataFrame:
     """Links (``u``, ``v``) that connect all pairs of sets as similar as ``percent``."""
     spark = sets.sparkSession
     index = sets.select(F.explode("p0").alias("token"), "class", "n")
     buckets = 4 * max(partitions(spark), sets.rdd.getNumPartitions())
-    empty = spark.createDataFrame([], "u long, v long")
-    links, tested, group = empty, spark.createDataFrame([], "a long, b long"), None
+    links, tested, group = spark.createDataFrame([], "u long, v long"), spark.createDataFrame([], "a long, b long"), None
+
+    def side(x: str) -> DataFrame:
+        return sets.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("shared").alias(f"s_{x}"), *[F.col(f"p{k}").alias(f"p{k}_{x}") for k in range(1, orders)])
+
     for turn in range(STARS + 1):
         star = turn < STARS
         rows = index.withColumn("group", F.col("class")) if group is None else index.join(group, "class", "left").withColumn("group", F.coalesce("group", "class"))
-        pairs = rows.groupBy(F.pmod("token", F.lit(buckets))).applyInArrow(_pair_up(star, turn + 1, percent), "a long, b long").distinct()
-        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if star:
-                continue
-            break
-        side = lambda x: sets.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("shared").alias(f"s_{x}"), *[F.col(f"p{k}").alias(f"p{k}_{x}") for k in range(1, orders)])
+        found = materialise(rows.groupBy(F.pmod("token", F.lit(buckets))).applyInArrow(_pair_up(star, turn + 1, percent), "a long, b long, family boolean").distinct(), "pairs")
+        pairs = found.where("not family").select("a", "b").join(tested, ["a", "b"], "left_anti")
         both = pairs.join(side("b"), "b").join(side("a"), "a")
         for k in range(1, orders):  # intersect the filters before any set is compared
             both = both.where(F.arrays_overlap(f"p{k}_a", f"p{k}_b"))
         common = F.size(F.array_intersect("s_a", "s_b"))
-        found = both.withColumn("common", common).where((100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))))
-        links = materialise(links.union(found.select(F.col("a").alias("u"), F.col("b").alias("v"))), "links")
+        good = both.withColumn("common", common).where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common")))
+        new = good.select(F.col("a").alias("u"), F.col("b").alias("v"))
         if not star:
-            break
-        tested = tested.union(pairs)
-        group = components(links).select(F.col("node").alias("class"), F.col("component").alias("group"))
+            new = new.union(_families(found.where("family"), sets, group, percent, orders))
+        links = materialise(links.union(new), "links")
+        if star:
+            tested = tested.union(found.select("a", "b"))
+            group = components(links).select(F.col("node").alias("class"), F.col("component").alias("group"))
     return links
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near duplicates of an earlier one, with all their columns."""
-    decisions = near_duplicates(docs)
-    with pinned(docs.sparkSession):
-        gone = decisions.where("not kept").select("rid")
-        return materialise(numbered(docs).join(gone, "rid", "left_anti").select(*[f"`{c}`" for c in docs.columns]), "kept")
-
-
+    docs = stable(docs)
+    gone = materialise(near_duplicates(docs).where("not kept").select("rid"), "gone")
+    return numbered(docs, "rid ").join(gone.withColumnRenamed("rid", "rid "), "rid ", "left_anti").drop("rid ")
