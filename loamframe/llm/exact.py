@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loamframe.llm import golomb
-from loamframe.llm.shared import materialise, numbered, partitions, pinned, text_or_empty
+from loamframe.llm.shared import discard, materialise, numbered, partitions, stable, text_or_empty
 
 #: log2 of the bits in the suspect filter that scans consult: 8 MB, however large the table.
 FILTER_BITS = 26
@@ -99,22 +99,21 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     owners = max(partitions(spark), docs.rdd.getNumPartitions())
-    with pinned(spark):
-        rows = numbered(docs).select("rid", "doc_id", text_or_empty().alias("text"))
-        table = materialise(rows.select("rid", "doc_id", F.xxhash64("text").alias("fp"), F.sha2("text", 256).alias("sha"), F.spark_partition_id().alias("block")), "prints")
-        found = materialise(suspects(table.select("block", "fp"), owners).distinct(), "suspects")
-        shared = spark.sparkContext.broadcast(bit_filter(found))
-
-        @F.pandas_udf(T.BooleanType())
-        def may_be_suspect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            bits = shared.value
-            for fp in batches:
-                slot = fp.to_numpy() & ((1 << FILTER_BITS) - 1)
-                yield pd.Series((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1)
-
-        texts = rows.select(F.xxhash64("text").alias("fp"), "text").where(may_be_suspect("fp"))
-        same = texts.groupBy("fp", "text").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        same = materialise(same.select("fp", F.sha2("text", 256).alias("sha")), "verified")
+    rows = numbered(stable(docs)).select("rid", "doc_id", text_or_empty().alias("text"))
+    table = materialise(rows.select("rid", "doc_id", F.xxhash64("text").alias("fp"), F.sha2("text", 256).alias("sha"), F.spark_partition_id().alias("block")), "prints")
+    found = materialise(suspects(table.select("block", "fp"), owners).distinct(), "suspects")
+    shared = spark.sparkContext.broadcast(bit_filter(found))
+
+    @F.pandas_udf(T.BooleanType())
+    def may_be_suspect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bits = shared.value
+        for fp in batches:
+            slot = fp.to_numpy() & ((1 << FILTER_BITS) - 1)
+            yield pd.Series((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1)
+
+    texts = rows.select(F.xxhash64("text").alias("fp"), "text").where(may_be_suspect("fp"))
+    same = texts.groupBy("fp", "text").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    same = materialise(same.select("fp", F.sha2("text", 256).alias("sha")), "verified")
     members = table.join(same, ["fp", "sha"], "left_semi")
     best = members.groupBy("fp", "sha").agg(F.max(F.struct(F.col("doc_id"), F.col("rid").alias("best"))).alias("top"), F.count(F.lit(1)).alias("n"))
     return table.join(best, ["fp", "sha"], "left").select(
@@ -128,8 +127,6 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    spark = docs.sparkSession
-    decisions = exact_duplicates(docs)
-    with pinned(spark):
-        gone = decisions.where("not kept").select("rid")
-        return materialise(numbered(docs).join(gone, "rid", "left_anti").select(*[f"`{c}`" for c in docs.columns]), "kept")
+    docs = stable(docs)
+    gone = materialise(exact_duplicates(docs).where("not kept").select("rid"), "gone")
+    return numbered(docs, "rid ").join(gone.withColumnRenamed("rid", "rid "), "rid ", "left_anti").drop("rid ")

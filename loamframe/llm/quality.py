@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.shared import materialise, numbered, pinned, text_or_empty
+from loamframe.llm.shared import materialise, numbered, stable, text_or_empty
 
 #: Most labelled rows that trees are grown on: those of least hash.
 MAX_TRAIN = 20_000
@@ -173,10 +173,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
         for b in batches:
             yield pd.DataFrame({"rid": b["rid"], "id": b["id"], "x": [statistics(t) for t in b["text"]]})
 
-    with pinned(spark):
-        rows = numbered(docs).select("rid", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text_or_empty().alias("text"))
-        described = rows.mapInPandas(describe, "rid long, id long, x array<float>")
-        table = materialise(described.select("rid", F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "x"), "statistics")
+    rows = numbered(stable(docs)).select("rid", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text_or_empty().alias("text"))
+    described = rows.mapInPandas(describe, "rid long, id long, x array<float>")
+    table = materialise(described.select("rid", F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "x"), "statistics")
     known = labels.where("quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     train = table.where(~held_out(F.col("doc_id"))).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "rid").limit(max_train).select("x", "quality").toPandas()
     x = np.array(train["x"].tolist(), np.float64).reshape(len(train), len(STATISTICS))
@@ -192,8 +191,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
-    spark = docs.sparkSession
-    scored = score_quality(docs, labels)
-    with pinned(spark):
-        gone = materialise(scored.where("predicted = 0").select("rid"), "rejected")
-        return materialise(numbered(docs).join(gone, "rid", "left_anti").select(*[f"`{c}`" for c in docs.columns]), "good")
+    docs = stable(docs)
+    gone = materialise(score_quality(docs, labels).where("predicted = 0").select("rid"), "rejected")
+    return numbered(docs, "rid ").join(gone.withColumnRenamed("rid", "rid "), "rid ", "left_anti").drop("rid ")

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,31 +39,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts lineage."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
 
 
-def drop_scratch(spark: SparkSession, path: str) -> None:
-    """Remove a scratch path through Spark's own file system layer."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+def discard(spark: SparkSession, *paths: str | DataFrame) -> None:
+    """Remove scratch paths, or what :func:`materialise` wrote, through Spark's own file systems."""
+    for x in paths:
+        path = x if isinstance(x, str) else getattr(x, "scratch_path", None)
+        if path:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def path_of(df: DataFrame) -> str:
-    """The scratch path of a DataFrame that :func:`materialise` returned."""
-    return df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else ""
-
-
-@contextlib.contextmanager
-def pinned(spark: SparkSession) -> Iterator[None]:
-    """Hold :data:`PINNED` while a pass over stable blocks runs."""
-    before = {k: spark.conf.get(k, None) for k in PINNED}
+def pin(spark: SparkSession) -> None:
+    """Hold :data:`PINNED` from now on: results are lazy and scan again when they are read."""
     for k, v in PINNED.items():
         spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -83,14 +74,17 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def numbered(docs: DataFrame, name: str = "rid") -> DataFrame:
-    """``docs`` with a row number that a second pass finds again.
+def stable(docs: DataFrame) -> DataFrame:
+    """``docs`` as a plan that deals out rows alike each time it runs, under :data:`PINNED`.
 
-    Rows are numbered by their place in the scan, which two passes under
-    :func:`pinned` see alike.  A plan that shuffles or runs Python may deal rows
-    out differently each time, so it is written to the shared folder first.
+    A plan that shuffles or runs Python may not, so it is written to the shared
+    folder first.
     """
+    pin(docs.sparkSession)
     plan = docs._jdf.queryExecution().executedPlan().toString()
-    if any(x in plan for x in ("Exchange", "Python", "Pandas", "Arrow", "Sample")):
-        docs = materialise(docs, "docs")
+    return materialise(docs, "docs") if any(x in plan for x in ("Exchange", "Python", "Pandas", "Arrow", "Sample")) else docs
+
+
+def numbered(docs: DataFrame, name: str = "rid") -> DataFrame:
+    """:func:`stable` rows with their place in the scan, which a second pass finds again."""
     return docs.withColumn(name, F.monotonically_increasing_id())

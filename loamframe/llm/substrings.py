@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamframe.llm.exchange import Answers, Block, exchange, read_blocks
-from loamframe.llm.shared import materialise, numbered, pinned
+from loamframe.llm.shared import numbered, stable
 from loamframe.llm.words import grams
 
 WINDOW = 13
@@ -124,71 +124,70 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, carr
         np.minimum.at(least, which, numbers)
         return least[which] < numbers
 
-    with pinned(spark):
-        rows = numbered(docs).select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in carry]).alias("row"))
-        seeds = exchange(rows.select("rid", "text"), p.anchors, several, lower=False)
-
-        def windows(block: Block) -> tuple[np.ndarray, np.ndarray]:
-            return p.least_ids(list(p.shared(block, Answers(seeds))), _ids(block))
-
-        repeats = exchange(rows.select("rid", "doc_id", "text"), windows, smaller_elsewhere, lower=False)
-
-        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            first, second = Answers(seeds), Answers(repeats)
-            for block in read_blocks(batches, False, keep_bytes=True):
-                ids = _ids(block)
-                found = list(p.shared(block, first))
-                keys, least = p.least_ids(found, ids)
-                elsewhere = second.of(block, keys) > 0
-                base = 0
-                for (data, starts, ends, h, at), (w, r, g), (batch, i, n) in zip(block.parts, found, block.rows, strict=True):
-                    k = np.searchsorted(keys, g)
-                    hit = w[elsewhere[k] | (least[k] < ids[r])] if len(w) else w
-                    cover = np.zeros(len(h) + 1, np.int64)
-                    cover[hit] += 1
-                    np.subtract.at(cover, hit + window, 1)
-                    gone = np.cumsum(cover[:-1]) > 0
-                    yield _rows(data, starts, ends, at, gone, batch, i, n)
-                    base += n
-
-        def _rows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, gone: np.ndarray, batch: pa.RecordBatch, i: int, n: int) -> pa.RecordBatch:
-            counts = np.diff(at)
-            row = np.repeat(np.arange(n), counts)
-            kept = np.flatnonzero(~gone)
-            joined = np.concatenate([[False], row[kept][1:] == row[kept][:-1]]) if len(kept) else np.zeros(0, bool)
-            edge = np.zeros(len(data) + 1, np.int64)
-            out = np.array(data)
-            s, e = starts[kept], ends[kept]
-            spaces = s[joined] - 1  # the byte before a word that is not its text's first is white space
-            out[spaces] = 0x20
-            np.add.at(edge, s - joined, 1)
-            np.subtract.at(edge, e, 1)
-            text = out[np.cumsum(edge[:-1]) > 0].tobytes()
-            size = np.bincount(row[kept], weights=(e - s) + joined, minlength=n).astype(np.int64)
-            cuts = np.concatenate([[0], np.cumsum(size)]).tolist()
-            texts = [text[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            removed = np.bincount(row[gone], minlength=n)
-            turn = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
-            spans: list[list[dict[str, int]]] = [[] for _ in range(n)]
-            for a, b in zip(np.flatnonzero(turn == 1).tolist(), np.flatnonzero(turn == -1).tolist(), strict=True):
-                while a < b:  # a run may cross from one row to the next
-                    stop = min(b, int(at[row[a] + 1]))
-                    spans[row[a]].append({"first": a - int(at[row[a]]), "last": stop - 1 - int(at[row[a]])})
-                    a = stop
-            part = batch.slice(i, n)
-            return pa.RecordBatch.from_pydict({
-                "rid": part.column("rid"), "doc_id": part.column("doc_id"),
-                "n_words": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-                "kept_text": pa.array(texts, pa.string()), "kept_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in texts],
-                "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
-                "row": part.column("row"),
-            })
-
-        kind = rows.schema["row"].dataType.simpleString()
-        schema = f"rid long, doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first:int,last:int>>, row {kind}"
-        done = rows.mapInArrow(cut, schema)
-        wanted = ["rid", "doc_id", "n_words", "n_removed", "kept_sha256", "spans"]
-        return materialise(done.select(*wanted, *["kept_text"] * texts, *["row"] * bool(carry)), "cut")
+    rows = numbered(stable(docs)).select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in carry]).alias("row"))
+    seeds = exchange(rows.select("rid", "text"), p.anchors, several, lower=False)
+
+    def windows(block: Block) -> tuple[np.ndarray, np.ndarray]:
+        return p.least_ids(list(p.shared(block, Answers(seeds))), _ids(block))
+
+    repeats = exchange(rows.select("rid", "doc_id", "text"), windows, smaller_elsewhere, lower=False)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, second = Answers(seeds), Answers(repeats)
+        for block in read_blocks(batches, False, keep_bytes=True):
+            ids = _ids(block)
+            found = list(p.shared(block, first))
+            keys, least = p.least_ids(found, ids)
+            elsewhere = second.of(block, keys) > 0
+            base = 0
+            for (data, starts, ends, h, at), (w, r, g), (batch, i, n) in zip(block.parts, found, block.rows, strict=True):
+                k = np.searchsorted(keys, g)
+                hit = w[elsewhere[k] | (least[k] < ids[r])] if len(w) else w
+                cover = np.zeros(len(h) + 1, np.int64)
+                cover[hit] += 1
+                np.subtract.at(cover, hit + window, 1)
+                gone = np.cumsum(cover[:-1]) > 0
+                yield _rows(data, starts, ends, at, gone, batch, i, n)
+                base += n
+
+    def _rows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, gone: np.ndarray, batch: pa.RecordBatch, i: int, n: int) -> pa.RecordBatch:
+        counts = np.diff(at)
+        row = np.repeat(np.arange(n), counts)
+        kept = np.flatnonzero(~gone)
+        joined = np.concatenate([[False], row[kept][1:] == row[kept][:-1]]) if len(kept) else np.zeros(0, bool)
+        edge = np.zeros(len(data) + 1, np.int64)
+        out = np.array(data)
+        s, e = starts[kept], ends[kept]
+        spaces = s[joined] - 1  # the byte before a word that is not its text's first is white space
+        out[spaces] = 0x20
+        np.add.at(edge, s - joined, 1)
+        np.subtract.at(edge, e, 1)
+        text = out[np.cumsum(edge[:-1]) > 0].tobytes()
+        size = np.bincount(row[kept], weights=(e - s) + joined, minlength=n).astype(np.int64)
+        cuts = np.concatenate([[0], np.cumsum(size)]).tolist()
+        texts = [text[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        removed = np.bincount(row[gone], minlength=n)
+        turn = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+        spans: list[list[dict[str, int]]] = [[] for _ in range(n)]
+        for a, b in zip(np.flatnonzero(turn == 1).tolist(), np.flatnonzero(turn == -1).tolist(), strict=True):
+            while a < b:  # a run may cross from one row to the next
+                stop = min(b, int(at[row[a] + 1]))
+                spans[row[a]].append({"first": a - int(at[row[a]]), "last": stop - 1 - int(at[row[a]])})
+                a = stop
+        part = batch.slice(i, n)
+        return pa.RecordBatch.from_pydict({
+            "rid": part.column("rid"), "doc_id": part.column("doc_id"),
+            "n_words": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+            "kept_text": pa.array(texts, pa.string()), "kept_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in texts],
+            "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
+            "row": part.column("row"),
+        })
+
+    kind = rows.schema["row"].dataType.simpleString()
+    schema = f"rid long, doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first:int,last:int>>, row {kind}"
+    done = rows.mapInArrow(cut, schema)
+    wanted = ["rid", "doc_id", "n_words", "n_removed", "kept_sha256", "spans"]
+    return done.select(*wanted, *["kept_text"] * texts, *["row"] * bool(carry))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

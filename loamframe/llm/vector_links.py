@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamframe.llm.components import components
-from loamframe.llm.shared import materialise, numbered, pinned
+from loamframe.llm.shared import materialise, numbered, stable
 
 THRESHOLD = 0.93
 #: Vectors to a shard, about, and queries sent to a shard together.
@@ -152,8 +152,7 @@ def vector_links(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows are vectors of their own and link with each other.
     """
     spark = rows.sparkSession
-    with pinned(spark):
-        all_rows = materialise(numbered(rows).select("rid", F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("v")), "vectors")
+    all_rows = materialise(numbered(stable(rows)).select("rid", F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("v")), "vectors")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     usable = all_rows.where("label is not null and v is not null and size(v) > 0").where(~F.exists("v", bad)).where(F.exists("v", lambda x: x != 0))
     classes = materialise(usable.groupBy("label", "v").agg(F.min("rid").alias("node"), F.count(F.lit(1)).alias("copies")), "classes")
