@@ -12,7 +12,7 @@ from loamframe.llm.exact import drop_exact_duplicates
 from loamframe.llm.jaccard import keep_one_of_each
 from loamframe.llm.packing import pack_documents
 from loamframe.llm.quality import keep_good
-from loamframe.llm.shared import materialise
+from loamframe.llm.shared import discard, materialise
 from loamframe.llm.substrings import without_repeats
 
 
@@ -52,5 +52,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        last, docs = docs, materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(spark, last)
     return docs
