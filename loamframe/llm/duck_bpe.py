@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from loamframe.llm.chunks import SEGMENT, byte_level_chunk, byte_level_keys, segments
 from loamframe.llm.shared import text_or_empty
 
-#: Chunks remembered by one worker.
+#: Chunks that one worker remembers; when full they become the older memory, of which what is met again is kept.
 CACHE_CHUNKS = 300_000
 #: Bytes of new words contracted by one query, and ids decoded by one.
 WORD_BYTES, DECODE_IDS = 1 << 18, 1 << 19
@@ -99,6 +99,7 @@ class DuckBpe:
         self.db.unregister("merges_in")
         self.db.unregister("vocabulary_in")
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _contract(self, words: list[bytes]) -> list[bytes]:
         """Ids (little-endian, 32 bits) of each word."""
@@ -126,8 +127,12 @@ class DuckBpe:
         return out
 
     def _learn(self, missing: list[str], plain: bool) -> None:
+        older = self.older
+        again = {k: older[k] for k in missing if k in older}
         if len(self.chunks) + len(missing) > CACHE_CHUNKS:
-            self.chunks = {}
+            self.older, self.chunks = self.chunks, {}
+        self.chunks.update(again)
+        missing = [k for k in missing if k not in again]
         cut = [[w.encode() for w in self.pattern.findall(c if plain else byte_level_chunk(c))] for c in missing]
         known: dict[bytes, bytes] = {}
         todo = []
