@@ -82,6 +82,18 @@ def classify_reads(hits: DataFrame) -> DataFrame:
     return hits.groupBy("read_id").agg(ordered.alias("hits"), F.count(F.lit(1)).alias("hit_count")).select("read_id", "hit_count", F.aggregate("hits", start, step).alias("path")).withColumn("tax_id", F.element_at("path", -1))
 
 
+def merge_pairs(mates: DataFrame) -> DataFrame:
+    """One row per read of ``mates`` (``sample``, ``read_id``, ``mate``, ``path``, ``length``).
+
+    The mates' taxa meet at their lowest common ancestor and their lengths add
+    up; an unclassified mate (null path) leaves the other's taxon.
+    """
+    path = lambda k: F.max(F.when(F.col("mate") == k, F.col("path")))
+    both = mates.groupBy("sample", "read_id").agg(path(1).alias("a"), path(2).alias("b"), F.sum("length").alias("length"))
+    met = F.coalesce(lowest_common_ancestor(F.col("a"), F.col("b")), F.col("a"), F.col("b"))
+    return both.select("sample", "read_id", F.try_element_at(met, F.lit(-1)).alias("tax_id"), met.alias("path"), "length")
+
+
 def prevalence_counts(counts: DataFrame, samples: DataFrame) -> DataFrame:
     """Per taxon, in how many control and other samples it is present and absent."""
     totals = samples.agg(F.count_if("is_control").alias("controls"), F.count_if(~F.col("is_control")).alias("others"))
