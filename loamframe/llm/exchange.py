@@ -24,7 +24,7 @@ from loamframe.llm.shared import open_fs, partitions, scratch
 from loamframe.llm.words import text_slices, words
 
 #: Words in a block, about; a longer document is a block of its own.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 #: ``rid`` holds the scan partition above these bits.
 ROW_BITS = 33
 
