@@ -16,6 +16,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
+from loamframe.llm.shared import CACHES
+
 #: Chunks seen twice and chunks seen once that one worker remembers; each memory is emptied when full.
 HOT_CHUNKS, COLD_CHUNKS = 400_000, 250_000
 #: Characters cut at once.
@@ -202,6 +204,7 @@ class ChunkEncoder:
 
 
 _encoders: dict[str, ChunkEncoder] = {}
+CACHES.append(_encoders)
 
 
 def encoder(path: str) -> ChunkEncoder:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamframe.llm import golomb
-from loamframe.llm.shared import open_fs, partitions, scratch
+from loamframe.llm.shared import give_back, open_fs, partitions, scratch
 from loamframe.llm.words import text_slices, words
 
 #: Words in a block, about; a longer document is a block of its own.
@@ -46,7 +46,9 @@ def read_blocks(batches: Iterator[pa.RecordBatch], lower: bool, keep_bytes: bool
 
     ``parts`` of a block has (bytes, starts, ends, word hashes, first word of each
     row and the end) for each slice; bytes are kept only if asked.
+    What an earlier task left in the worker, and then each block, is given back.
     """
+    give_back(caches=True)
     block = None
     for batch in batches:
         if batch.num_rows == 0:
@@ -65,8 +67,11 @@ def read_blocks(batches: Iterator[pa.RecordBatch], lower: bool, keep_bytes: bool
             if block.size >= BLOCK_WORDS:
                 yield block
                 block = Block(block.pid, block.sub + 1)
+                give_back()
     if block is not None and block.rid:
         yield block
+        block = None
+    give_back()
 
 
 def exchange(

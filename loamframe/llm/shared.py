@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -15,6 +16,25 @@ PINNED = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
+#: What modules keep in a worker from task to task, for :func:`give_back`.
+CACHES: list[dict] = []
+
+
+def give_back(caches: bool = False) -> None:
+    """Return memory that a worker has freed to the system; with ``caches``, drop :data:`CACHES` first.
+
+    Workers are used again by the next operator's tasks, which need the room.
+    """
+    import pyarrow as pa
+
+    if caches:
+        for c in CACHES:
+            c.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
