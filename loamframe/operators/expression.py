@@ -18,6 +18,15 @@ def cpm(counts: DataFrame) -> DataFrame:
     return counts.join(totals, "sample").select("gene", "sample", "n", F.try_divide(F.col("n") * 1e6, F.col("library_size")).alias("cpm"))
 
 
+def log_cpm(counts: DataFrame, prior: float = 2.0) -> DataFrame:
+    """Log2 counts per million with a prior count scaled by the library's size."""
+    totals = counts.groupBy("sample").agg(F.sum("n").alias("size"))
+    mean = totals.agg(F.avg("size").alias("mean"))
+    sizes = totals.join(F.broadcast(mean)).withColumn("p", F.try_divide(prior * F.col("size"), F.col("mean")))
+    value = F.log2(F.try_divide((F.col("n") + F.col("p")) * 1e6, F.col("size") + 2 * F.col("p")))
+    return counts.join(sizes, "sample").select("gene", "sample", value.alias("log_cpm"))
+
+
 def low_count_filter(counts: DataFrame, least_cpm: float, least_samples: int) -> DataFrame:
     """Genes above ``least_cpm`` in at least ``least_samples`` samples, with the number of those."""
     return cpm(counts).groupBy("gene").agg(F.count_if(F.col("cpm") > least_cpm).alias("samples_above")).where(F.col("samples_above") >= least_samples)

@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamframe.operators import enrichment as E
 from loamframe.operators import expression as X
+from loamframe.operators import intervals as I
 from loamframe.operators import taxonomy as T
 from loamframe.streaming.status import stage_status as status
 
@@ -125,7 +127,33 @@ def stage_status(spark: SparkSession, d: str) -> DataFrame:
     return status(_table(spark, d, "events").select(F.col("event_type").alias("stage"), F.col("value").alias("size")))
 
 
-_ALL = (clade_report, decontaminated_report, domain_composition, classify_lca, prevalence_counts, merge_counts, cpm, low_count_filter, size_factors, gene_zscore, welch_stats, bh_adjust, bonferroni, prevalence_filter, variance_filter, coverage_summary, relative_abundance_top10, stage_status)
+def log_cpm(spark: SparkSession, d: str) -> DataFrame:
+    return X.log_cpm(_counts(spark, d)).withColumn("log_cpm", F.round("log_cpm", 4))
+
+
+def _gene_totals(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("comparison"), F.col("l_partkey").alias("gene")).agg(F.sum("l_quantity").alias("n"))
+
+
+def _sets(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "part").select(F.concat_ws(" ", "p_type", "p_size").alias("term"), F.col("p_partkey").alias("gene"))
+
+
+def overlap_counts(spark: SparkSession, d: str) -> DataFrame:
+    return E.overlap_counts(_gene_totals(spark, d).withColumn("hit", F.col("n") > 250), _sets(spark, d))
+
+
+def enrichment_scores(spark: SparkSession, d: str) -> DataFrame:
+    return E.enrichment_scores(_gene_totals(spark, d).withColumn("stat", F.col("n") - 200), _sets(spark, d), 2, 500).withColumn("score", F.round("score", 4))
+
+
+def feature_counts(spark: SparkSession, d: str) -> DataFrame:
+    reads = _table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("read"), F.col("l_linestatus").alias("contig"), F.floor("l_extendedprice").alias("start"), F.floor(F.col("l_extendedprice") + F.col("l_quantity")).alias("end"))
+    exons = _table(spark, d, "part").select(F.col("p_partkey").alias("gene"), F.when(F.col("p_partkey") % 2 == 0, "F").otherwise("O").alias("contig"), (F.col("p_partkey") * 37).alias("start"), (F.col("p_partkey") * 37 + F.col("p_size") * 10).alias("end"))
+    return I.count_features(reads, exons)
+
+
+_ALL = (log_cpm, overlap_counts, enrichment_scores, feature_counts, clade_report, decontaminated_report, domain_composition, classify_lca, prevalence_counts, merge_counts, cpm, low_count_filter, size_factors, gene_zscore, welch_stats, bh_adjust, bonferroni, prevalence_filter, variance_filter, coverage_summary, relative_abundance_top10, stage_status)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -134,6 +162,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _COUNTS = "WITH counts AS (SELECT p_brand AS gene, l_suppkey AS sample, sum(l_quantity) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"
 _GROUPS = "groups AS (SELECT s_suppkey AS sample, r_name AS grp FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
+_TOTALS = "WITH g AS (SELECT l_returnflag AS comparison, l_partkey AS gene, sum(l_quantity) AS n FROM lineitem GROUP BY 1, 2), sets AS (SELECT p_type || ' ' || p_size AS term, p_partkey AS gene FROM part)"
 _SPARSE = "WITH counts AS (SELECT l_partkey AS gene, l_suppkey AS sample, sum(l_quantity) AS n FROM lineitem GROUP BY 1, 2)"
 
 
@@ -156,6 +185,23 @@ SELECT sample, tax_id, rank, name, depth, clade_reads::BIGINT AS clade_reads, di
 def oracle_sql() -> dict[str, str]:
     plain = _report("count(*)")
     return {
+        "log_cpm": f"""
+{_COUNTS}, t AS (SELECT sample, sum(n) AS size FROM counts GROUP BY 1), p AS (SELECT sample, size, 2 * size / (SELECT avg(size) FROM t) AS p FROM t)
+SELECT gene, sample, round(log2((n + p) * 1e6 / (size + 2 * p)), 4) AS log_cpm FROM counts JOIN p USING (sample)""",
+        "overlap_counts": f"""
+{_TOTALS} SELECT comparison, term, count(*) FILTER (n > 250) AS set_hits, count(*) AS set_size, any_value(hits) AS hits, any_value(universe) AS universe
+FROM g JOIN sets USING (gene) JOIN (SELECT comparison, count(*) FILTER (n > 250) AS hits, count(*) AS universe FROM g GROUP BY 1) USING (comparison) GROUP BY 1, 2""",
+        "enrichment_scores": f"""
+{_TOTALS}, r AS (SELECT comparison, gene, n - 200 AS stat, row_number() OVER (PARTITION BY comparison ORDER BY n DESC, gene) AS rank, count(*) OVER (PARTITION BY comparison) AS genes FROM g),
+z AS (SELECT comparison, term, count(*) AS k, sum(abs(stat)) AS s FROM r JOIN sets USING (gene) GROUP BY 1, 2 HAVING count(*) BETWEEN 2 AND 500 AND sum(abs(stat)) > 0),
+f AS (SELECT r.comparison, z.term, rank, k, CASE WHEN x.gene IS NOT NULL THEN abs(stat) / s ELSE -1.0 / (genes - k) END AS step FROM r JOIN z USING (comparison) LEFT JOIN sets x ON x.term = z.term AND x.gene = r.gene WHERE k < genes),
+c AS (SELECT *, sum(step) OVER (PARTITION BY comparison, term ORDER BY rank ROWS UNBOUNDED PRECEDING) AS run FROM f)
+SELECT comparison, term, any_value(k) AS set_size, round(CASE WHEN max(run) >= -min(run) THEN max(run) ELSE min(run) END, 4) AS score FROM c GROUP BY 1, 2""",
+        "feature_counts": """
+WITH a AS (SELECT l_orderkey * 10 + l_linenumber AS read, l_linestatus AS contig, floor(l_extendedprice) AS s, floor(l_extendedprice + l_quantity) AS e FROM lineitem),
+x AS (SELECT p_partkey AS gene, CASE WHEN p_partkey % 2 = 0 THEN 'F' ELSE 'O' END AS contig, p_partkey * 37 AS s, p_partkey * 37 + p_size * 10 AS e FROM part),
+m AS (SELECT read, min(gene) AS gene FROM a JOIN x ON a.contig = x.contig AND a.s <= x.e AND x.s <= a.e GROUP BY read HAVING count(DISTINCT gene) = 1)
+SELECT gene, count(*) AS n FROM m GROUP BY 1""",
         "clade_report": plain,
         "decontaminated_report": _report("CASE WHEN s % 10 = 3 THEN 0 ELSE count(*) END"),
         "domain_composition": f"""
