@@ -1,7 +1,8 @@
 """Exchanges of compressed hash sets between scan blocks and the owners of hash ranges.
 
 A block is a run of documents of one scan partition with about
-:data:`BLOCK_WORDS` words.  Each block sends its sorted distinct hashes, Golomb
+:data:`BLOCK_WORDS` words.  It ends after a document, wherever Arrow batches end:
+passes that read other columns get other batches.  Each block sends its sorted distinct hashes, Golomb
 coded, to the owners of their ranges, perhaps with a number for each; an owner
 combines what all blocks sent and answers every block with one byte for each of
 its hashes.  Answers lie in the shared folder, by scan partition, where the next
@@ -23,8 +24,10 @@ from loamframe.llm import golomb
 from loamframe.llm.shared import give_back, open_fs, partitions, scratch
 from loamframe.llm.words import text_slices, words
 
-#: Words in a block, about; a longer document is a block of its own.
+#: Words in a block, about; a block ends with the document that reaches this.
 BLOCK_WORDS = 1_000_000
+#: Bytes of text in a block, about, however few words they hold.
+BLOCK_BYTES = 1 << 26
 #: ``rid`` holds the scan partition above these bits.
 ROW_BITS = 33
 
@@ -39,10 +42,11 @@ class Block:
     rid: list[np.ndarray] = field(default_factory=list)
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
     size: int = 0
+    bytes: int = 0
 
 
 def read_blocks(batches: Iterator[pa.RecordBatch], lower: bool, keep_bytes: bool = False) -> Iterator[Block]:
-    """Cut a scan into blocks; the same scan always gives the same blocks.
+    """Cut a scan into blocks; the same documents always give the same blocks, however they are batched.
 
     ``parts`` of a block has (bytes, starts, ends, word hashes, first word of each
     row and the end) for each slice; bytes are kept only if asked.
@@ -50,24 +54,32 @@ def read_blocks(batches: Iterator[pa.RecordBatch], lower: bool, keep_bytes: bool
     """
     give_back(caches=True)
     block = None
+    none = np.zeros(0, np.int64)
     for batch in batches:
         if batch.num_rows == 0:
             continue
         rid = batch.column("rid").to_numpy()
         for first, data, offs in text_slices(batch.column("text")):
-            n = len(offs) - 1
             if block is None:
                 block = Block(int(rid[0]) >> ROW_BITS, 0)
             starts, ends, h, at = words(data, offs, lower)
-            none = np.zeros(0, np.int64)
-            block.rows.append((batch, first, n))
-            block.rid.append(rid[first : first + n])
-            block.parts.append((data, starts, ends, h, at) if keep_bytes else (none, none, none, h, at))
-            block.size += len(h)
-            if block.size >= BLOCK_WORDS:
-                yield block
-                block = Block(block.pid, block.sub + 1)
-                give_back()
+            i, n = 0, len(offs) - 1
+            while i < n:
+                # the first document that fills the block, whichever slice it came in, is its last
+                full = min(int(np.searchsorted(at[1:], at[i] + BLOCK_WORDS - block.size)), int(np.searchsorted(offs[1:], offs[i] + BLOCK_BYTES - block.bytes)))
+                j = min(max(full, i) + 1, n)
+                w, b = slice(int(at[i]), int(at[j])), int(offs[i])
+                block.rows.append((batch, first + i, j - i))
+                block.rid.append(rid[first + i : first + j])
+                own = (data[b : offs[j]], starts[w] - b, ends[w] - b) if keep_bytes else (none, none, none)
+                block.parts.append((*own, h[w], at[i : j + 1] - at[i]))
+                block.size += w.stop - w.start
+                block.bytes += int(offs[j]) - b
+                i = j
+                if block.size >= BLOCK_WORDS or block.bytes >= BLOCK_BYTES:
+                    yield block
+                    block = Block(block.pid, block.sub + 1)
+                    give_back()
     if block is not None and block.rid:
         yield block
         block = None
