@@ -40,7 +40,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, placed in sequences of 4096 tokens."""
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096, special=True)
 
 
 STAGES = [("quality", quality), ("exact", exact), ("near", near), ("repeats", repeats), ("packing", packing)]

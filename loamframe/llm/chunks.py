@@ -3,7 +3,8 @@
 Texts are cut where the tokenizer's own pre-tokeniser always cuts, and the ids
 of each distinct chunk are kept, so a chunk is encoded once per worker rather
 than once per occurrence.  Texts that cannot be cut safely go to the tokenizer
-whole.  The result equals ``Tokenizer.encode(text, add_special_tokens=False)``.
+whole.  The result equals ``Tokenizer.encode(text, add_special_tokens=False)``,
+with ``encode_special_tokens`` set unless ``special`` is asked for.
 """
 
 from __future__ import annotations
@@ -81,14 +82,22 @@ def segments(text: str) -> Iterator[str]:
 
 
 class ChunkEncoder:
-    """Encodes lists of texts to little-endian id bytes of type ``dtype``."""
+    """Encodes lists of texts to little-endian id bytes of type ``dtype``.
 
-    def __init__(self, path: str) -> None:
+    With ``special``, the strings of special tokens in a text give their ids, as
+    the tokenizer does if nothing is set; else they are ordinary text.
+    """
+
+    def __init__(self, path: str, special: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # texts with one of these go whole to a tokenizer that nothing is set on; it may look for them in normalised text
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        self.added = re.compile("|".join(added), re.IGNORECASE) if added else None
+        self.path, self.plain = path, None
         word = "Lowercase" in str(self.tokenizer.normalizer)
         self.keys: Callable[[str], list[str] | None] = word_keys if word else byte_level_keys
         self.chunk = word_chunk if word else byte_level_chunk
@@ -102,7 +111,15 @@ class ChunkEncoder:
         self.cold: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        tokenizer = self.tokenizer
+        if self._has_added(text):
+            if self.plain is None:
+                self.plain = type(tokenizer).from_file(self.path)
+            tokenizer = self.plain
+        return array(self.code, tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _has_added(self, text: str) -> bool:
+        return self.added is not None and self.added.search(text) is not None
 
     def _letters(self, body: str) -> bool:
         """Whether the tokenizer takes ``body`` as one word just as it stands."""
@@ -177,7 +194,7 @@ class ChunkEncoder:
             while end < len(texts) and (end == at or size + len(texts[end]) <= SEGMENT):
                 size += len(texts[end])
                 end += 1
-            if size > 2 * SEGMENT and (self.chunk is word_chunk or not _UNSAFE.search(texts[at])):
+            if size > 2 * SEGMENT and not self._has_added(texts[at]) and (self.chunk is word_chunk or not _UNSAFE.search(texts[at])):
                 out.append(b"".join(self._group([s])[0] for s in segments(texts[at])))
             else:
                 out += self._group(texts[at:end])
@@ -185,7 +202,7 @@ class ChunkEncoder:
         return out
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        cut = [self.keys(t) for t in texts]
+        cut = [None if self._has_added(t) else self.keys(t) for t in texts]
         get = self.hot.get
         found = [None if keys is None else list(map(get, keys)) for keys in cut]
         missing = {k for keys, ids in zip(cut, found, strict=True) if ids is not None and None in ids for k, i in zip(keys, ids, strict=True) if i is None}
@@ -203,12 +220,12 @@ class ChunkEncoder:
         return out
 
 
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[tuple[str, bool], ChunkEncoder] = {}
 CACHES.append(_encoders)
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, special: bool = False) -> ChunkEncoder:
     """The worker's encoder for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    if (path, special) not in _encoders:
+        _encoders[path, special] = ChunkEncoder(path, special)
+    return _encoders[path, special]

@@ -134,12 +134,12 @@ def lay_out(plan: list[tuple[np.ndarray, int]]) -> Slots:
     return Slots(*[{b: np.array(v, np.int64) for b, v in d.items()} for d in (ranks, sequences, each)])
 
 
-def cut_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_ids: bool) -> DataFrame:
+def cut_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, keep_ids: bool, special: bool = False) -> DataFrame:
     """Pieces of every document: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``row_key`` and, if asked, ``ids``."""
     schema = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, row_key long" + ", ids array<int>" * keep_ids
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(vocabulary)
+        enc = encoder(vocabulary, special)
         for b in batches:
             rows = []
             for doc_id, key, raw in zip(b["doc_id"].tolist(), b["row_key"].tolist(), enc.encode_all(b["text"].tolist()), strict=True):
@@ -155,18 +155,19 @@ def cut_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int,
     return rows.mapInPandas(cut, schema)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 4096, keep_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 4096, keep_ids: bool = False, special: bool = False) -> DataFrame:
     """Place every document in sequences of at most ``capacity`` tokens.
 
     One row per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``,
     ``doc_tokens``, ``sequence_id``, ``offset`` and, with ``keep_ids``, ``ids``.
     Each document is closed by ``end_id``; null and empty texts hold it alone.
     Repeated rows and null ids are documents like any other; an empty table
-    gives no pieces.  Sequences are numbered from 0 and filled without gaps.
+    gives no pieces.  Sequences are numbered from 0 and filled without gaps.  With
+    ``special``, strings of special tokens in a text give their ids.
     """
     spark = docs.sparkSession
     unit = UNIT if capacity % UNIT == 0 else 1
-    pieces = materialise(cut_documents(docs, vocabulary, end_id, capacity, keep_ids), "pieces")
+    pieces = materialise(cut_documents(docs, vocabulary, end_id, capacity, keep_ids, special), "pieces")
     bin_of = F.floor((F.col("length") - 1) / unit).cast("int")
     histogram = pieces.groupBy(bin_of.alias("bin")).count().collect()
     demand = np.zeros(capacity // unit, np.int64)

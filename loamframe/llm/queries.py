@@ -32,14 +32,14 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from loamframe.llm.token_store import store_tokens
 
-    return store_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return store_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, special=True)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from loamframe.llm.packing import pack_documents
 
-    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096, special=True)
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

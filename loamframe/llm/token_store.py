@@ -76,13 +76,14 @@ def decode_blocks(f: io.RawIOBase) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         yield doc_ids, lengths, table[decode_ranks(control, data, n)]
 
 
-def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, directory: str, files: int | None = None) -> DataFrame:
+def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, directory: str, files: int | None = None, special: bool = False) -> DataFrame:
     """Encode ``docs`` and write token files in ascending ``doc_id`` order.
 
     Returns the manifest: ``part``, ``path``, ``docs``, ``ids``, one row per file;
     ``part`` follows ``doc_id``.  Null texts count as empty, so every document
     has at least ``end_id``; null ``doc_id`` come first and are stored as the
     smallest long; repeated rows stay repeated; an empty table writes nothing.
+    With ``special``, strings of special tokens in a text give their ids.
     """
     spark = docs.sparkSession
     n = files or max(partitions(spark), docs.rdd.getNumPartitions())
@@ -101,7 +102,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, directory:
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = open_fs(directory)
-        enc = encoder(vocabulary)
+        enc = encoder(vocabulary, special)
         end = np.array([end_id], enc.dtype).tobytes()
         out, part, path, total, docs_n = None, -1, "", 0, 0
         held: list[bytes] = []
@@ -179,8 +180,8 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, with_ids: bool =
     return rows.mapInPandas(read, schema)
 
 
-def store_tokens(docs: DataFrame, vocabulary: str, end_id: int, directory: str | None = None) -> DataFrame:
+def store_tokens(docs: DataFrame, vocabulary: str, end_id: int, directory: str | None = None, special: bool = False) -> DataFrame:
     """Write ``docs`` as token files and read every document back from them."""
     spark = docs.sparkSession
-    manifest = write_token_files(docs, vocabulary, end_id, directory or scratch(spark, "tokens"))
+    manifest = write_token_files(docs, vocabulary, end_id, directory or scratch(spark, "tokens"), special=special)
     return read_token_files(spark, manifest)
