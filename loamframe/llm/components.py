@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.shared import discard, materialise
+from loamframe.llm.shared import discard, materialise, salted_join
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,17 +47,18 @@ def components(edges: DataFrame) -> DataFrame:
 
     Self loops and repeated edges are allowed; nodes are non-null longs.  Each
     round joins every node's neighbours to the least of them; minima are taken
-    before the shuffle, so a node with very many edges is no bottleneck.
+    before the shuffle, and the neighbours of a node with very many are dealt to
+    many tasks.
     """
     now = materialise(edges.where("u <> v").mapInArrow(_forest, "u long, v long").distinct(), "edges")
     before = _state(now)
     while before[0]:
         both = now.union(now.select("v", "u")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = salted_join(both, least, ["u"], ["v"], 2 * before[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         lower = large.where("u > v")
         small = lower.groupBy("u").agg(F.min("v").alias("m"))
-        rest = lower.join(small, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        rest = salted_join(lower, small, ["u"], ["v"], before[0]).where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         last, now = now, materialise(rest.union(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
         discard(now.sparkSession, last)
         state = _state(now)

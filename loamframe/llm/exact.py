@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loamframe.llm import golomb
-from loamframe.llm.shared import discard, materialise, numbered, partitions, stable, text_or_empty
+from loamframe.llm.shared import discard, materialise, partitions, place, salted_join, stable, text_or_empty, without
 
-#: log2 of the bits in the suspect filter that scans consult: 8 MB, however large the table.
-FILTER_BITS = 26
+#: Bounds of the log2 of the bits in the suspect filter that scans consult: 8 to 128 MB.
+FEWEST_BITS, MOST_BITS = 26, 30
 
 
 def _owners(fps: np.ndarray, owners: int) -> np.ndarray:
@@ -68,7 +68,12 @@ def suspects(prints: DataFrame, owners: int) -> DataFrame:
     return prints.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(settle, "fp long")
 
 
-def bit_filter(fps: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+def filter_bits(n: int) -> int:
+    """log2 of the bits for ``n`` suspects, about 16 a suspect; beyond the bound more unique texts are shuffled, no less is found."""
+    return min(MOST_BITS, max(FEWEST_BITS, (16 * n).bit_length()))
+
+
+def bit_filter(fps: DataFrame, bits: int) -> np.ndarray:
     """A bitmap of ``2**bits`` bits with the bit of each fingerprint set."""
     size = 1 << bits
     parts = 64
@@ -91,42 +96,53 @@ def bit_filter(fps: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One decision per row of ``docs`` (``doc_id``, ``text``).
 
-    Returns ``rid`` (the row's place in the scan), ``doc_id``, ``keep_id``,
-    ``group_size``, ``kept`` and ``text_sha256``.  Texts are equal when their
-    bytes are; null counts as empty.  The row with the largest ``doc_id`` stays; a
-    null ``doc_id`` ranks below all others, and of repeated rows with that id one
-    stays.  An empty table gives an empty result; other columns are ignored.
+    Returns ``place`` (the row's file and its place there), ``doc_id``, ``keep_id``,
+    ``group_size``, ``kept`` and ``text_sha256``.  Texts, however long, are equal
+    when their bytes are; null counts as empty.  The row with the largest
+    ``doc_id`` stays; a null ``doc_id`` ranks below all others, and of repeated rows
+    with that id one stays.  An empty table gives an empty result; other columns are
+    ignored.
     """
     spark = docs.sparkSession
+    docs = stable(docs)
     owners = max(partitions(spark), docs.rdd.getNumPartitions())
-    rows = numbered(stable(docs)).select("rid", "doc_id", text_or_empty().alias("text"))
-    table = materialise(rows.select("rid", "doc_id", F.xxhash64("text").alias("fp"), F.sha2("text", 256).alias("sha"), F.spark_partition_id().alias("block")), "prints")
+    rows = docs.select(place().alias("place"), "doc_id", text_or_empty().alias("text"))
+    table = materialise(rows.select("place", "doc_id", F.xxhash64("text").alias("fp"), F.sha2("text", 256).alias("sha"), F.spark_partition_id().alias("block")), "prints")
     found = materialise(suspects(table.select("block", "fp"), owners).distinct(), "suspects")
-    shared = spark.sparkContext.broadcast(bit_filter(found))
+    bits = filter_bits(found.count())
+    shared = spark.sparkContext.broadcast(bit_filter(found, bits))
 
     @F.pandas_udf(T.BooleanType())
     def may_be_suspect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bits = shared.value
+        marks = shared.value
         for fp in batches:
-            slot = fp.to_numpy() & ((1 << FILTER_BITS) - 1)
-            yield pd.Series((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1)
+            slot = fp.to_numpy() & ((1 << bits) - 1)
+            yield pd.Series((marks[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1)
 
     texts = rows.select(F.xxhash64("text").alias("fp"), "text").where(may_be_suspect("fp"))
     same = texts.groupBy("fp", "text").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     same = materialise(same.select("fp", F.sha2("text", 256).alias("sha")), "verified")
-    members = table.join(same, ["fp", "sha"], "left_semi")
-    best = members.groupBy("fp", "sha").agg(F.max(F.struct(F.col("doc_id"), F.col("rid").alias("best"))).alias("top"), F.count(F.lit(1)).alias("n"))
-    return table.join(best, ["fp", "sha"], "left").select(
-        "rid", "doc_id",
+    discard(spark, found)
+    marked = materialise(table.where(may_be_suspect("fp")), "marked")
+    total = marked.count()
+    top = F.max(F.struct(F.col("doc_id"), F.col("place").alias("best"))).alias("top")
+    best = marked.groupBy("fp", "sha").agg(top, F.count(F.lit(1)).alias("n")).join(same, ["fp", "sha"])
+    decided = salted_join(marked, best, ["fp", "sha"], ["place"], total, "left").select("place", "doc_id", "sha", "top", "n")
+    alone = table.where(~may_be_suspect("fp")).select("place", "doc_id", "sha", F.lit(None).cast(decided.schema["top"].dataType).alias("top"), F.lit(1).cast("long").alias("n"))
+    return decided.unionByName(alone).select(
+        "place", "doc_id",
         F.when(F.col("top").isNull(), F.col("doc_id")).otherwise(F.col("top.doc_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).alias("group_size"),
-        (F.col("top").isNull() | (F.col("rid") == F.col("top.best"))).alias("kept"),
+        (F.col("top").isNull() | (F.col("place") == F.col("top.best"))).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Null, empty and long texts, repeated rows, null ids and empty tables as in
+    :func:`exact_duplicates`.
+    """
     docs = stable(docs)
-    gone = materialise(exact_duplicates(docs).where("not kept").select("rid"), "gone")
-    return numbered(docs, "rid ").join(gone.withColumnRenamed("rid", "rid "), "rid ", "left_anti").drop("rid ")
+    return without(docs, materialise(exact_duplicates(docs).where("not kept").select("place"), "gone"))

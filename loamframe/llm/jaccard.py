@@ -7,10 +7,11 @@ the threshold must share a prefix token under every order: the first order's
 prefixes are joined, the others' are intersected on the joined pairs, and what is
 left is verified on the sets.  Tokens of one document alone are never sent.
 
-Components are wanted, so a token's group is first joined as a star around one
-member; only members still in different components are compared further: all
-pairs of small token groups, and larger ones block against block, where sets meet
-in a task and only links that join components leave it.
+Components are wanted, so a token's members are first joined as a star around one
+of them, whom one aggregation finds; only members still in different components
+are compared further: all pairs of small token groups, and larger ones block
+against block within the token, where sets meet in a task and only links that join
+components leave it.  Keys that many rows hold are dealt to many tasks.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamframe.llm.components import components
-from loamframe.llm.exchange import Answers, Block, exchange, read_blocks
-from loamframe.llm.shared import discard, materialise, numbered, partitions, stable
+from loamframe.llm.exchange import Answers, Block, Message, exchange, read_blocks
+from loamframe.llm.shared import discard, materialise, numbered, pinned, place, salted_join, stable, without
 from loamframe.llm.words import grams, mix
 
 SHINGLE = 5
@@ -68,38 +69,36 @@ def _least_common(n: int, percent: int) -> int:
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = THRESHOLD, orders: int = ORDERS) -> DataFrame:
-    """One row per row of ``docs``: ``rid``, ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
+    """One row per row of ``docs``: ``rid``, ``place``, ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
 
     Documents link when the Jaccard similarity of their sets of distinct
     ``width``-word shingles (lower-cased A-Z) is at least ``percent``; components
     are what links reach, named by the smallest ``doc_id`` in them, whose row is
-    kept.  Shorter texts are one shingle.  Null, empty and wordless texts have no
-    shingles and link with nothing; rows with a null ``doc_id`` take part and rank
-    last.  Repeated rows link; one of them is kept.  Other columns are ignored.
+    kept.  Shorter texts are one shingle, very long ones have all of theirs.  Null,
+    empty and wordless texts have no shingles and link with nothing; rows with a
+    null ``doc_id`` take part and rank last.  Repeated rows link; one of them is
+    kept.  An empty table gives an empty result.  Other columns are ignored.
     """
     spark = docs.sparkSession
 
-    def tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    def tokens(block: Block) -> Message:
         sets = block_sets(block, width)
         own = [s for i, (s, f) in enumerate(zip(sets, _firsts(sets), strict=True)) if i == f and len(s)]
-        return np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return (*np.unique(np.concatenate(own), return_counts=True), None) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64), None)
 
-    def frequency(values: np.ndarray, which: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        total = np.bincount(which, weights=numbers, minlength=len(values))
+    def frequency(n: int, which: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        total = np.bincount(which, weights=numbers, minlength=n)
         return np.floor(np.log2(total))[which]
 
-    rows = numbered(stable(docs)).select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    answers = exchange(rows.select("rid", "text"), tokens, frequency, lower=True)
-
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replies = Answers(answers)
         for block in read_blocks(batches, True):
             sets = block_sets(block, width)
             firsts = _firsts(sets)
-            keys, _ = tokens(block)
+            keys, *_ = tokens(block)
             classes = replies.of(block, keys)
             rid = np.concatenate(block.rid)
-            doc_id = pa.concat_arrays([b.column("doc_id").slice(i, n) for b, i, n in block.rows])
+            doc_id, where = (pa.concat_arrays([b.column(c).slice(i, n) for b, i, n in block.rows]) for c in ("doc_id", "place"))
             shared, prefixes = [], [[] for _ in range(orders)]
             for i, s in enumerate(sets):
                 n = len(s)
@@ -118,66 +117,33 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = THRESH
                     prefixes[k].append(s[first].view(np.int64))
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_pydict({
-                "rid": pa.array(rid, pa.int64()), "doc_id": doc_id, "n": pa.array([len(s) for s in sets], pa.int32()),
+                "rid": pa.array(rid, pa.int64()), "place": where, "doc_id": doc_id, "n": pa.array([len(s) for s in sets], pa.int32()),
                 "class": pa.array(rid[firsts], pa.int64()), "shared": pa.array(shared, kind),
                 **{f"p{k}": pa.array(p, kind) for k, p in enumerate(prefixes)},
             })
 
-    schema = "rid long, doc_id long, n int, class long, shared array<long>" + "".join(f", p{k} array<long>" for k in range(orders))
-    described = materialise(rows.mapInArrow(describe, schema), "described")
+    schema = "rid long, place struct<file:long,at:long>, doc_id long, n int, class long, shared array<long>" + "".join(f", p{k} array<long>" for k in range(orders))
+    with pinned(spark):
+        rows = numbered(stable(docs).withColumn("place", place())).select("rid", "place", F.col("doc_id").cast("long").alias("doc_id"), "text")
+        answers = exchange(rows.select("rid", "text"), lambda: tokens, frequency, lower=True)
+        described = materialise(rows.mapInArrow(describe, schema), "described")
     discard(spark, answers)
 
     links = _linked(described.where("shared is not null").select("class", "n", "shared", *[f"p{k}" for k in range(orders)]), percent, orders)
     group = components(links).select(F.col("node").alias("class"), F.col("component").alias("group"))
-    members = described.select("rid", "doc_id", "n", "class").join(group, "class", "left")
+    members = described.select("rid", "place", "doc_id", "n", "class")
+    total = members.count()
+    members = salted_join(members, group, ["class"], ["rid"], total, "left")
     # documents of no group stand alone, copies inside a block under their class
     members = materialise(members.withColumn("group", F.when(F.col("n") == 0, F.col("rid")).otherwise(F.coalesce("group", "class"))), "members")
     discard(spark, described, links)
     order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.col("rid").alias("row"), F.col("doc_id").alias("doc_id"))
     heads = members.groupBy("group").agg(F.min(order).alias("head"))
-    return members.join(heads, "group").select(
-        "rid", "doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("head.doc_id").alias("component_id"), (F.col("rid") == F.col("head.row")).alias("kept")
+    return salted_join(members, heads, ["group"], ["rid"], total).select(
+        "rid", "place", "doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("head.doc_id").alias("component_id"), (F.col("rid") == F.col("head.row")).alias("kept")
     )
 
 
-def _pair_up(star: bool, salt: int, percent: int):  # noqa: ANN202
-    """A function from (bucket of) token, class, n, group rows to candidate pairs.
-
-    Stars pair the members of other groups with one member.  Otherwise small
-    token groups give all pairs across groups, and larger ones a star marked as a
-    family, whose members are compared in blocks.
-    """
-
-    def pairs(table: pa.Table) -> pa.Table:
-        token, cls, n, group = (table.column(c).to_numpy() for c in ("token", "class", "n", "group"))
-        by = np.lexsort((n, mix(group.view(np.uint64), salt=salt), token))
-        token, cls, n, group = token[by], cls[by], n[by].astype(np.int64), group[by]
-        cuts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        sizes = np.diff(np.append(cuts, len(token)))
-        head = np.repeat(cuts, sizes)
-        apart = group != group[head]
-        near = apart & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head]))
-        if star:
-            found = [(cls[head[near]], cls[near], False)]
-        else:
-            open_group = np.repeat(np.logical_or.reduceat(apart, cuts), sizes) if len(cuts) else apart
-            big = open_group & np.repeat(sizes > SMALL, sizes)
-            found = [(cls[head[big]], cls[big], True)]
-            some = open_group & ~big
-            for step in range(1, SMALL):  # each member with the one ``step`` places on
-                i = np.flatnonzero(some[:-step] & (head[:-step] == head[step:])) if len(some) > step else np.zeros(0, np.int64)
-                i = i[(group[i] != group[i + step]) & (100 * np.minimum(n[i], n[i + step]) >= percent * np.maximum(n[i], n[i + step]))]
-                found.append((cls[i], cls[i + step], False))
-        out = []
-        for a, b, family in found:
-            both = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
-            both = np.unique(both[a != b], axis=0)
-            out.append(pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64()), "family": pa.array([family] * len(both), pa.bool_())}))
-        return pa.concat_tables(out)
-
-    return pairs
-
-
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many elements each set on the left shares with each on the right."""
     out = np.zeros((len(left), len(right)), np.float32)
@@ -199,7 +165,7 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def _compare_blocks(percent: int, orders: int):  # noqa: ANN202
-    """A function from the members of two blocks of a family to links that join their groups."""
+    """A function from the members of two blocks of a token to links that join their groups."""
 
     def compare(table: pa.Table) -> pa.Table:
         block = table.column("block").to_numpy()
@@ -230,49 +196,104 @@ def _compare_blocks(percent: int, orders: int):  # noqa: ANN202
     return compare
 
 
-def _families(edges: DataFrame, sets: DataFrame, group: DataFrame | None, percent: int, orders: int) -> DataFrame:
-    """Links inside families (``a``, ``b`` chain their members), found block against block."""
-    members = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnsRenamed({"node": "class", "component": "fam"})
-    size = members.groupBy("fam").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    held = members.join(size, "fam").join(sets, "class")
-    held = held.withColumn("group", F.col("class")) if group is None else held.join(group, "class", "left").withColumn("group", F.coalesce("group", "class"))
-    held = held.withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def _near(n: str, m: str, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def _pairs(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _stars(rows: DataFrame, total: int, turn: int, percent: int) -> DataFrame:
+    """Each token's members paired with one of them that is in another group."""
+    head = F.min(F.struct(F.xxhash64("group", F.lit(turn)).alias("order"), "n", "class", "group")).alias("head")
+    heads = rows.groupBy("token").agg(head, F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("token", "head")
+    met = salted_join(rows, heads, ["token"], ["class"], total).where(F.col("group") != F.col("head.group"))
+    return met.where(_near("n", "head.n", percent)).select(*_pairs("class", "head.class")).distinct()
+
+
+def _open(rows: DataFrame, total: int) -> DataFrame:
+    """Members of tokens that still join several groups, with ``size``, the token's members.
+
+    Of tokens with the same members one is enough.
+    """
+    tokens = rows.groupBy("token").agg(
+        F.count(F.lit(1)).alias("size"), F.min("group").alias("low"), F.max("group").alias("high"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")
+    ).where("low < high")
+    one = tokens.groupBy("size", "low", "high", "x", "y").agg(F.min("token").alias("token")).select("token", "size")
+    return materialise(salted_join(rows, one, ["token"], ["class"], total), "open")
+
+
+def _rest(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs across groups in tokens of at most :data:`SMALL` members."""
+    few = members.where(F.col("size") <= SMALL)
+    other = few.select("token", F.col("class").alias("other"), F.col("n").alias("m"), F.col("group").alias("apart"))
+    return few.join(other, "token").where("class < other and group <> apart").where(_near("n", "m", percent)).select(*_pairs("class", "other")).distinct()
+
+
+def _blocks(members: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
+    """Links in larger tokens, found block against block."""
+    many = members.where(F.col("size") > SMALL).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).drop("n", "size")
+    held = many.join(sets, "class").withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     held = held.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
-    return held.groupBy("fam", "lo", "hi").applyInArrow(_compare_blocks(percent, orders), "u long, v long")
+    return held.groupBy("token", "lo", "hi").applyInArrow(_compare_blocks(percent, orders), "u long, v long")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
+    """The pairs (``a``, ``b``) as similar as ``percent``; whole sets meet only where the other orders' prefixes do."""
+    spark = sets.sparkSession
+    pairs = materialise(pairs, "pairs")
+    total = pairs.count()
+
+    def both(rows: DataFrame, names: list[str], total: int) -> DataFrame:
+        counted = rows
+        for x, y in ("ba", "ab"):
+            side = sets.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in names])
+            rows = salted_join(rows, side, [x], [y], total, counted=counted)
+        return rows
+
+    met = both(pairs, [f"p{k}" for k in range(1, orders)], total)
+    for k in range(1, orders):
+        met = met.where(F.arrays_overlap(f"p{k}_a", f"p{k}_b"))
+    met = materialise(met.select("a", "b"), "met")
+    discard(spark, pairs)
+    common = F.size(F.array_intersect("shared_a", "shared_b"))
+    good = both(met, ["n", "shared"], met.count()).withColumn("common", common)
+    good = good.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common")))
+    return good.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def _linked(sets: DataFrame, percent: int, orders: int) -> DataFrame:
     """Links (``u``, ``v``) that connect all pairs of sets as similar as ``percent``."""
     spark = sets.sparkSession
-    index = sets.select(F.explode("p0").alias("token"), "class", "n")
-    buckets = 4 * max(partitions(spark), sets.rdd.getNumPartitions())
+    index = materialise(sets.select(F.explode("p0").alias("token"), "class", "n"), "postings")
+    total = index.count()
     links, tested, group = spark.createDataFrame([], "u long, v long"), spark.createDataFrame([], "a long, b long"), None
-
-    def side(x: str) -> DataFrame:
-        return sets.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("shared").alias(f"s_{x}"), *[F.col(f"p{k}").alias(f"p{k}_{x}") for k in range(1, orders)])
-
     for turn in range(STARS + 1):
-        star = turn < STARS
         rows = index.withColumn("group", F.col("class")) if group is None else index.join(group, "class", "left").withColumn("group", F.coalesce("group", "class"))
-        found = materialise(rows.groupBy(F.pmod("token", F.lit(buckets))).applyInArrow(_pair_up(star, turn + 1, percent), "a long, b long, family boolean").distinct(), "pairs")
-        pairs = found.where("not family").select("a", "b").join(tested, ["a", "b"], "left_anti")
-        both = pairs.join(side("b"), "b").join(side("a"), "a")
-        for k in range(1, orders):  # intersect the filters before any set is compared
-            both = both.where(F.arrays_overlap(f"p{k}_a", f"p{k}_b"))
-        common = F.size(F.array_intersect("s_a", "s_b"))
-        good = both.withColumn("common", common).where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common")))
-        new = good.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if not star:
-            new = new.union(_families(found.where("family"), sets, group, percent, orders))
-        links = materialise(links.union(new), "links")
-        if star:
-            tested = tested.union(found.select("a", "b"))
+        rows = materialise(rows, "grouped")
+        if turn < STARS:
+            found = materialise(_stars(rows, total, turn, percent), "stars")
+            new = _verified(found.join(tested, ["a", "b"], "left_anti"), sets, percent, orders)
+            tested = tested.union(found)
+        else:
+            members = _open(rows, total)
+            new = _verified(_rest(members, percent).join(tested, ["a", "b"], "left_anti"), sets, percent, orders).union(_blocks(members, sets, percent, orders))
+        last, links = links, materialise(links.union(new), "links")
+        discard(spark, rows, last)
+        if turn < STARS:
             group = components(links).select(F.col("node").alias("class"), F.col("component").alias("group"))
+    discard(spark, index)
     return links
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near duplicates of an earlier one, with all their columns."""
+    """The rows of ``docs`` without near duplicates of an earlier one, with all their columns.
+
+    Null, empty and long texts, repeated rows, null ids and empty tables as in
+    :func:`near_duplicates`.
+    """
     docs = stable(docs)
-    gone = materialise(near_duplicates(docs).where("not kept").select("rid"), "gone")
-    return numbered(docs, "rid ").join(gone.withColumnRenamed("rid", "rid "), "rid ", "left_anti").drop("rid ")
+    return without(docs, materialise(near_duplicates(docs).where("not kept").select("place"), "gone"))

@@ -16,16 +16,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.shared import materialise, numbered, stable, text_or_empty
+from loamframe.llm.shared import give_back, materialise, pinned, place, stable, text_or_empty, without
 
 #: Most labelled rows that trees are grown on: those of least hash.
 MAX_TRAIN = 20_000
 FOLDS, TREES, DEPTH, RATE, BINS, LAMBDA, LEAST = 5, 80, 4, 0.15, 48, 1.0, 20
-#: Stands for a null id inside tasks.
-NO_ID = -(2**63)
 #: Scores from here on count as good.
 CUT = 0.3
 
@@ -160,24 +159,35 @@ def held_out(doc_id: Column) -> Column:
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """One row per row of ``docs``: ``rid``, ``doc_id``, ``held_out``, ``score`` and ``predicted``.
-
-    ``labels`` has ``doc_id`` and ``quality`` (0 or 1, others are ignored).  Trees
-    see only rows that are not held out, at most ``max_train`` of them, those of
-    least hash; without labels every score is one half.  Null and empty texts get
-    a score like others; repeated rows score alike.
+    """One row per row of ``docs``: ``place``, ``doc_id``, ``held_out``, ``score`` and ``predicted``.
+
+    ``labels`` has ``doc_id`` and ``quality`` (0 or 1, others are ignored; of several
+    the larger).  Trees see only rows that are not held out, at most ``max_train``
+    of them, those of least hash; without labels every score is one half.  Null,
+    empty and very long texts get a score like others; repeated rows score alike; a
+    null ``doc_id`` is not held out; an empty table gives no rows; other columns
+    are ignored.
     """
     spark = docs.sparkSession
 
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back(caches=True)
         for b in batches:
-            yield pd.DataFrame({"rid": b["rid"], "id": b["id"], "x": [statistics(t) for t in b["text"]]})
+            x = np.array([statistics(t) for t in b.column("text").to_pylist()], np.float32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * len(STATISTICS), pa.int32()), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column("place"), b.column("doc_id"), lists], ["place", "doc_id", "x"])
 
-    rows = numbered(stable(docs)).select("rid", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text_or_empty().alias("text"))
-    described = rows.mapInPandas(describe, "rid long, id long, x array<float>")
-    table = materialise(described.select("rid", F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "x"), "statistics")
+    with pinned(spark):
+        rows = stable(docs).select(place().alias("place"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+        table = materialise(rows.mapInArrow(describe, "place struct<file:long,at:long>, doc_id long, x array<float>"), "statistics")
     known = labels.where("quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
-    train = table.where(~held_out(F.col("doc_id"))).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "rid").limit(max_train).select("x", "quality").toPandas()
+    rank = F.xxhash64("doc_id")
+    labelled = table.where(~held_out(F.col("doc_id"))).select("place", "doc_id", rank.alias("rank")).join(known, "doc_id")
+    n = labelled.count()
+    if n > max_train:  # so few rows leave the tasks, however many tasks there are
+        labelled = labelled.where(F.col("rank") < int(min(1.0, 1.2 * max_train / n + 0.001) * 2**64 - 2**63 - 1))
+    chosen = labelled.orderBy("rank", "place").limit(max_train).select("place", "quality")
+    train = table.select("place", "x").join(F.broadcast(chosen), "place").toPandas()
     x = np.array(train["x"].tolist(), np.float64).reshape(len(train), len(STATISTICS))
     forest = spark.sparkContext.broadcast(grow(x, train["quality"].to_numpy(np.float64)))
 
@@ -185,12 +195,15 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
     def score(x: pd.Series) -> pd.Series:
         return pd.Series(forest.value.score(np.array(x.tolist(), np.float64).reshape(len(x), len(STATISTICS))))
 
-    scored = table.select("rid", "doc_id", held_out(F.col("doc_id")).alias("held_out"), score("x").alias("score"))
+    scored = table.select("place", "doc_id", held_out(F.col("doc_id")).alias("held_out"), score("x").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, with all their columns."""
+    """The rows of ``docs`` that are not rejected, with all their columns.
+
+    Null, empty and long texts, repeated rows, null ids and empty tables as in
+    :func:`score_quality`.
+    """
     docs = stable(docs)
-    gone = materialise(score_quality(docs, labels).where("predicted = 0").select("rid"), "rejected")
-    return numbered(docs, "rid ").join(gone.withColumnRenamed("rid", "rid "), "rid ", "left_anti").drop("rid ")
+    return without(docs, materialise(score_quality(docs, labels).where("predicted = 0").select("place"), "rejected"))

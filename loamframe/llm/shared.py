@@ -5,12 +5,14 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Settings that fix how a scan is cut into partitions and batches, so that two
-#: passes over the same files see the same blocks.
+#: Settings that fix how a scan is cut into partitions, so that two passes over the
+#: same files see the same blocks however many executors there are, and keep batches small.
 PINNED = {
     "spark.sql.files.minPartitionNum": "1",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
@@ -39,12 +41,15 @@ def give_back(caches: bool = False) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests on one machine) a temporary one is chosen.
+    Only where that is unset and Spark runs on one machine a temporary one is
+    chosen; on a cluster a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -73,10 +78,17 @@ def discard(spark: SparkSession, *paths: str | DataFrame) -> None:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def pin(spark: SparkSession) -> None:
-    """Hold :data:`PINNED` from now on: results are lazy and scan again when they are read."""
+@contextmanager
+def pinned(spark: SparkSession) -> Iterator[None]:
+    """Hold :data:`PINNED` for the passes inside, which must not leave lazy scans behind."""
+    before = {k: spark.conf.get(k, None) for k in PINNED}
     for k, v in PINNED.items():
         spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -94,17 +106,57 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def _plain(node) -> bool:  # noqa: ANN001
+    """Whether a plan only reads Parquet files, with deterministic filters and projections."""
+    kind = node.nodeName()
+    if kind in ("Project", "Filter"):
+        children = node.children()
+        return node.deterministic() and all(_plain(children.apply(i)) for i in range(children.length()))
+    return kind.startswith(("LogicalRelation", "Relation")) and "parquet" in node.toString()
+
+
 def stable(docs: DataFrame) -> DataFrame:
-    """``docs`` as a plan that deals out rows alike each time it runs, under :data:`PINNED`.
+    """``docs`` as a plain scan of files, which finds the same rows each time.
 
-    A plan that shuffles or runs Python may not, so it is written to the shared
-    folder first.
+    Any other plan (one that shuffles, draws random numbers or runs Python, say) is
+    written to the shared folder first.
     """
-    pin(docs.sparkSession)
-    plan = docs._jdf.queryExecution().executedPlan().toString()
-    return materialise(docs, "docs") if any(x in plan for x in ("Exchange", "Python", "Pandas", "Arrow", "Sample")) else docs
+    return docs if _plain(docs._jdf.queryExecution().optimizedPlan()) else materialise(docs, "docs")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """Rows of a :func:`stable` scan with ``rid``, their place in it, which a second :func:`pinned` pass finds again."""
+    return docs.withColumn("rid", F.monotonically_increasing_id())
+
+
+def place() -> Column:
+    """A row's file and its place there; the same however a :func:`stable` scan is cut."""
+    return F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
 
 
-def numbered(docs: DataFrame, name: str = "rid") -> DataFrame:
-    """:func:`stable` rows with their place in the scan, which a second pass finds again."""
-    return docs.withColumn(name, F.monotonically_increasing_id())
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of a :func:`stable` scan whose :func:`place` is not in ``gone``, with all their columns."""
+    free = next(f"place{i}" for i in range(len(docs.columns) + 1) if f"place{i}" not in {c.lower() for c in docs.columns})
+    return docs.withColumn(free, place()).join(gone.select(F.col("place").alias(free)), free, "left_anti").drop(free)
+
+
+#: A key that holds more than one in so many rows is split by :func:`salted_join`.
+SPREAD = 1000
+
+
+def salted_join(rows: DataFrame, keyed: DataFrame, on: list[str], other: list[str], total: int, how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
+    """``rows`` joined with ``keyed`` on ``on``, hot keys dealt to many tasks.
+
+    ``total`` is the number of ``rows``.  Fewer than :data:`SPREAD` keys can hold
+    more than ``total / SPREAD`` rows each; these keys, and how many parts they are
+    cut into, are broadcast.  Their rows are dealt by the hash of ``other``, and
+    what ``keyed`` has for them is repeated once a part, less than ``2 * SPREAD``
+    times in all.  Keys are counted in ``counted`` if that is cheaper to read than
+    ``rows``, whose keys it must hold at least as often.
+    """
+    parts = F.ceil(F.count(F.lit(1)) * SPREAD / F.lit(max(total, 1))).cast("int")
+    hot = (rows if counted is None else counted).groupBy(*on).agg(parts.alias("_parts")).where("_parts > 1")
+    salt = F.pmod(F.xxhash64(*other), F.coalesce("_parts", F.lit(1))).cast("int")
+    left = rows.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_parts")
+    right = keyed.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -4,7 +4,8 @@ Seeds are winnowed anchors: every run of ``window`` words selects the least hash
 of the short word runs inside it, so equal runs select equal anchors.  An
 exchange of the anchors finds those that several documents share.  A shared seed
 is extended to both sides: every run of ``window`` words around it is compared,
-in a second exchange, with the least ``doc_id`` that has the same run.  Runs that
+in a second exchange, with the least ``doc_id`` that has the same run.  Runs are
+the same when two hashes of different families, 128 bits together, agree.  Runs that
 also start in a document with a smaller id are repeats; overlapping ones join to
 maximal repeats, and their words go.
 """
@@ -12,15 +13,15 @@ maximal repeats, and their words go.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.exchange import Answers, Block, exchange, read_blocks
-from loamframe.llm.shared import numbered, stable
+from loamframe.llm.exchange import Answers, Block, Message, exchange, places, read_blocks
+from loamframe.llm.shared import discard, materialise, numbered, pinned, stable
 from loamframe.llm.words import grams
 
 WINDOW = 13
@@ -63,7 +64,7 @@ class _Passes:
             ok, row = _starts(at, len(a), self.window)
             yield ok, row, a
 
-    def anchors(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    def anchors(self, block: Block) -> tuple[np.ndarray, np.ndarray, None]:
         """Distinct anchors of a block and in how many of its documents each lies."""
         own = []
         for ok, row, a in self.windows(block):
@@ -73,29 +74,32 @@ class _Passes:
             if len(v):
                 new = np.concatenate([[True], (v[1:] != v[:-1]) | (r[1:] != r[:-1])])
                 own.append(v[new])
-        return np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return (*np.unique(np.concatenate(own), return_counts=True), None) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64), None)
 
-    def shared(self, block: Block, replies: Answers) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each slice: words where a window with a shared anchor starts, their rows in the block, the windows' hashes."""
-        keys, _ = self.anchors(block)
+    def shared(self, block: Block, replies: Answers) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each slice: words where a window with a shared anchor starts, their rows in the block, the windows' two hashes."""
+        keys, *_ = self.anchors(block)
         several = replies.of(block, keys) > 0
         base = 0
-        for (_, _, _, h, at), (ok, row, a) in zip(block.parts, self.windows(block), strict=True):
+        out = []
+        for (_, _, _, h, at), second, (ok, row, a) in zip(block.parts, block.checks, self.windows(block), strict=True):
             w = np.flatnonzero(ok)
             w = w[several[np.searchsorted(keys, a[w])]] if len(w) else w
-            yield w, row[w] + base, grams(h, self.window)[w] if len(w) else np.zeros(0, np.uint64)
+            hashes = [grams(x, self.window)[w] if len(w) else np.zeros(0, np.uint64) for x in (h, second)]
+            out.append((w, row[w] + base, *hashes))
             base += len(at) - 1
+        return out
 
-    def least_ids(self, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct windows of a block and the least document id that has each."""
-        if not found or not any(len(w) for w, _, _ in found):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        rows, hashes = np.concatenate([r for _, r, _ in found]), np.concatenate([g for _, _, g in found])
-        own = ids[rows]
-        by = np.lexsort((own, hashes))
-        hashes, own = hashes[by], own[by]
-        new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
-        return hashes[new], own[new]
+    def least_ids(self, found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct windows of a block: both hashes and the least document id that has each; for each window its place among them."""
+        _, rows, first, second = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64),) * 4
+        own = ids[rows.astype(np.int64)]
+        which, n = places(first, second)
+        least = np.full(n, LAST_ID, np.int64)
+        np.minimum.at(least, which, own)
+        keys, checks = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        keys[which], checks[which] = first, second
+        return keys, checks, least, which
 
 
 def _ids(block: Block) -> np.ndarray:
@@ -109,46 +113,50 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, carr
     One row per row of ``docs``: ``rid``, ``doc_id``, ``n_words``, ``n_removed``,
     ``kept_sha256``, ``spans`` (maximal repeats as first and last word) and, with
     ``texts``, ``kept_text`` (kept words joined by one space); columns named by
-    ``carry`` come along in the struct ``row``.  Null, empty and wordless texts keep an empty text.  A null ``doc_id`` is not smaller than any
-    id; rows with the same id do not count against each other.  Runs are judged on
-    the input, not on what is left.
+    ``carry`` come along in the struct ``row``.
+
+    Null, empty and wordless texts keep an empty text; an empty table gives an
+    empty result.  A null ``doc_id`` is not smaller than any id; rows with the same
+    id, repeated rows too, do not count against each other.  A very long text is a
+    block of its own.  Columns of ``docs`` that are not named are ignored, whatever
+    they are called.  Runs are judged on the input, not on what is left.
     """
-    spark = docs.sparkSession
     p = _Passes(window, seed)
 
-    def several(values: np.ndarray, which: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        return (np.bincount(which, weights=numbers, minlength=len(values)) > 1)[which]
+    def several(n: int, which: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        return (np.bincount(which, weights=numbers, minlength=n) > 1)[which]
 
-    def smaller_elsewhere(values: np.ndarray, which: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        least = np.full(len(values), LAST_ID, np.int64)
+    def smaller_elsewhere(n: int, which: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        least = np.full(n, LAST_ID, np.int64)
         np.minimum.at(least, which, numbers)
         return least[which] < numbers
 
-    rows = numbered(stable(docs)).select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in carry]).alias("row"))
-    seeds = exchange(rows.select("rid", "text"), p.anchors, several, lower=False)
+    def windows() -> Callable[[Block], Message]:
+        replies = Answers(seeds)
 
-    def windows(block: Block) -> tuple[np.ndarray, np.ndarray]:
-        return p.least_ids(list(p.shared(block, Answers(seeds))), _ids(block))
+        def message(block: Block) -> Message:
+            keys, checks, least, _ = p.least_ids(p.shared(block, replies), _ids(block))
+            return keys, least, checks
 
-    repeats = exchange(rows.select("rid", "doc_id", "text"), windows, smaller_elsewhere, lower=False)
+        return message
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = Answers(seeds), Answers(repeats)
-        for block in read_blocks(batches, False, keep_bytes=True):
+        for block in read_blocks(batches, False, keep_bytes=True, check=True):
             ids = _ids(block)
-            found = list(p.shared(block, first))
-            keys, least = p.least_ids(found, ids)
+            found = p.shared(block, first)
+            keys, _, least, which = p.least_ids(found, ids)
             elsewhere = second.of(block, keys) > 0
-            base = 0
-            for (data, starts, ends, h, at), (w, r, g), (batch, i, n) in zip(block.parts, found, block.rows, strict=True):
-                k = np.searchsorted(keys, g)
+            seen = 0
+            for (data, starts, ends, h, at), (w, r, *_), (batch, i, n) in zip(block.parts, found, block.rows, strict=True):
+                k = which[seen : seen + len(w)]
+                seen += len(w)
                 hit = w[elsewhere[k] | (least[k] < ids[r])] if len(w) else w
                 cover = np.zeros(len(h) + 1, np.int64)
                 cover[hit] += 1
                 np.subtract.at(cover, hit + window, 1)
                 gone = np.cumsum(cover[:-1]) > 0
                 yield _rows(data, starts, ends, at, gone, batch, i, n)
-                base += n
 
     def _rows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, gone: np.ndarray, batch: pa.RecordBatch, i: int, n: int) -> pa.RecordBatch:
         counts = np.diff(at)
@@ -183,16 +191,27 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, carr
             "row": part.column("row"),
         })
 
-    kind = rows.schema["row"].dataType.simpleString()
-    schema = f"rid long, doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first:int,last:int>>, row {kind}"
-    done = rows.mapInArrow(cut, schema)
-    wanted = ["rid", "doc_id", "n_words", "n_removed", "kept_sha256", "spans"]
-    return done.select(*wanted, *["kept_text"] * texts, *["row"] * bool(carry))
+    with pinned(docs.sparkSession):
+        rows = numbered(stable(docs)).select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in carry]).alias("row"))
+        seeds = exchange(rows.select("rid", "text"), lambda: p.anchors, several, lower=False)
+        repeats = exchange(rows.select("rid", "doc_id", "text"), windows, smaller_elsewhere, lower=False, check=True)
+        kind = rows.schema["row"].dataType.simpleString()
+        schema = f"rid long, doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first:int,last:int>>, row {kind}"
+        wanted = ["rid", "doc_id", "n_words", "n_removed", "kept_sha256", "spans", *["kept_text"] * texts, *["row"] * bool(carry)]
+        done = materialise(rows.mapInArrow(cut, schema).select(*wanted), "repeats")
+    discard(docs.sparkSession, seeds, repeats)
+    return done
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeats cut out of ``text``; texts without repeats stay as they are, ``n_chars`` follows."""
+    """``docs`` with repeats cut out of ``text``; texts without repeats stay as they are, ``n_chars`` follows.
+
+    Rows stay, with all their columns; null, empty and long texts, repeated rows,
+    null ids and empty tables as in :func:`remove_repeats`.
+    """
     cut = remove_repeats(docs, carry=tuple(docs.columns))
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("row.text"))
-    made = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None}
+    changed = F.col("n_removed") > 0
+    made = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("row.text")), "n_chars": None}
+    if "n_chars" in docs.columns:
+        made["n_chars"] = F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars"))
     return cut.select(*[made[c].alias(c) if c in made else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -179,3 +179,56 @@ def test_quality_odd_rows(spark):
     x = np.stack([statistics(t) for t in ("one two three. four", "GO!! NOW!!")] * 40)
     forest = grow(x.astype(float), np.array([1.0, 0.0] * 40))
     assert (forest.score(x[:2]) > 0.5).tolist() == [True, False]
+
+
+def morse(k):
+    """The Thue-Morse word of 2**k letters and its complement, which polynomial hashes with 64 bits cannot tell apart."""
+    w = "a"
+    for _ in range(k):
+        w += w.translate(str.maketrans("ab", "ba"))
+    return w, w.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_polynomials_confuse(spark):
+    a, b = morse(11)
+    tail = [f"w{i}" for i in range(30)]
+    rows = [(1, " ".join([a, *tail[:12]])), (2, " ".join([b, *tail[:12]])), (3, " ".join([a] * 13)), (4, " ".join([b] * 13)), (5, " ".join([b, a] * 20)), (6, " ".join([a, b] * 20)), (7, " ".join(["q" * 17] * 14)), (8, " ".join(["q" * 18] * 14))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = remove_repeats(docs).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256, r.kept_text) for r in got) == brute_repeats(rows)
+    got = near_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_components(rows)
+
+
+def test_settings_are_left_alone_and_random_plans_are_written(spark):
+    from loamframe.llm.shared import PINNED, stable
+
+    before = {k: spark.conf.get(k, None) for k in PINNED}
+    where = "/root/testdata/sf0.001/documents.parquet"
+    docs = spark.read.parquet(where)
+    half = docs.where("rand() < 0.5")
+    assert stable(docs.where("doc_id > 3").select("doc_id", "text")) is not docs and not hasattr(stable(docs.where("doc_id > 3")), "scratch_path")
+    assert hasattr(stable(half), "scratch_path")
+    for f in (remove_repeats, near_duplicates, exact_duplicates):
+        assert 0 < f(half).count() < docs.count()
+    kept = drop_exact_duplicates(half)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in kept.collect())
+    assert {k: spark.conf.get(k, None) for k in PINNED} == before
+
+
+def test_ids_that_look_like_none(spark):
+    rows = [(-(2**63), "one text here", "x", None), (None, "one text here", "y", None), (2**63 - 1, "", None, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for f in (exact_duplicates, near_duplicates, remove_repeats, lambda d: score_quality(d, spark.createDataFrame([], "doc_id long, quality int"))):
+        assert sorted(str(r.doc_id) for r in f(docs).collect()) == sorted(str(r[0]) for r in rows)
+
+
+def test_joins_of_hot_keys(spark):
+    from loamframe.llm.shared import salted_join
+
+    rows = spark.range(5000).selectExpr("id", "case when id % 3 = 0 then 0 else id end as k")
+    keyed = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, v string")
+    for how in ("inner", "left"):
+        got = salted_join(rows, keyed, ["k"], ["id"], 5000, how)
+        want = rows.join(keyed, "k", how)
+        assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(map(str, want.select("id", "k", "v").collect()))

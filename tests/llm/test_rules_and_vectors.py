@@ -110,3 +110,24 @@ def test_pipeline(spark):
         assert r.text == (text if n else dict(rows)[r.doc_id]) and (not n or r.n_chars == len(text))
     assert cut.columns == names
     assert sorted({r.doc_id for r in P.run(spark, where).select("doc_id").collect()}) == kept
+
+
+def test_wide_vectors_with_groups(spark):
+    """64 dimensions, groups from two to hundreds around the threshold, several shards; links come back nearly all."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(400, 64))
+    picks = np.concatenate([rng.integers(0, 400, 2200), np.zeros(500, int)])
+    v = base[picks] + rng.choice([0.12, 0.26, 0.3], len(picks))[:, None] * rng.normal(size=(len(picks), 64))
+    rows = [(i, [float(np.float32(x)) for x in v[i]], int(i % 2)) for i in range(len(v))] + [(9000 + i, [float(np.float32(x)) for x in v[0]], 0) for i in range(30)]
+    truth = {k: (n, c) for k, n, c in brute_links(rows)}
+    got = vector_links(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(5)).collect()
+    assert all(r.n_links <= truth[r.vec_id][0] for r in got)
+    assert sum(r.n_links for r in got) >= 0.99 * sum(n for n, _ in truth.values()) > 10_000
+    assert np.mean([r.component_id == truth[r.vec_id][1] for r in got]) > 0.99
+    assert got[0].audited_recall >= 0.99
+
+
+def test_vectors_with_clashing_columns(spark):
+    rows = [(1, [1.0, 0.0], 1, 7, "x"), (None, [1.0, 0.0], 1, 8, None), (2, [1.0, 1e-3], 1, 9, "y"), (2, [1.0, 1e-3], 1, 9, "y"), (3, [1e300, 1e300], 1, 0, "z")]
+    got = vector_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, n_links int, rid string")).collect()
+    assert sorted((str(r.vec_id), r.n_links, r.component_id) for r in got) == [("1", 3, 1), ("2", 3, 1), ("2", 3, 1), ("3", 0, 3), ("None", 3, 1)]
