@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamframe.llm import golomb
-from loamframe.llm.shared import give_back, open_fs, partitions, scratch
+from loamframe.llm.shared import drop_shuffles, give_back, open_fs, partitions, scratch
 from loamframe.llm.words import text_slices, word_hashes, words
 
 #: Words in a block, about; a block ends with the document that reaches this.
@@ -158,7 +158,8 @@ def exchange(
 
     sent = rows.mapInArrow(send, "owner long, pid int, sub int, keys binary, numbers binary, seconds binary")
     answers = sent.groupBy("owner").applyInArrow(settle, "pid int, sub int, owner long, reply binary")
-    answers.repartition(F.col("pid")).write.partitionBy("pid").parquet(path)
+    with drop_shuffles(spark):
+        answers.repartition(F.col("pid")).write.partitionBy("pid").parquet(path)
     return path
 
 

@@ -114,15 +114,16 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = THRESH
                 for k in range(orders):
                     first = np.lexsort((mix(s, salt=k + 1), c))[:p_len]
                     first = first[c[first] > 0]
-                    prefixes[k].append(s[first].view(np.int64))
+                    # the first order's tokens are joined; of the others half the bits are enough to leave pairs out
+                    prefixes[k].append(s[first].view(np.int64) if k == 0 else (s[first] >> np.uint64(32)).astype(np.uint32).view(np.int32))
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_pydict({
                 "rid": pa.array(rid, pa.int64()), "place": where, "doc_id": doc_id, "n": pa.array([len(s) for s in sets], pa.int32()),
                 "class": pa.array(rid[firsts], pa.int64()), "shared": pa.array(shared, kind),
-                **{f"p{k}": pa.array(p, kind) for k, p in enumerate(prefixes)},
+                **{f"p{k}": pa.array(p, kind if k == 0 else pa.list_(pa.int32())) for k, p in enumerate(prefixes)},
             })
 
-    schema = "rid long, place struct<file:long,at:long>, doc_id long, n int, class long, shared array<long>" + "".join(f", p{k} array<long>" for k in range(orders))
+    schema = "rid long, place struct<file:long,at:long>, doc_id long, n int, class long, shared array<long>, p0 array<long>" + "".join(f", p{k} array<int>" for k in range(1, orders))
     with pinned(spark):
         rows = numbered(stable(docs).withColumn("place", place())).select("rid", "place", F.col("doc_id").cast("long").alias("doc_id"), "text")
         answers = exchange(rows.select("rid", "text"), lambda: tokens, frequency, lower=True)
@@ -201,16 +202,12 @@ def _near(n: str, m: str, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _pairs(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
 def _stars(rows: DataFrame, total: int, turn: int, percent: int) -> DataFrame:
-    """Each token's members paired with one of them that is in another group."""
+    """Each token's members (``leaf``) paired with one of them that is in another group (``hub``)."""
     head = F.min(F.struct(F.xxhash64("group", F.lit(turn)).alias("order"), "n", "class", "group")).alias("head")
     heads = rows.groupBy("token").agg(head, F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("token", "head")
     met = salted_join(rows, heads, ["token"], ["class"], total).where(F.col("group") != F.col("head.group"))
-    return met.where(_near("n", "head.n", percent)).select(*_pairs("class", "head.class")).distinct()
+    return met.where(_near("n", "head.n", percent)).select(F.col("head.class").alias("hub"), F.col("class").alias("leaf")).distinct()
 
 
 def _open(rows: DataFrame, total: int) -> DataFrame:
@@ -229,7 +226,7 @@ def _rest(members: DataFrame, percent: int) -> DataFrame:
     """All pairs across groups in tokens of at most :data:`SMALL` members."""
     few = members.where(F.col("size") <= SMALL)
     other = few.select("token", F.col("class").alias("other"), F.col("n").alias("m"), F.col("group").alias("apart"))
-    return few.join(other, "token").where("class < other and group <> apart").where(_near("n", "m", percent)).select(*_pairs("class", "other")).distinct()
+    return few.join(other, "token").where("class < other and group <> apart").where(_near("n", "m", percent)).select(F.col("class").alias("hub"), F.col("other").alias("leaf")).distinct()
 
 
 def _blocks(members: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
@@ -241,51 +238,58 @@ def _blocks(members: DataFrame, sets: DataFrame, percent: int, orders: int) -> D
     return held.groupBy("token", "lo", "hi").applyInArrow(_compare_blocks(percent, orders), "u long, v long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
-    """The pairs (``a``, ``b``) as similar as ``percent``; whole sets meet only where the other orders' prefixes do."""
-    spark = sets.sparkSession
-    pairs = materialise(pairs, "pairs")
-    total = pairs.count()
+def _met(pairs: DataFrame, sets: DataFrame, names: list[str], total: int) -> DataFrame:
+    """Pairs with columns of both sets; only a hub's set is repeated, once for each part its leaves are cut into."""
+    side = lambda x: sets.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in names]).join(pairs.select(x).distinct(), x, "left_semi")
+    return salted_join(pairs.join(side("leaf"), "leaf"), side("hub"), ["hub"], ["leaf"], total, counted=pairs)
 
-    def both(rows: DataFrame, names: list[str], total: int) -> DataFrame:
-        counted = rows
-        for x, y in ("ba", "ab"):
-            side = sets.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in names])
-            rows = salted_join(rows, side, [x], [y], total, counted=counted)
-        return rows
 
-    met = both(pairs, [f"p{k}" for k in range(1, orders)], total)
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
+    """The pairs (``hub``, ``leaf``) as similar as ``percent``; whole sets meet only where the other orders' prefixes do."""
+    met = _met(pairs, sets, [f"p{k}" for k in range(1, orders)], pairs.count())
     for k in range(1, orders):
-        met = met.where(F.arrays_overlap(f"p{k}_a", f"p{k}_b"))
-    met = materialise(met.select("a", "b"), "met")
-    discard(spark, pairs)
-    common = F.size(F.array_intersect("shared_a", "shared_b"))
-    good = both(met, ["n", "shared"], met.count()).withColumn("common", common)
-    good = good.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common")))
-    return good.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        met = met.where(F.arrays_overlap(f"p{k}_hub", f"p{k}_leaf"))
+    met = materialise(met.select("hub", "leaf"), "met")
+    common = F.size(F.array_intersect("shared_hub", "shared_leaf"))
+    good = _met(met, sets, ["n", "shared"], met.count()).withColumn("common", common)
+    good = good.where(100 * F.col("common") >= percent * (F.col("n_hub") + F.col("n_leaf") - F.col("common")))
+    good = materialise(good.select(F.col("hub").alias("u"), F.col("leaf").alias("v")), "links")
+    discard(sets.sparkSession, met)
+    return good
+
+
+def _untested(pairs: DataFrame, tested: list[DataFrame]) -> DataFrame:
+    """Pairs that no earlier round had, either way round."""
+    both = lambda p: p.select(F.least("hub", "leaf").alias("a"), F.greatest("hub", "leaf").alias("b"))
+    out = pairs.withColumns({"a": F.least("hub", "leaf"), "b": F.greatest("hub", "leaf")})
+    for t in tested:
+        out = out.join(both(t), ["a", "b"], "left_anti")
+    return out.drop("a", "b")
 
 
 def _linked(sets: DataFrame, percent: int, orders: int) -> DataFrame:
     """Links (``u``, ``v``) that connect all pairs of sets as similar as ``percent``."""
     spark = sets.sparkSession
-    index = materialise(sets.select(F.explode("p0").alias("token"), "class", "n"), "postings")
-    total = index.count()
-    links, tested, group = spark.createDataFrame([], "u long, v long"), spark.createDataFrame([], "a long, b long"), None
+    small = sets.select("class", "n", "p0")
+    total = small.agg(F.coalesce(F.sum(F.size("p0")), F.lit(0))).first()[0]
+    links, tested, group = spark.createDataFrame([], "u long, v long"), [], None
     for turn in range(STARS + 1):
-        rows = index.withColumn("group", F.col("class")) if group is None else index.join(group, "class", "left").withColumn("group", F.coalesce("group", "class"))
-        rows = materialise(rows, "grouped")
+        held = small.withColumn("group", F.col("class")) if group is None else materialise(small.join(group, "class", "left").withColumn("group", F.coalesce("group", "class")), "grouped")
+        rows = held.select(F.explode("p0").alias("token"), "class", "n", "group")
         if turn < STARS:
-            found = materialise(_stars(rows, total, turn, percent), "stars")
-            new = _verified(found.join(tested, ["a", "b"], "left_anti"), sets, percent, orders)
-            tested = tested.union(found)
+            found = materialise(_untested(_stars(rows, total, turn, percent), tested), "stars")
+            tested.append(found)
+            new = _verified(found, sets, percent, orders)
         else:
             members = _open(rows, total)
-            new = _verified(_rest(members, percent).join(tested, ["a", "b"], "left_anti"), sets, percent, orders).union(_blocks(members, sets, percent, orders))
+            found = materialise(_untested(_rest(members, percent), tested), "rest")
+            new = _verified(found, sets, percent, orders).union(_blocks(members, sets, percent, orders))
+            tested += [found, members]
         last, links = links, materialise(links.union(new), "links")
-        discard(spark, rows, last)
+        discard(spark, last, held)
         if turn < STARS:
             group = components(links).select(F.col("node").alias("class"), F.col("component").alias("group"))
-    discard(spark, index)
+    discard(spark, *tested)
     return links
 
 

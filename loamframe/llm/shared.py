@@ -63,7 +63,8 @@ def scratch(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts lineage."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    with drop_shuffles(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -79,10 +80,10 @@ def discard(spark: SparkSession, *paths: str | DataFrame) -> None:
 
 
 @contextmanager
-def pinned(spark: SparkSession) -> Iterator[None]:
-    """Hold :data:`PINNED` for the passes inside, which must not leave lazy scans behind."""
-    before = {k: spark.conf.get(k, None) for k in PINNED}
-    for k, v in PINNED.items():
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Hold session settings inside a block and put back what was set before."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
         spark.conf.set(k, v)
     try:
         yield
@@ -91,6 +92,16 @@ def pinned(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def pinned(spark: SparkSession):  # noqa: ANN201
+    """Hold :data:`PINNED` for the passes inside, which must not leave lazy scans behind."""
+    return settings(spark, PINNED)
+
+
+def drop_shuffles(spark: SparkSession):  # noqa: ANN201
+    """Remove the shuffle files of each query inside when it ends, for results that are written and never planned again."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
