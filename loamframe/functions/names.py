@@ -29,3 +29,48 @@ def decimal_comma(text: Column) -> Column:
 def reverse_complement(seq: Column) -> Column:
     """Reverse complement of ACGT text; other letters stay as they are."""
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
+
+
+#: File endings, and marks of the first mate, in the order they are tried (fixed values).
+FASTQ_ENDINGS = (".fastq.gz", ".fq.gz", ".fastq", ".fq", ".gz")
+MATE_MARKS = ("_R1_001", "_R1", "_1", ".mate1")
+REPORT_ENDINGS = (".kraken2.report.txt", ".report.txt", ".k2report", ".kreport", ".report", ".txt")
+
+
+def _ending(name: Column, endings: tuple[str, ...], shorter: bool) -> Column:
+    """The name without the first of ``endings`` that it has; a name that is one stays if ``shorter``."""
+    out = name
+    for e in reversed(endings):
+        fits = name.endswith(e) & ((F.length(name) > len(e)) if shorter else F.lit(True))
+        out = F.when(fits, F.substring(name, F.lit(1), F.length(name) - len(e))).otherwise(out)
+    return out
+
+
+def fastq_sample(file: Column, paired: bool) -> Column:
+    """Sample of a FASTQ file: without its ending and, of pairs, without the first mate's mark."""
+    name = _ending(F.element_at(F.split(file, "/"), -1), FASTQ_ENDINGS, True)
+    return _ending(name, MATE_MARKS, False) if paired else name
+
+
+def report_sample(file: Column, endings: tuple[str, ...] = REPORT_ENDINGS) -> Column:
+    """Sample of a report: its file name without the longest ending that it has."""
+    return _ending(F.element_at(F.split(file, "/"), -1), tuple(sorted(endings, key=len, reverse=True)), True)
+
+
+def syntactic_name(name: Column) -> Column:
+    """A name that is a valid identifier in statistics software: other characters become dots.
+
+    A name that begins with a digit, an underscore, or a dot and a digit gets an X.
+    """
+    plain = F.regexp_replace(name, "[^A-Za-z0-9._]", ".")
+    return F.when((plain == "") | plain.rlike(r"^([0-9_]|\.[0-9])"), F.concat(F.lit("X"), plain)).otherwise(plain)
+
+
+def grouped_number(text: Column) -> Column:
+    """Whole number written with commas between groups of digits; null where it is none."""
+    return F.replace(F.trim(text), F.lit(","), F.lit("")).try_cast("long")
+
+
+def percent_number(text: Column) -> Column:
+    """Number before a percent sign; null where it is none."""
+    return F.rtrim(F.trim(text), F.lit("% ")).try_cast("double")

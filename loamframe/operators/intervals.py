@@ -6,16 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def count_features(alignments: DataFrame, exons: DataFrame, width: int = 1000) -> DataFrame:
+def bin_width(intervals: DataFrame, least: int = 64) -> int:
+    """A width for bins: about what nine of ten intervals span, so that few are in more than two bins."""
+    found = intervals.where("start <= end").agg(F.percentile_approx(F.col("end") - F.col("start") + 1, 0.9, 1000)).first()[0]
+    return max(least, int(found or least))
+
+
+def count_features(alignments: DataFrame, exons: DataFrame, width: int | None = None, stranded: bool = False) -> DataFrame:
     """Reads per ``gene`` that overlap exons of that gene alone.
 
     ``alignments``: ``read``, ``contig``, ``start``, ``end``; ``exons``: ``gene``,
-    ``contig``, ``start``, ``end``; ends are inclusive.  Both sides are spread over
-    bins of ``width`` and meet by equality of contig and bin.
+    ``contig``, ``start``, ``end``; ends are inclusive.  With ``stranded`` both have a
+    ``strand`` that must agree.  Both sides are spread over bins and meet by equality
+    of contig and bin; without ``width`` it follows the exons.  Where an overlap is
+    in several bins only the first counts it.
     """
+    width = width or bin_width(exons)
+    on = ["contig", "bin", *["strand"] * stranded]
     bins = F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))).alias("bin")
-    a = alignments.where("start <= end").select("read", "contig", "start", "end", bins)
-    e = exons.where("start <= end").select("gene", "contig", F.col("start").alias("first"), F.col("end").alias("last"), bins)
-    met = a.join(e, ["contig", "bin"]).where("start <= last AND first <= end")
+    strand = ["strand"] * stranded
+    a = alignments.where("start <= end").select("read", "contig", *strand, "start", "end", bins)
+    e = exons.where("start <= end").select("gene", "contig", *strand, F.col("start").alias("first"), F.col("end").alias("last"), bins)
+    met = a.join(e, on).where("start <= last AND first <= end").where(F.col("bin") == F.floor(F.greatest("start", "first") / width))
     genes = met.groupBy("read").agg(F.min("gene").alias("gene"), F.max("gene").alias("other"))
     return genes.where("gene = other").groupBy("gene").agg(F.count(F.lit(1)).alias("n"))

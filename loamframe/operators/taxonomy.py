@@ -5,21 +5,28 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loamframe.functions.special import hypergeometric_p
+
 
 def taxonomy_paths(nodes: DataFrame, levels: int) -> DataFrame:
-    """Add ``path`` (ids from the root down) and ``depth`` to ``nodes`` (``tax_id``, ``parent_id``, ``rank``, ``name``).
+    """Add ``path`` (ids from the root down), ``lineage`` (their ids, ranks and names) and ``depth`` to ``nodes`` (``tax_id``, ``parent_id``, ``rank``, ``name``).
 
-    The root has a null parent.  One join per level; a level holds only its own nodes.
+    The root has a null parent.  Every node climbs to its parent ``levels - 1``
+    times, one join with the nodes each; nodes that do not reach the root by then
+    are left out.
     """
-    level = nodes.where("parent_id is null").withColumn("path", F.array("tax_id"))
-    found = [level]
+    own = F.struct(F.col("tax_id").alias("id"), "rank", "name")
+    parents = nodes.select(F.col("tax_id").alias("_up"), F.col("parent_id").alias("_next"), own.alias("_node"))
+    out = nodes.withColumn("lineage", F.array(own)).withColumn("_top", F.col("parent_id"))
     for _ in range(levels - 1):
-        up = level.select(F.col("tax_id").alias("parent_id"), F.col("path").alias("up"))
-        level = nodes.join(up, "parent_id").withColumn("path", F.concat("up", F.array("tax_id"))).select(*nodes.columns, "path")
-        found.append(level)
-    return reduce(DataFrame.unionByName, found).withColumn("depth", F.size("path"))
+        up = out.join(parents, F.col("_top") == F.col("_up"), "left")
+        # an id without a node ends the climb short of the root
+        met = F.col("_up").isNotNull()
+        out = up.select(*nodes.columns, F.when(met, F.concat(F.array("_node"), "lineage")).otherwise(F.col("lineage")).alias("lineage"), F.when(met, F.col("_next")).otherwise(F.col("_top")).alias("_top"))
+    return out.where("_top is null").select(*nodes.columns, "lineage", F.col("lineage.id").alias("path"), F.size("lineage").alias("depth"))
 
 
 def direct_counts(reads: DataFrame) -> DataFrame:
@@ -38,19 +45,34 @@ def percent(part: Column, total: Column) -> Column:
     return F.coalesce(F.try_divide(part * 100.0, total), F.lit(0.0))
 
 
-def clade_report(direct: DataFrame, paths: DataFrame) -> DataFrame:
-    """Per-sample report: nodes with reads in their clade, and the unclassified row (``tax_id`` 0)."""
-    totals = direct.groupBy("sample").agg(F.sum("direct_reads").alias("total"))
-    nodes = clade_counts(direct, paths).join(direct, ["sample", "tax_id"], "left").join(paths, "tax_id")
-    named = nodes.select("sample", "tax_id", "rank", "name", "depth", "clade_reads", F.coalesce("direct_reads", F.lit(0)).alias("direct_reads"))
-    none = direct.where("tax_id is null").select("sample", F.lit(0).alias("tax_id"), F.lit("unclassified").alias("rank"), F.lit("unclassified").alias("name"), F.lit(0).alias("depth"), F.col("direct_reads").alias("clade_reads"), "direct_reads")
-    return named.unionByName(none).join(totals, "sample").withColumn("pct", F.round(percent(F.col("clade_reads"), F.col("total")), 4)).drop("total")
+def clade_report(direct: DataFrame, paths: DataFrame, root: int = 1) -> DataFrame:
+    """Per-sample report: nodes with reads in their clade, and the unclassified row (``tax_id`` 0).
+
+    Reads are rolled up once: the tree is joined with the direct counts alone, and
+    every step of a path carries its name along.  Ids outside the tree get a row of
+    their own below the root, whose clade they count in.
+    """
+    node = lambda i, rank, name: F.struct(i.cast("int").alias("id"), F.lit(rank).alias("rank"), name.alias("name"))
+    none = F.array(node(F.lit(0), "unclassified", F.lit("unclassified")))
+    other = F.array(node(F.lit(root), "root", F.lit("root")), node(F.col("tax_id"), "unknown", F.col("tax_id").cast("string")))
+    held = direct.join(paths.select("tax_id", "lineage"), "tax_id", "left")
+    lineage = F.coalesce("lineage", F.when(F.col("tax_id").isNull(), none).otherwise(other))
+    at = F.when(F.col("tax_id").isNull(), F.lit(-1)).otherwise(F.lit(0))
+    each = held.select("sample", "direct_reads", F.coalesce("tax_id", F.lit(0)).alias("own"), at.alias("base"), F.posexplode(lineage).alias("at", "n"))
+    each = each.select("sample", "direct_reads", "own", F.struct((F.col("base") + F.col("at")).alias("at"), "n.id", "n.rank", "n.name").alias("s"))
+    rolled = each.groupBy("sample", F.col("s.id").alias("tax_id")).agg(
+        F.max("s.rank").alias("rank"), F.max("s.name").alias("name"), (F.max("s.at") + 1).alias("depth"), F.sum("direct_reads").alias("clade_reads"),
+        F.coalesce(F.sum(F.when(F.col("own") == F.col("s.id"), F.col("direct_reads"))), F.lit(0)).alias("direct_reads"),
+    )
+    total = F.sum("direct_reads").over(W.partitionBy("sample"))
+    return rolled.withColumn("pct", F.round(percent(F.col("clade_reads"), total), 4))
 
 
 def drop_contaminants(direct: DataFrame, contaminants: DataFrame) -> DataFrame:
-    """Direct counts with those of contaminants set to zero; the rows stay."""
-    flagged = contaminants.select("tax_id").distinct().withColumn("hit", F.lit(True))
-    return direct.join(flagged, "tax_id", "left").select("sample", "tax_id", F.when(F.col("hit"), F.lit(0)).otherwise(F.col("direct_reads")).alias("direct_reads"))
+    """Direct counts with those of contaminants set to zero; the rows stay.  Ids are compared as text."""
+    flagged = contaminants.select(F.trim(F.col("tax_id").cast("string")).alias("_bad")).distinct()
+    hit = direct.join(flagged, F.col("tax_id").cast("string") == F.col("_bad"), "left")
+    return hit.select("sample", "tax_id", F.when(F.col("_bad").isNotNull(), F.lit(0)).otherwise(F.col("direct_reads")).alias("direct_reads"))
 
 
 def composition(report: DataFrame, groups: dict[str, int], root: int) -> DataFrame:
@@ -95,8 +117,60 @@ def merge_pairs(mates: DataFrame) -> DataFrame:
 
 
 def prevalence_counts(counts: DataFrame, samples: DataFrame) -> DataFrame:
-    """Per taxon, in how many control and other samples it is present and absent."""
-    totals = samples.agg(F.count_if("is_control").alias("controls"), F.count_if(~F.col("is_control")).alias("others"))
-    seen = counts.where("n > 0").select("tax_id", "sample").distinct().join(samples, "sample")
+    """Per taxon, in how many control and other samples it is present and absent.
+
+    ``counts`` has one row per ``tax_id`` and ``sample``.
+    """
+    totals = samples.agg(F.struct(F.count_if("is_control").alias("controls"), F.count_if(~F.col("is_control")).alias("others"))).scalar()
+    seen = counts.where("n > 0").join(samples, "sample")
     present = seen.groupBy("tax_id").agg(F.count_if("is_control").alias("control_present"), F.count_if(~F.col("is_control")).alias("other_present"))
-    return present.join(F.broadcast(totals)).select("tax_id", "control_present", (F.col("controls") - F.col("control_present")).alias("control_absent"), "other_present", (F.col("others") - F.col("other_present")).alias("other_absent"))
+    out = present.withColumn("_t", totals)
+    return out.select("tax_id", "control_present", (F.col("_t.controls") - F.col("control_present")).alias("control_absent"), "other_present", (F.col("_t.others") - F.col("other_present")).alias("other_absent"))
+
+
+def contaminants(prevalence: DataFrame, threshold: float = 0.1) -> DataFrame:
+    """Add ``p`` and ``contaminant`` to :func:`prevalence_counts`.
+
+    p is the chance that a taxon as common lies in control samples as often as seen
+    (one-sided exact test on the 2x2 table); below ``threshold`` it is flagged.
+    """
+    present = F.col("control_present") + F.col("other_present")
+    controls = F.col("control_present") + F.col("control_absent")
+    total = present + F.col("control_absent") + F.col("other_absent")
+    out = prevalence.withColumn("p", hypergeometric_p(F.col("control_present"), controls, present, total))
+    return out.withColumn("contaminant", F.col("p") < threshold)
+
+
+def with_confidence(votes: DataFrame, paths: DataFrame, least: float) -> DataFrame:
+    """Taxon of every read whose clade has at least a share ``least`` of its k-mers, walking up from the one it was given.
+
+    ``votes``: ``read_id``, ``tax_id`` (null: no hit), ``kmers``, ``called``.  A read
+    without such a node has a null ``tax_id``.
+    """
+    own = paths.select("tax_id", F.col("path").alias("own"))
+    called = paths.select(F.col("tax_id").alias("called"), F.col("path").alias("up"))
+    rows = votes.join(own, "tax_id", "left").join(called, "called", "left")
+    per_read = rows.groupBy("read_id").agg(F.max("up").alias("up"), F.sum("kmers").alias("total"), F.collect_list(F.struct("own", "kmers")).alias("v"))
+    support = lambda node: F.aggregate("v", F.lit(0).cast("long"), lambda acc, x: acc + F.when(F.array_contains(x["own"], node), x["kmers"]).otherwise(0))
+    good = F.filter("up", lambda node: support(node) >= least * F.col("total"))
+    return per_read.select("read_id", F.try_element_at(good, F.lit(-1)).alias("tax_id"))
+
+
+def reestimate(report: DataFrame, paths: DataFrame, shares: DataFrame, least: int = 10) -> DataFrame:
+    """Reads at a rank with those above it handed down: ``sample``, ``tax_id``, ``assigned``, ``added``, ``estimate``, ``fraction``.
+
+    ``report``: ``sample``, ``tax_id``, ``direct_reads``, ``clade_reads``.  ``shares``:
+    ``tax_id`` (a node at the rank), ``ancestor`` and ``share``, the expected part
+    of a node's k-mers that only identify the ancestor.  Nodes at the rank with fewer
+    than ``least`` reads in their clade are dropped first.
+    """
+    at_rank = shares.select("tax_id").distinct()
+    assigned = report.join(at_rank, "tax_id", "left_semi").where(F.col("clade_reads") >= least).select("sample", "tax_id", F.col("clade_reads").alias("assigned"))
+    above = report.select("sample", F.col("tax_id").alias("ancestor"), F.col("direct_reads").alias("held"))
+    wanted = assigned.join(shares, "tax_id").join(above, ["sample", "ancestor"]).where("tax_id <> ancestor")
+    weight = F.col("assigned") * F.col("share")
+    part = F.try_divide(weight, F.sum(weight).over(W.partitionBy("sample", "ancestor")))
+    added = wanted.withColumn("part", part).groupBy("sample", "tax_id").agg(F.sum(F.col("held") * F.col("part")).alias("added"))
+    out = assigned.join(added, ["sample", "tax_id"], "left").withColumn("added", F.coalesce("added", F.lit(0.0)))
+    out = out.withColumn("estimate", F.col("assigned") + F.col("added"))
+    return out.withColumn("fraction", F.try_divide("estimate", F.sum("estimate").over(W.partitionBy("sample"))))

@@ -18,6 +18,14 @@ from loamframe.operators import taxonomy as T
 from loamframe.streaming.status import stage_status as status
 
 
+_COUNTS = "WITH counts AS (SELECT p_brand AS gene, l_suppkey AS sample, sum(l_quantity) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"
+_GROUPS = "groups AS (SELECT s_suppkey AS sample, r_name AS grp FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
+_TOTALS = "WITH g AS (SELECT l_returnflag AS comparison, l_partkey AS gene, sum(l_quantity) AS n FROM lineitem GROUP BY 1, 2), sets AS (SELECT p_type || ' ' || p_size AS term, p_partkey AS gene FROM part)"
+_SPARSE = "WITH counts AS (SELECT l_partkey AS gene, l_suppkey AS sample, sum(l_quantity) AS n FROM lineitem GROUP BY 1, 2)"
+
+
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -81,7 +89,7 @@ def low_count_filter(spark: SparkSession, d: str) -> DataFrame:
 
 def size_factors(spark: SparkSession, d: str) -> DataFrame:
     counts = _counts(spark, d)
-    return X.size_factors(counts, counts.select("sample").distinct().count()).withColumn("size_factor", F.round("size_factor", 4))
+    return X.size_factors(counts).withColumn("size_factor", F.round("size_factor", 4))
 
 
 def gene_zscore(spark: SparkSession, d: str) -> DataFrame:
@@ -95,7 +103,7 @@ def welch_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def bh_adjust(spark: SparkSession, d: str) -> DataFrame:
     tests = _table(spark, d, "part").select("p_partkey", F.col("p_type").alias("comparison"), (F.col("p_retailprice") / 2500).alias("p"))
-    return X.benjamini_hochberg(tests, "comparison", "p_partkey").select("p_partkey", "comparison", F.round("padj", 4).alias("padj"))
+    return X.benjamini_hochberg(tests, "comparison").select("p_partkey", "comparison", F.round("padj", 4).alias("padj"))
 
 
 def bonferroni(spark: SparkSession, d: str) -> DataFrame:
@@ -109,7 +117,7 @@ def prevalence_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def variance_filter(spark: SparkSession, d: str) -> DataFrame:
-    return X.variance_filter(_counts(spark, d), 100.0).withColumn("variance", F.round("variance", 4))
+    return X.variance_filter(_counts(spark, d), 100.0, X.sample_count(_counts(spark, d))).withColumn("variance", F.round("variance", 4))
 
 
 def coverage_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -157,13 +165,23 @@ _ALL = (log_cpm, overlap_counts, enrichment_scores, feature_counts, clade_report
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _ALL}
+    from loamframe.plans import read_queries, result_queries, sample_queries, taxonomy_queries
 
+    more = [f for m in (result_queries, taxonomy_queries, sample_queries, read_queries) for f in m.QUERIES]
+    return {f.__name__: f for f in (*_ALL, *more)}
 
-_COUNTS = "WITH counts AS (SELECT p_brand AS gene, l_suppkey AS sample, sum(l_quantity) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"
-_GROUPS = "groups AS (SELECT s_suppkey AS sample, r_name AS grp FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
-_TOTALS = "WITH g AS (SELECT l_returnflag AS comparison, l_partkey AS gene, sum(l_quantity) AS n FROM lineitem GROUP BY 1, 2), sets AS (SELECT p_type || ' ' || p_size AS term, p_partkey AS gene FROM part)"
-_SPARSE = "WITH counts AS (SELECT l_partkey AS gene, l_suppkey AS sample, sum(l_quantity) AS n FROM lineitem GROUP BY 1, 2)"
+
+def _welch(counts: str) -> str:
+    """Means, fold change, t and degrees of freedom of all pairs of groups; missing cells are zeros."""
+    return f"""
+{counts}, {_GROUPS}, size AS (SELECT grp, count(*) AS k FROM groups GROUP BY 1),
+pairs AS (SELECT a.grp AS c, b.grp AS t FROM size a JOIN size b ON a.grp < b.grp),
+g AS (SELECT gene, grp, sum(n) / max(k) AS m, count(n) * var_pop(n) + count(n) * (avg(n) - sum(n) / max(k)) ** 2 + (max(k) - count(n)) * (sum(n) / max(k)) ** 2 AS ss FROM counts JOIN groups USING (sample) JOIN size USING (grp) GROUP BY 1, 2),
+j AS (SELECT t || '_vs_' || c AS comparison, genes.gene, coalesce(x.m, 0) AS mc, coalesce(y.m, 0) AS mt, sc.k AS kc, st.k AS kt, coalesce(x.ss, 0) / nullif(sc.k - 1, 0) AS vc, coalesce(y.ss, 0) / nullif(st.k - 1, 0) AS vt
+  FROM (SELECT DISTINCT gene FROM g) genes CROSS JOIN pairs JOIN size sc ON sc.grp = c JOIN size st ON st.grp = t LEFT JOIN g x ON x.grp = c AND x.gene = genes.gene LEFT JOIN g y ON y.grp = t AND y.gene = genes.gene)
+SELECT comparison, gene, round(mc, 4) AS mean_control, round(mt, 4) AS mean_treatment, round(log2((mt + 1) / (mc + 1)), 4) AS log2_fold_change,
+  CASE WHEN kc > 1 AND kt > 1 THEN round(CASE WHEN vc = 0 AND vt = 0 THEN 0 ELSE (mc - mt) / nullif(sqrt(vc / kc + vt / kt), 0) END, 4) END AS t_stat,
+  CASE WHEN kc > 1 AND kt > 1 THEN round((vc / kc + vt / kt) ** 2 / nullif((vc / kc) ** 2 / nullif(kc - 1, 0) + (vt / kt) ** 2 / nullif(kt - 1, 0), 0), 4) END AS df FROM j"""
 
 
 def _report(zero: str) -> str:
@@ -183,8 +201,10 @@ SELECT sample, tax_id, rank, name, depth, clade_reads::BIGINT AS clade_reads, di
 
 
 def oracle_sql() -> dict[str, str]:
+    from loamframe.plans import read_queries, result_queries, sample_queries, taxonomy_queries
+
     plain = _report("count(*)")
-    return {
+    own = {
         "log_cpm": f"""
 {_COUNTS}, t AS (SELECT sample, sum(n) AS size FROM counts GROUP BY 1), p AS (SELECT sample, size, 2 * size / (SELECT avg(size) FROM t) AS p FROM t)
 SELECT gene, sample, round(log2((n + p) * 1e6 / (size + 2 * p)), 4) AS log_cpm FROM counts JOIN p USING (sample)""",
@@ -227,13 +247,7 @@ FROM (SELECT *, l_returnflag || '_' || l_linestatus AS k FROM lineitem) GROUP BY
 {_COUNTS}, p AS (SELECT gene, avg(ln(n)) AS m FROM counts WHERE n > 0 GROUP BY gene HAVING count(*) = (SELECT count(DISTINCT sample) FROM counts))
 SELECT sample, round(exp(median(ln(n) - m)), 4) AS size_factor FROM counts JOIN p USING (gene) GROUP BY sample""",
         "gene_zscore": f"{_COUNTS}, v AS (SELECT *, log2(n + 1) AS v FROM counts) SELECT gene, sample, round(coalesce((v - avg(v) OVER w) / nullif(stddev_pop(v) OVER w, 0), 0), 4) AS z FROM v WINDOW w AS (PARTITION BY gene)",
-        "welch_stats": f"""
-{_COUNTS}, {_GROUPS}, pairs AS (SELECT a.grp AS c, b.grp AS t FROM (SELECT DISTINCT grp FROM groups) a JOIN (SELECT DISTINCT grp FROM groups) b ON a.grp < b.grp),
-g AS (SELECT gene, grp, avg(n) AS m, var_samp(n) AS v, count(n) AS k FROM counts JOIN groups USING (sample) GROUP BY 1, 2),
-j AS (SELECT t || '_vs_' || c AS comparison, x.gene, x.m AS mc, y.m AS mt, x.v AS vc, y.v AS vt, x.k AS kc, y.k AS kt, x.v / x.k AS a, y.v / y.k AS b FROM pairs JOIN g x ON x.grp = c JOIN g y ON y.grp = t AND y.gene = x.gene)
-SELECT comparison, gene, round(mc, 4) AS mean_control, round(mt, 4) AS mean_treatment, round(log2((mt + 1) / (mc + 1)), 4) AS log2_fold_change,
-  CASE WHEN kc > 1 AND kt > 1 THEN round(CASE WHEN vc = 0 AND vt = 0 THEN 0 ELSE (mt - mc) / nullif(sqrt(a + b), 0) END, 4) END AS t_stat,
-  CASE WHEN kc > 1 AND kt > 1 THEN round((a + b) * (a + b) / nullif(a * a / nullif(kc - 1, 0) + b * b / nullif(kt - 1, 0), 0), 4) END AS df FROM j""",
+        "welch_stats": _welch(_COUNTS),
         "bh_adjust": """
 WITH r AS (SELECT p_partkey, p_type AS comparison, p_retailprice / 2500 AS p, row_number() OVER (PARTITION BY p_type ORDER BY p_retailprice, p_partkey) AS k, count(*) OVER (PARTITION BY p_type) AS m FROM part)
 SELECT p_partkey, comparison, round(least(1, min(p * m / k) OVER (PARTITION BY comparison ORDER BY k DESC ROWS UNBOUNDED PRECEDING)), 4)::DOUBLE AS padj FROM r""",
@@ -246,3 +260,5 @@ WITH best AS (SELECT l_suppkey AS gene FROM lineitem GROUP BY 1 ORDER BY sum(l_q
 SELECT gene, sample, round(n / total, 6) AS share FROM (SELECT l_suppkey AS gene, l_returnflag AS sample, sum(l_quantity) AS n FROM lineitem GROUP BY 1, 2) JOIN best USING (gene) JOIN t USING (sample)""",
         "stage_status": "SELECT event_type AS stage, count(*) AS completed, round(avg(value), 4) AS mean_size FROM events GROUP BY 1",
     }
+    every = own | result_queries.SQL | taxonomy_queries.SQL | sample_queries.SQL | read_queries.SQL
+    return {k: v.replace("__CALLED__", own["classify_lca"]) for k, v in every.items()}
