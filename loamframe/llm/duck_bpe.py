@@ -2,7 +2,10 @@
 
 Inside a partition each distinct word is a set of (word, position, token) rows.
 A recursive query joins neighbours with the merge table and contracts, in every
-word at once, the leftmost pair of least rank, until no pair is left.  Decoding
+word at once, the leftmost pair of least rank, until no pair is left.  Long words
+contract all pairs of their least rank that do not touch in one round.  That is the
+same where every token's own bytes contract to it, as in any vocabulary made by
+merging: then no pair that holds a new token can rank before the token.  Decoding
 joins ids with the vocabulary and concatenates bytes in order of position.
 """
 
@@ -13,7 +16,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -26,8 +28,8 @@ from loamframe.llm.shared import text_or_empty
 CACHE_CHUNKS = 300_000
 #: Bytes of new words contracted by one query, and ids decoded by one.
 WORD_BYTES, DECODE_IDS = 1 << 18, 1 << 19
-#: Longer words (they take a round for each contraction) are merged outside SQL.
-LONG_WORD = 256
+#: Longer words contract many pairs a round, and keep their present state instead of a history.
+LONG_WORD = 64
 MEMORY = "250MB"
 
 _CONTRACT = """
@@ -48,36 +50,29 @@ WITH RECURSIVE s(step, w, pos, tok) AS (
 SELECT w, tok FROM s JOIN done USING (w, step) ORDER BY w, pos
 """
 
+_CONTRACT_LONG = """
+WITH RECURSIVE s(w, pos, tok) USING KEY (w, pos) AS (
+  SELECT w, pos, tok FROM init
+  UNION ALL
+  SELECT w, pos, CASE WHEN run % 2 = 0 THEN k ELSE -1 END FROM (
+    WITH pairs AS (
+      SELECT w, pos, tok, lead(tok) OVER x AS next_tok, row_number() OVER x AS i FROM recurring.s WHERE tok >= 0 WINDOW x AS (PARTITION BY w ORDER BY pos)
+    ), ranked AS (
+      SELECT pairs.*, merges.k FROM pairs LEFT JOIN merges ON merges.l = tok AND merges.r = next_tok
+    ), best AS (
+      SELECT w, min(k) AS m FROM ranked GROUP BY w HAVING min(k) IS NOT NULL
+    )  -- run: how many pairs of least rank come right before; every second of a run is taken
+    SELECT ranked.*, m, i - 1 - coalesce(max(CASE WHEN k IS DISTINCT FROM m THEN i END) OVER (PARTITION BY w ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run FROM ranked JOIN best USING (w)
+  ) WHERE run % 2 = 1 OR k = m
+)
+SELECT w, tok FROM s WHERE tok >= 0 ORDER BY w, pos
+"""
+
 _DECODE = """
 SELECT doc, string_agg(bytes, '' ORDER BY pos) AS text FROM ids JOIN vocabulary USING (tok) GROUP BY doc
 """
 
 
-def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same contraction for one long word, with a heap of pairs."""
-    import heapq
-
-    n = len(word)
-    start_of, end = list(range(n)), list(range(1, n + 1))  # end[i]: end of the part starting at i
-    prev, alive = list(range(-1, n - 1)), [True] * n
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
-    heapq.heapify(heap)
-    while heap:
-        _, i, stop = heapq.heappop(heap)
-        if not alive[i] or end[i] >= n or end[end[i]] != stop:
-            continue
-        j = end[i]
-        alive[j], end[i] = False, stop
-        if stop < n:
-            prev[stop] = i
-            if (r := ranks.get(word[i : end[stop]])) is not None:
-                heapq.heappush(heap, (r, i, end[stop]))
-        p = prev[i]
-        if p >= 0 and (r := ranks.get(word[p:stop])) is not None:
-            heapq.heappush(heap, (r, p, stop))
-    return [ranks[word[i : end[i]]] for i in start_of if alive[i]]
-
-
 class DuckBpe:
     """Encoder and decoder of one worker."""
 
@@ -101,7 +96,7 @@ class DuckBpe:
         self.chunks: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _contract(self, words: list[bytes]) -> list[bytes]:
+    def _contract(self, words: list[bytes], query: str) -> list[bytes]:
         """Ids (little-endian, 32 bits) of each word."""
         out: list[bytes] = []
         at = 0
@@ -117,7 +112,7 @@ class DuckBpe:
             w = np.repeat(np.arange(len(part), dtype=np.int32), lengths)
             pos = (np.arange(len(data)) - np.repeat(starts, lengths)).astype(np.int32)
             self.db.register("init", pa.table({"w": w, "pos": pos, "tok": self.byte[data]}))
-            got = self.db.execute(_CONTRACT).fetchnumpy()
+            got = self.db.execute(query).fetchnumpy()
             self.db.unregister("init")
             tok = np.asarray(got["tok"]).astype("<u4")
             cuts = np.searchsorted(np.asarray(got["w"]), np.arange(len(part) + 1))
@@ -139,12 +134,12 @@ class DuckBpe:
         for w in {w for ws in cut for w in ws}:
             if w in self.ranks:
                 known[w] = np.array([self.ranks[w]], "<u4").tobytes()
-            elif len(w) > LONG_WORD:
-                known[w] = np.array(_merge_long(w, self.ranks), "<u4").tobytes()
             else:
                 todo.append(w)
         todo.sort(key=len)
-        known.update(zip(todo, self._contract(todo), strict=True))
+        short = sum(len(w) <= LONG_WORD for w in todo)
+        for part, query in ((todo[:short], _CONTRACT), (todo[short:], _CONTRACT_LONG)):
+            known.update(zip(part, self._contract(part, query), strict=True))
         for c, ws in zip(missing, cut, strict=True):
             self.chunks[c] = b"".join([known[w] for w in ws])
 
@@ -216,14 +211,16 @@ def bpe_encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep_ids:
 
     One row per row of ``docs``: ``doc_id``, ``n_tokens``, ``ids_sha256``,
     ``decoded_sha256`` and, with ``keep_ids``, ``ids`` and ``decoded``.  Null and
-    empty texts have no ids.  Repeated rows and null ids are kept.
+    empty texts have no ids; very long ones are cut where the pattern cuts.  Repeated
+    rows and null ids are kept; an empty table gives an empty result; other columns
+    are ignored.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * keep_ids
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = worker(ranks_path, pattern)
         for b in batches:
-            texts = b["text"].tolist()
+            texts = b.column("text").to_pylist()
             at = 0
             while at < len(texts):
                 size, end = 0, at
@@ -232,16 +229,13 @@ def bpe_encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep_ids:
                     end += 1
                 ids = list(bpe.encode_all(texts[at:end]))
                 decoded = bpe.decode_all(ids)
-                out = pd.DataFrame({
-                    "doc_id": b["doc_id"].iloc[at:end].astype("Int64").mask(b["doc_id"].iloc[at:end] == -(2**63)),
-                    "n_tokens": [len(x) // 4 for x in ids],
-                    "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
-                    "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in decoded],
-                })
+                out = {
+                    "doc_id": b.column("doc_id").slice(at, end - at), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids], "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in decoded],
+                }
                 if keep_ids:
-                    out["ids"], out["decoded"] = [np.frombuffer(x, "<u4").astype(np.int32) for x in ids], decoded
-                yield out
+                    out |= {"ids": pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.binary())}
+                yield pa.RecordBatch.from_pydict(out)
                 at = end
 
-    rows = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, schema)

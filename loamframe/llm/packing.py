@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -138,21 +139,24 @@ def cut_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int,
     """Pieces of every document: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``row_key`` and, if asked, ``ids``."""
     schema = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, row_key long" + ", ids array<int>" * keep_ids
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary, special)
+        end = np.array([end_id], enc.dtype).tobytes()
         for b in batches:
             rows = []
-            for doc_id, key, raw in zip(b["doc_id"].tolist(), b["row_key"].tolist(), enc.encode_all(b["text"].tolist()), strict=True):
-                ids = np.frombuffer(raw + np.array([end_id], enc.dtype).tobytes(), enc.dtype).astype("<u4")
+            for i, raw in enumerate(enc.encode_all(b.column("text").to_pylist())):
+                ids = np.frombuffer(raw + end, enc.dtype).astype("<u4")
                 for at in range(0, len(ids), capacity):
                     piece = ids[at : at + capacity]
-                    row = (doc_id, at, len(piece), zlib.crc32(piece.tobytes()), len(ids), key)
-                    rows.append((*row, piece.astype(np.int32)) if keep_ids else row)
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
-            yield out.assign(doc_id=out["doc_id"].astype("Int64").mask(out["doc_id"] == -(2**63)))
+                    rows.append((i, at, len(piece), zlib.crc32(piece.tobytes()), len(ids), piece.astype(np.int32) if keep_ids else None))
+            if rows:
+                of, start, length, crc, total, pieces = zip(*rows, strict=True)
+                own = b.take(pa.array(of, pa.int64()))
+                columns = {"doc_id": own.column("doc_id"), "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int32()), "ids_crc32": pa.array(crc, pa.int64()), "doc_tokens": pa.array(total, pa.int64()), "row_key": own.column("row_key")}
+                yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(pieces, pa.list_(pa.int32()))} if keep_ids else {}))
 
-    rows = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), text_or_empty().alias("text"), F.monotonically_increasing_id().alias("row_key"))
-    return rows.mapInPandas(cut, schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.monotonically_increasing_id().alias("row_key"))
+    return rows.select("doc_id", "row_key", "text").mapInArrow(cut, schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 4096, keep_ids: bool = False, special: bool = False) -> DataFrame:
@@ -162,7 +166,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
     ``doc_tokens``, ``sequence_id``, ``offset`` and, with ``keep_ids``, ``ids``.
     Each document is closed by ``end_id``; null and empty texts hold it alone.
     Repeated rows and null ids are documents like any other; an empty table
-    gives no pieces.  Sequences are numbered from 0 and filled without gaps.  With
+    gives no pieces; a very long text gives full sequences and a rest; other columns
+    are ignored.  Which of equally long pieces goes where is by a hash.  Sequences are numbered from 0 and filled without gaps.  With
     ``special``, strings of special tokens in a text give their ids.
     """
     spark = docs.sparkSession

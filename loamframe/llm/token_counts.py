@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,8 +23,6 @@ from loamframe.llm.shared import materialise, open_fs, scratch, text_or_empty
 
 #: Ids read at once by a scan task.
 BLOCK_IDS = 1 << 20
-#: Stands for a null id inside tasks.
-NO_ID = -(2**63)
 
 
 def write_flat_files(docs: DataFrame, vocabulary: str, end_id: int, directory: str) -> DataFrame:
@@ -33,28 +32,27 @@ def write_flat_files(docs: DataFrame, vocabulary: str, end_id: int, directory: s
     ``doc_id``.  Null texts count as empty and hold the end id alone.
     """
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = open_fs(directory)
         enc = encoder(vocabulary)
         end = np.array([end_id], enc.dtype).tobytes()
         name, out, n = f"{uuid.uuid4().hex}.ids", None, 0
         for b in batches:
-            if len(b) == 0:
+            if b.num_rows == 0:
                 continue
             out = out or fs.open_output_stream(f"{base}/{name}")
-            for ids in enc.encode_all(b["text"].tolist()):
+            for ids in enc.encode_all(b.column("text").to_pylist()):
                 out.write(ids)
                 out.write(end)
-            yield pd.DataFrame({"file": name, "ordinal": np.arange(n, n + len(b)), "doc_id": b["doc_id"]})
-            n += len(b)
+            yield pa.RecordBatch.from_pydict({"file": [name] * b.num_rows, "ordinal": pa.array(np.arange(n, n + b.num_rows)), "doc_id": b.column("doc_id")})
+            n += b.num_rows
         if out is not None:
             out.close()
 
     fs, base = open_fs(directory)
     fs.create_dir(base)
-    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), text_or_empty().alias("text"))
-    written = rows.mapInPandas(write, "file string, ordinal long, doc_id long")
-    return materialise(written.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID))), "ordinals")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return materialise(rows.mapInArrow(write, "file string, ordinal long, doc_id long"), "ordinals")
 
 
 def count_tokens(files: DataFrame, directory: str, end_id: int, dtype: str = "<u2", block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -111,9 +109,11 @@ def document_token_counts(docs: DataFrame, vocabulary: str, end_id: int, directo
 
     One row per row of ``docs``: ``doc_id``, ``file``, ``start`` (ids before it in
     its file), ``n_tokens`` (without the end id).  Null and empty texts have 0
-    tokens; repeated rows and null ``doc_id`` are rows like any other.
+    tokens; very long ones cross blocks; repeated rows and null ``doc_id`` are rows
+    like any other; an empty table gives no rows; other columns are ignored.
     """
     directory = directory or scratch(docs.sparkSession, "flat")
     ordinals = write_flat_files(docs, vocabulary, end_id, directory)
-    counts = count_tokens(ordinals.where("ordinal = 0"), directory, end_id)
-    return ordinals.join(counts, ["file", "ordinal"]).select("doc_id", "file", "start", "n_tokens")
+    counts = count_tokens(ordinals.where("ordinal = 0"), directory, end_id, encoder(vocabulary).dtype.str)
+    # both sides have a row a document; file names compress too well to be judged by size
+    return ordinals.join(counts.hint("merge"), ["file", "ordinal"]).select("doc_id", "file", "start", "n_tokens")

@@ -3,7 +3,8 @@
 A file holds documents in ascending ``doc_id`` order, in blocks.  A block ranks
 its ids by frequency and stores each rank in 1 to 4 bytes; the byte counts lie
 apart, four to a control byte, so a block is decoded by table lookups on whole
-arrays.  The block's head keeps the rank table, document ids and lengths.
+arrays.  The block's head keeps the rank table, document ids (a bit tells which are
+null) and lengths.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,80 +56,69 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def encode_block(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
+def encode_block(doc_ids: np.ndarray, known: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     counts = np.bincount(ids) if len(ids) else np.zeros(0, np.int64)
     table = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
     rank = np.zeros(len(counts), np.uint32)
     rank[table] = np.arange(len(table), dtype=np.uint32)
     control, data = encode_ranks(rank[ids]) if len(ids) else (b"", b"")
-    parts = [table.astype("<u4").tobytes(), doc_ids.astype("<i8").tobytes(), lengths.astype("<i8").tobytes(), control, data]
+    parts = [table.astype("<u4").tobytes(), doc_ids.astype("<i8").tobytes(), np.packbits(known).tobytes(), lengths.astype("<i8").tobytes(), control, data]
     return struct.pack("<IQIQ", len(doc_ids), len(ids), len(table), len(data)) + b"".join(parts)
 
 
-def decode_blocks(f: io.RawIOBase) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(doc ids, lengths, ids) of each block of an open file."""
+def decode_blocks(f: io.RawIOBase) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(doc ids, whether they are known, lengths, ids) of each block of an open file."""
     if f.read(4) != MAGIC:
         raise ValueError("not a token file")
     while head := f.read(24):
         docs, n, ranks, size = struct.unpack("<IQIQ", head)
         table = np.frombuffer(f.read(4 * ranks), "<u4")
         doc_ids = np.frombuffer(f.read(8 * docs), "<i8")
+        known = np.unpackbits(np.frombuffer(f.read(-(-docs // 8)), np.uint8))[:docs].astype(bool)
         lengths = np.frombuffer(f.read(8 * docs), "<i8")
         control, data = f.read(-(-n // 4)), f.read(size)
-        yield doc_ids, lengths, table[decode_ranks(control, data, n)]
+        yield doc_ids, known, lengths, table[decode_ranks(control, data, n)]
 
 
 def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, directory: str, files: int | None = None, special: bool = False) -> DataFrame:
     """Encode ``docs`` and write token files in ascending ``doc_id`` order.
 
     Returns the manifest: ``part``, ``path``, ``docs``, ``ids``, one row per file;
-    ``part`` follows ``doc_id``.  Null texts count as empty, so every document
-    has at least ``end_id``; null ``doc_id`` come first and are stored as the
-    smallest long; repeated rows stay repeated; an empty table writes nothing.
-    With ``special``, strings of special tokens in a text give their ids.
+    ``part`` follows ``doc_id``.  Null texts count as empty, so every document has at
+    least ``end_id``; a very long text is a block of its own.  Null ``doc_id`` come
+    first; rows of equal or null ``doc_id`` keep the order of the scan and may be dealt
+    to several files.  An empty table writes nothing; other columns are ignored.  With
+    ``special``, strings of special tokens in a text give their ids.
     """
     spark = docs.sparkSession
     n = files or max(partitions(spark), docs.rdd.getNumPartitions())
-    rows = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), text_or_empty().alias("text"))
-    cuts = sorted(set(rows.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []))
-    where = F.lit(0)
-    if cuts:
-        bounds = np.array(cuts)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("tie"), text_or_empty().alias("text"))
+    dealt = rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
-        @F.pandas_udf("int")
-        def part_of(ids: pd.Series) -> pd.Series:
-            return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="left").astype(np.int32))
-
-        where = part_of("doc_id")
-    dealt = rows.select("doc_id", where.alias("part"), "text").repartitionById(n, F.col("part")).sortWithinPartitions("part", "doc_id")
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = open_fs(directory)
         enc = encoder(vocabulary, special)
         end = np.array([end_id], enc.dtype).tobytes()
-        out, part, path, total, docs_n = None, -1, "", 0, 0
+        part = TaskContext.get().partitionId()
+        name = f"part-{part:06d}-{uuid.uuid4().hex}.tokens"
+        out, total, docs_n = None, 0, 0
         held: list[bytes] = []
-        held_ids: list[int] = []
+        held_ids: list[int | None] = []
         size = 0
-        done = []
 
         def flush() -> None:
             nonlocal held, held_ids, size
             if held:
                 lengths = np.array([len(x) // enc.dtype.itemsize for x in held], np.int64)
-                out.write(encode_block(np.array(held_ids, np.int64), lengths, np.frombuffer(b"".join(held), enc.dtype)))
+                ids = np.array([x or 0 for x in held_ids], np.int64)
+                known = np.array([x is not None for x in held_ids])
+                out.write(encode_block(ids, known, lengths, np.frombuffer(b"".join(held), enc.dtype)))
             held, held_ids, size = [], [], 0
 
         for b in batches:
-            for doc_id, p, ids in zip(b["doc_id"].tolist(), b["part"].tolist(), enc.encode_all(b["text"].tolist()), strict=True):
-                if p != part:
-                    if out is not None:
-                        flush()
-                        out.close()
-                        done.append((part, path, docs_n, total))
-                    part, total, docs_n = p, 0, 0
-                    path = f"{directory}/part-{p:06d}-{uuid.uuid4().hex}.tokens"
-                    out = fs.open_output_stream(f"{base}/{path.rsplit('/', 1)[1]}")
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), enc.encode_all(b.column("text").to_pylist()), strict=True):
+                if out is None:
+                    out = fs.open_output_stream(f"{base}/{name}")
                     out.write(MAGIC)
                 held.append(ids + end)
                 held_ids.append(doc_id)
@@ -137,12 +129,11 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, directory:
         if out is not None:
             flush()
             out.close()
-            done.append((part, path, docs_n, total))
-        yield pd.DataFrame(done, columns=["part", "path", "docs", "ids"])
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [f"{directory}/{name}"], "docs": [docs_n], "ids": [total]})
 
     fs, base = open_fs(directory)
     fs.create_dir(base)
-    written = dealt.mapInPandas(write, "part int, path string, docs long, ids long").collect()
+    written = dealt.mapInArrow(write, "part int, path string, docs long, ids long").collect()  # a row a file
     return spark.createDataFrame(written, "part int, path string, docs long, ids long")
 
 
@@ -164,7 +155,7 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, with_ids: bool =
             for path, at in zip(b["path"], b["start"].tolist(), strict=True):
                 fs, local = open_fs(path)
                 with fs.open_input_stream(local) as f:
-                    for doc_ids, lengths, ids in decode_blocks(f):
+                    for doc_ids, known, lengths, ids in decode_blocks(f):
                         ends = np.cumsum(lengths)
                         starts = ends - lengths
                         raw = memoryview(ids.astype("<u4").tobytes())
@@ -172,7 +163,7 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, with_ids: bool =
                         out["ids_crc32"] = [zlib.crc32(raw[4 * i : 4 * j]) for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
                         if with_ids:
                             out["ids"] = [ids[i:j].astype(np.int64) for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
-                        out["doc_id"] = out["doc_id"].astype("Int64").mask(out["doc_id"] == -(2**63))
+                        out["doc_id"] = out["doc_id"].astype("Int64").mask(~known)
                         at += len(ids)
                         yield out
 
@@ -181,7 +172,10 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, with_ids: bool =
 
 
 def store_tokens(docs: DataFrame, vocabulary: str, end_id: int, directory: str | None = None, special: bool = False) -> DataFrame:
-    """Write ``docs`` as token files and read every document back from them."""
+    """Write ``docs`` as token files and read every document back from them.
+
+    Odd rows as in :func:`write_token_files`; the files stay, they are the output.
+    """
     spark = docs.sparkSession
     manifest = write_token_files(docs, vocabulary, end_id, directory or scratch(spark, "tokens"), special=special)
     return read_token_files(spark, manifest)

@@ -13,9 +13,9 @@ url, spreads over many ranges.  A range is streamed, never held whole.
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +60,7 @@ def apply_url_rules(
     rule text wins, ties go to the longer host and then to ``block``.
 
     Null urls and urls without ``://`` have an empty host and path, fit no rule
-    and get the default.  Repeated rows stay repeated; empty tables give empty
+    and get the default; very long urls are judged whole.  Repeated rows stay repeated; empty tables give empty
     results; columns of ``pages`` named like the added ones are replaced.  Rules
     with a null host or path are ignored.
     """
@@ -80,9 +80,11 @@ def apply_url_rules(
     found = sorted(r.key for r in urls.select("key").sample(fraction, seed=7).collect()) or [""]
     cuts = sorted({found[len(found) * i // n] for i in range(1, n)})
 
+    bounds = np.array(cuts, object)
+
     @F.pandas_udf(T.IntegerType())
     def range_of(keys: pd.Series) -> pd.Series:
-        return keys.map(lambda k: bisect.bisect_right(cuts, k)).astype("int32")
+        return pd.Series(np.searchsorted(bounds, keys.to_numpy(object), "right").astype(np.int32))
 
     ranged = rules.where("host is not null and path is not null").select(
         host_key(F.translate("host", UPPER, LOWER)).alias("key"),

@@ -68,6 +68,54 @@ def test_duck_bpe_equals_tiktoken(spark):
         assert bytes(r.decoded) == (text or "").encode() and r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_long_words_contract_in_sql():
+    """Words of thousands of bytes: letters, one letter over and over, other scripts; also short words in the long form."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghij"), 1500)), "a" * 5001, "ab" * 900, "的一是不了人我在" * 90, "".join(rng.choice(list("aab"), 400)), "x" * 65, "é" * 64]
+    bpe, t = DuckBpe(RANKS, P.PATTERN), tik()
+    texts = [*words, " ".join(words), "\n\n".join(words) + "  "]
+    assert [np.frombuffer(x, "<u4").tolist() for x in bpe.encode_all(texts)] == [t.encode_ordinary(x) for x in texts]
+
+
+def test_tokens_contract_to_themselves():
+    """What the long form rests on, for the whole vocabulary."""
+    from loamframe.llm import duck_bpe
+
+    bpe = DuckBpe(RANKS, P.PATTERN)
+    tokens = [t for t in bpe.ranks if len(t) > 1]
+    want = [np.array([bpe.ranks[t]], "<u4").tobytes() for t in tokens]
+    assert bpe._contract(tokens, duck_bpe._CONTRACT) == want and bpe._contract(tokens, duck_bpe._CONTRACT_LONG) == want
+
+
+def test_long_form_equals_short_form(monkeypatch):
+    monkeypatch.setattr("loamframe.llm.duck_bpe.LONG_WORD", 0)
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("abthe ins'éΣ12 "), rng.integers(0, 60))) for _ in range(400)]
+    bpe, t = DuckBpe(RANKS, P.PATTERN), tik()
+    assert [np.frombuffer(x, "<u4").tolist() for x in bpe.encode_all(texts)] == [t.encode_ordinary(x) for x in texts]
+
+
+def test_empty_and_odd_tables(spark):
+    """Empty tables, ids that look like null, columns that are called like results."""
+    none = spark.createDataFrame([], DOCS)
+    rows = [(-(2**63), "one", "x"), (None, "two", "y"), (None, None, None), (7, "", None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    want = sorted(str(r[0]) for r in rows)
+    for f in (lambda d: bpe_encode_decode(d, RANKS, P.PATTERN), lambda d: store_tokens(d, BYTE, 0), lambda d: document_token_counts(d, BYTE, 50256), lambda d: pack_documents(d, WORD, 2)):
+        assert f(none).count() == 0
+        assert sorted(str(r.doc_id) for r in f(docs).collect()) == want
+
+
+def test_hot_ids_in_token_files(spark):
+    """Equal and null ids may fill several files and keep the scan's order."""
+    rows = [(7 if i % 3 else None, f"t{i}", None) for i in range(60)]
+    manifest = write_token_files(spark.createDataFrame(rows, DOCS).coalesce(1), BYTE, 0, scratch(spark, "hot"), files=5)
+    assert manifest.count() > 2
+    got = sorted(read_token_files(spark, manifest, with_ids=True).collect(), key=lambda r: r.start)
+    ref = whole(BYTE)
+    assert [r.ids for r in got] == [[*ref(t), 0] for d, t, _ in sorted(rows, key=lambda r: r[0] or 0)]
+
+
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=50))
 def test_rank_coding_round_trip(ranks):
     a = np.array(ranks, np.uint32)
