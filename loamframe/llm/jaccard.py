@@ -10,8 +10,10 @@ left is verified on the sets.  Tokens of one document alone are never sent.
 Components are wanted, so a token's members are first joined as a star around one
 of them, whom one aggregation finds; only members still in different components
 are compared further: all pairs of small token groups, and larger ones block
-against block within the token, where sets meet in a task and only links that join
-components leave it.  Keys that many rows hold are dealt to many tasks.
+against block within the token, where the second order's prefixes meet in a task and
+only pairs that share enough of them leave it.  How much is enough follows from the
+sizes: rare tokens are what dissimilar documents differ in, and they are in the
+prefix.  Keys that many rows hold are dealt to many tasks.
 """
 
 from __future__ import annotations
@@ -114,16 +116,15 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = THRESH
                 for k in range(orders):
                     first = np.lexsort((mix(s, salt=k + 1), c))[:p_len]
                     first = first[c[first] > 0]
-                    # the first order's tokens are joined; of the others half the bits are enough to leave pairs out
-                    prefixes[k].append(s[first].view(np.int64) if k == 0 else (s[first] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                    prefixes[k].append(s[first].view(np.int64))
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_pydict({
                 "rid": pa.array(rid, pa.int64()), "place": where, "doc_id": doc_id, "n": pa.array([len(s) for s in sets], pa.int32()),
                 "class": pa.array(rid[firsts], pa.int64()), "shared": pa.array(shared, kind),
-                **{f"p{k}": pa.array(p, kind if k == 0 else pa.list_(pa.int32())) for k, p in enumerate(prefixes)},
+                **{f"p{k}": pa.array(p, kind) for k, p in enumerate(prefixes)},
             })
 
-    schema = "rid long, place struct<file:long,at:long>, doc_id long, n int, class long, shared array<long>, p0 array<long>" + "".join(f", p{k} array<int>" for k in range(1, orders))
+    schema = "rid long, place struct<file:long,at:long>, doc_id long, n int, class long, shared array<long>" + "".join(f", p{k} array<long>" for k in range(orders))
     with pinned(spark):
         rows = numbered(stable(docs).withColumn("place", place())).select("rid", "place", F.col("doc_id").cast("long").alias("doc_id"), "text")
         answers = exchange(rows.select("rid", "text"), lambda: tokens, frequency, lower=True)
@@ -165,34 +166,22 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _compare_blocks(percent: int, orders: int):  # noqa: ANN202
-    """A function from the members of two blocks of a token to links that join their groups."""
+def _compare_blocks(percent: int):  # noqa: ANN202
+    """A function from the members of two blocks of a token to pairs across groups that share enough of their second prefixes."""
 
     def compare(table: pa.Table) -> pa.Table:
         block = table.column("block").to_numpy()
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        arrays = lambda name, at: [x.values.to_numpy() for x in table.column(name).take(pa.array(at)).combine_chunks()]
+        prefixes = [x.values.to_numpy() for x in table.column("p1").combine_chunks()]
         n, group, cls = table.column("n").to_numpy().astype(np.int64), table.column("group").to_numpy(), table.column("class").to_numpy()
-        able = group[a][:, None] != group[b][None, :]
-        for k in range(orders):
-            able &= _common(arrays(f"p{k}", a), arrays(f"p{k}", b)) > 0
-        common = _common(arrays("shared", a), arrays("shared", b)).astype(np.int64)
-        able &= 100 * common >= percent * (n[a][:, None] + n[b][None, :] - common)
-        top: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while top.get(x, x) != x:
-                x = top[x]
-            return x
-
-        links = []
-        for i, j in zip(*(x.tolist() for x in np.nonzero(able)), strict=True):
-            u, v = root(int(group[a[i]])), root(int(group[b[j]]))
-            if u != v:
-                top[max(u, v)] = min(u, v)
-                links.append((cls[a[i]], cls[b[j]]))
-        return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([y for _, y in links], pa.int64())})
+        n_a, n_b = n[a][:, None], n[b][None, :]
+        least = -(-percent * (n_a + n_b) // (100 + percent)) - np.maximum(_least_common(n_a, percent), _least_common(n_b, percent)) + 1
+        able = (group[a][:, None] != group[b][None, :]) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
+        able &= _common([prefixes[i] for i in a], [prefixes[i] for i in b]) >= np.maximum(1, least)
+        i, j = np.nonzero(able)
+        both = np.unique(np.stack([np.minimum(cls[a[i]], cls[b[j]]), np.maximum(cls[a[i]], cls[b[j]])], axis=1), axis=0)
+        return pa.table({"hub": pa.array(both[:, 0], pa.int64()), "leaf": pa.array(both[:, 1], pa.int64())})
 
     return compare
 
@@ -202,6 +191,13 @@ def _near(n: str, m: str, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def _least_shared(n: str, m: str, percent: int) -> Column:
+    """Tokens that the prefixes of similar sets share: those needed in all, less all that can lie behind the prefix that ends first."""
+    needed = F.floor((percent * (F.col(n) + F.col(m)) + 99 + percent) / (100 + percent))
+    behind = F.floor((percent * F.greatest(n, m) + 99) / 100) - 1
+    return F.greatest(F.lit(1), needed - behind)
+
+
 def _stars(rows: DataFrame, total: int, turn: int, percent: int) -> DataFrame:
     """Each token's members (``leaf``) paired with one of them that is in another group (``hub``)."""
     head = F.min(F.struct(F.xxhash64("group", F.lit(turn)).alias("order"), "n", "class", "group")).alias("head")
@@ -229,13 +225,13 @@ def _rest(members: DataFrame, percent: int) -> DataFrame:
     return few.join(other, "token").where("class < other and group <> apart").where(_near("n", "m", percent)).select(F.col("class").alias("hub"), F.col("other").alias("leaf")).distinct()
 
 
-def _blocks(members: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
-    """Links in larger tokens, found block against block."""
-    many = members.where(F.col("size") > SMALL).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).drop("n", "size")
-    held = many.join(sets, "class").withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
+def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs in larger tokens, found block against block."""
+    many = members.where(F.col("size") > SMALL).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).drop("size")
+    held = many.join(sets.select("class", "p1"), "class").withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     held = held.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
-    return held.groupBy("token", "lo", "hi").applyInArrow(_compare_blocks(percent, orders), "u long, v long")
+    return held.groupBy("token", "lo", "hi").applyInArrow(_compare_blocks(percent), "hub long, leaf long").distinct()
 
 
 def _met(pairs: DataFrame, sets: DataFrame, names: list[str], total: int) -> DataFrame:
@@ -246,9 +242,9 @@ def _met(pairs: DataFrame, sets: DataFrame, names: list[str], total: int) -> Dat
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
     """The pairs (``hub``, ``leaf``) as similar as ``percent``; whole sets meet only where the other orders' prefixes do."""
-    met = _met(pairs, sets, [f"p{k}" for k in range(1, orders)], pairs.count())
+    met = _met(pairs, sets, ["n", *[f"p{k}" for k in range(1, orders)]], pairs.count())
     for k in range(1, orders):
-        met = met.where(F.arrays_overlap(f"p{k}_hub", f"p{k}_leaf"))
+        met = met.where(F.size(F.array_intersect(f"p{k}_hub", f"p{k}_leaf")) >= _least_shared("n_hub", "n_leaf", percent))
     met = materialise(met.select("hub", "leaf"), "met")
     common = F.size(F.array_intersect("shared_hub", "shared_leaf"))
     good = _met(met, sets, ["n", "shared"], met.count()).withColumn("common", common)
@@ -282,8 +278,8 @@ def _linked(sets: DataFrame, percent: int, orders: int) -> DataFrame:
             new = _verified(found, sets, percent, orders)
         else:
             members = _open(rows, total)
-            found = materialise(_untested(_rest(members, percent), tested), "rest")
-            new = _verified(found, sets, percent, orders).union(_blocks(members, sets, percent, orders))
+            found = materialise(_untested(_rest(members, percent).union(_blocks(members, sets, percent)), tested).distinct(), "rest")
+            new = _verified(found, sets, percent, orders)
             tested += [found, members]
         last, links = links, materialise(links.union(new), "links")
         discard(spark, last, held)
