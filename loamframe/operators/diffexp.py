@@ -57,9 +57,9 @@ def summary_json(results: DataFrame, parameters: dict[str, float | str], most: i
     gene = F.struct("gene", "log2_fold_change", "padj")
     ordered = F.array_sort(F.collect_list(F.struct("rank", gene.alias("g"))))
     lists = top_directions(results, most).groupBy("comparison", "significance").agg(ordered["g"].alias("genes"))
-    wide = lists.groupBy("comparison").pivot("significance", ["Upregulated", "Downregulated"]).agg(F.first("genes"))
+    wide = lists.groupBy("comparison").agg(*[F.first(F.when(F.col("significance") == s, F.col("genes")), ignorenulls=True).alias(f"top_{s.lower()}") for s in ("Upregulated", "Downregulated")])
     made = F.struct(*[F.lit(v).alias(k) for k, v in parameters.items()])
-    all_of = F.struct("comparison", made.alias("parameters"), "total_genes", "significant", "upregulated", "downregulated", "significant_pct", F.col("`Upregulated`").alias("top_upregulated"), F.col("`Downregulated`").alias("top_downregulated"))
+    all_of = F.struct("comparison", made.alias("parameters"), "total_genes", "significant", "upregulated", "downregulated", "significant_pct", "top_upregulated", "top_downregulated")
     return summary(results).join(wide, "comparison", "left").select("comparison", F.to_json(all_of).alias("value"))
 
 

@@ -47,7 +47,7 @@ def report_lineage(report: DataFrame, levels: int = 40) -> DataFrame:
     above = F.filter(F.slice(last, 1, F.col("depth") + 1), lambda x: x.isNotNull())
 
     def rising(held: Column, x: Column) -> Column:
-        return F.concat(F.filter(held, lambda y: y < x), F.array(x))
+        return F.when((F.size(held) == 0) | (F.try_element_at(held, F.lit(-1)) < x), F.concat(held, F.array(x))).otherwise(held)
 
     return report.withColumn("path", F.aggregate(above, F.array().cast("array<int>"), lambda held, x: rising(held, x.cast("int"))))
 
