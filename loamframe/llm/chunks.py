@@ -2,14 +2,15 @@
 
 Texts are cut where the tokenizer's own pre-tokeniser always cuts, and the ids
 of each distinct chunk are kept, so a chunk is encoded once per worker rather
-than once per occurrence.  Texts that cannot be cut safely go to the tokenizer
-whole.  The result equals ``Tokenizer.encode(text, add_special_tokens=False)``,
+than once per occurrence.  Texts that cannot be cut safely, and all texts of a
+tokenizer of another make, go to the tokenizer whole.  The result equals ``Tokenizer.encode(text, add_special_tokens=False)``,
 with ``encode_special_tokens`` set unless ``special`` is asked for.
 """
 
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 from array import array
@@ -24,6 +25,24 @@ HOT_CHUNKS, COLD_CHUNKS = 400_000, 250_000
 #: Characters cut at once.
 SEGMENT = 1 << 20
 
+#: The two makes of tokenizers that texts are cut for (fixed values of their files).
+BYTE_LEVEL = {
+    "normalizer": None,
+    "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
+    "end_of_word_suffix": None,
+}
+WORD_LEVEL = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "end_of_word_suffix": "</w>",
+}
+
 _UNSAFE = re.compile(r"\s\s|\s\Z|\r")
 _LATIN = re.compile(r"[^\x00-ɏ]")
 
@@ -59,6 +78,16 @@ def word_chunk(key: str) -> str:
     return key
 
 
+def make_of(path: str) -> str | None:
+    """``byte`` or ``word`` for tokenizers of the two makes, else None."""
+    with open(path, encoding="utf-8") as f:
+        config = json.load(f)
+    model = config["model"]
+    plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")) and config["post_processor"] is None
+    own = {"normalizer": config["normalizer"], "pre_tokenizer": config["pre_tokenizer"], "end_of_word_suffix": model.get("end_of_word_suffix")}
+    return {True: "byte" if own == BYTE_LEVEL else "word" if own == WORD_LEVEL else None, False: None}[plain]
+
+
 #: The printable character that byte-level vocabularies write for each byte.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
@@ -98,8 +127,10 @@ class ChunkEncoder:
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         self.added = re.compile("|".join(added), re.IGNORECASE) if added else None
         self.path, self.plain = path, None
-        word = "Lowercase" in str(self.tokenizer.normalizer)
-        self.keys: Callable[[str], list[str] | None] = word_keys if word else byte_level_keys
+        make = make_of(path)
+        word = make == "word"
+        self.cuts = make is not None
+        self.keys: Callable[[str], list[str] | None] = (word_keys if word else byte_level_keys) if self.cuts else lambda text: None
         self.chunk = word_chunk if word else byte_level_chunk
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.word = word
@@ -194,7 +225,7 @@ class ChunkEncoder:
             while end < len(texts) and (end == at or size + len(texts[end]) <= SEGMENT):
                 size += len(texts[end])
                 end += 1
-            if size > 2 * SEGMENT and not self._has_added(texts[at]) and (self.chunk is word_chunk or not _UNSAFE.search(texts[at])):
+            if size > 2 * SEGMENT and self.cuts and not self._has_added(texts[at]) and (self.chunk is word_chunk or not _UNSAFE.search(texts[at])):
                 out.append(b"".join(self._group([s])[0] for s in segments(texts[at])))
             else:
                 out += self._group(texts[at:end])

@@ -173,12 +173,17 @@ def _compare_blocks(percent: int):  # noqa: ANN202
         block = table.column("block").to_numpy()
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        prefixes = [x.values.to_numpy() for x in table.column("p1").combine_chunks()]
+        prefixes, tokens = ([x.values.to_numpy() for x in table.column(c).combine_chunks()] for c in ("p1", "tokens"))
+        own = table.column("token")[0].as_py()
+        earlier = [t[t < own] for t in tokens]
         n, group, cls = table.column("n").to_numpy().astype(np.int64), table.column("group").to_numpy(), table.column("class").to_numpy()
         n_a, n_b = n[a][:, None], n[b][None, :]
         least = -(-percent * (n_a + n_b) // (100 + percent)) - np.maximum(_least_common(n_a, percent), _least_common(n_b, percent)) + 1
         able = (group[a][:, None] != group[b][None, :]) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
-        able &= _common([prefixes[i] for i in a], [prefixes[i] for i in b]) >= np.maximum(1, least)
+        if able.any():  # a pair is told by the least token that it shares
+            able &= _common([earlier[i] for i in a], [earlier[i] for i in b]) == 0
+        if able.any():
+            able &= _common([prefixes[i] for i in a], [prefixes[i] for i in b]) >= np.maximum(1, least)
         i, j = np.nonzero(able)
         both = np.unique(np.stack([np.minimum(cls[a[i]], cls[b[j]]), np.maximum(cls[a[i]], cls[b[j]])], axis=1), axis=0)
         return pa.table({"hub": pa.array(both[:, 0], pa.int64()), "leaf": pa.array(both[:, 1], pa.int64())})
@@ -228,7 +233,8 @@ def _rest(members: DataFrame, percent: int) -> DataFrame:
 def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs in larger tokens, found block against block."""
     many = members.where(F.col("size") > SMALL).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).drop("size")
-    held = many.join(sets.select("class", "p1"), "class").withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
+    lists = many.groupBy("class").agg(F.collect_list("token").alias("tokens"))  # not more than the prefix has
+    held = many.join(lists.join(sets.select("class", "p1"), "class"), "class").withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     held = held.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
     return held.groupBy("token", "lo", "hi").applyInArrow(_compare_blocks(percent), "hub long, leaf long").distinct()

@@ -122,5 +122,25 @@ FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
 
+_OP9 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM x GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS id, doc_id AS root FROM d UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id AS doc_id, min(root) AS component_id FROM r GROUP BY 1) c USING (doc_id)
+"""
+
+_OP6 = r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+ok AS (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM v WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93),
+r AS (SELECT vec_id AS id, vec_id AS root FROM v UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY 1) USING (vec_id) JOIN (SELECT id AS vec_id, min(root) AS component_id FROM r GROUP BY 1) USING (vec_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_rules": _OP1, "op8_exact_dedup": _OP8, "op10_substrings": _OP10}
+    return {"op1_url_rules": _OP1, "op6_embedding_links": _OP6, "op8_exact_dedup": _OP8, "op9_jaccard": _OP9, "op10_substrings": _OP10}

@@ -151,8 +151,8 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.withColumn(free, place()).join(gone.select(F.col("place").alias(free)), free, "left_anti").drop(free)
 
 
-#: A key that holds more than one in so many rows is split by :func:`salted_join`.
-SPREAD = 1000
+#: A key that holds more than one in so many rows, and more than so many, is split by :func:`salted_join`.
+SPREAD, FEW = 1000, 10_000
 
 
 def salted_join(rows: DataFrame, keyed: DataFrame, on: list[str], other: list[str], total: int, how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
@@ -165,6 +165,8 @@ def salted_join(rows: DataFrame, keyed: DataFrame, on: list[str], other: list[st
     times in all.  Keys are counted in ``counted`` if that is cheaper to read than
     ``rows``, whose keys it must hold at least as often.
     """
+    if total <= FEW:  # no key can hold more
+        return rows.join(keyed, on, how)
     parts = F.ceil(F.count(F.lit(1)) * SPREAD / F.lit(max(total, 1))).cast("int")
     hot = (rows if counted is None else counted).groupBy(*on).agg(parts.alias("_parts")).where("_parts > 1")
     salt = F.pmod(F.xxhash64(*other), F.coalesce("_parts", F.lit(1))).cast("int")

@@ -82,6 +82,7 @@ def brute_components(rows):
 def test_near_duplicates(spark, monkeypatch, stars, small, block):
     for name, value in (("STARS", stars), ("SMALL", small), ("BLOCK", block)):
         monkeypatch.setattr(f"loamframe.llm.jaccard.{name}", value)
+    monkeypatch.setattr("loamframe.llm.shared.FEW", 0 if stars else 10_000)
     rows = made_docs()
     got = near_duplicates(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_components(rows)
@@ -223,12 +224,72 @@ def test_ids_that_look_like_none(spark):
         assert sorted(str(r.doc_id) for r in f(docs).collect()) == sorted(str(r[0]) for r in rows)
 
 
-def test_joins_of_hot_keys(spark):
+def test_joins_of_hot_keys(spark, monkeypatch):
     from loamframe.llm.shared import salted_join
 
+    monkeypatch.setattr("loamframe.llm.shared.FEW", 0)
+
     rows = spark.range(5000).selectExpr("id", "case when id % 3 = 0 then 0 else id end as k")
     keyed = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, v string")
     for how in ("inner", "left"):
         got = salted_join(rows, keyed, ["k"], ["id"], 5000, how)
         want = rows.join(keyed, "k", how)
         assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(map(str, want.select("id", "k", "v").collect()))
+
+
+def walk(forest, row, root):
+    """One tree, one row, one node at a time."""
+    at = root
+    while forest.left[at] != at:
+        at = forest.left[at] if row[forest.feature[at]] <= forest.threshold[at] else forest.right[at]
+    return forest.value[at]
+
+
+def test_trees_against_plain_search(monkeypatch):
+    """Flat traversal equals a walk; the first split equals the best of a search over all cuts."""
+    monkeypatch.setattr("loamframe.llm.quality.TREES", 3)
+    from loamframe.llm import quality
+
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(400, 4)), 1)
+    y = ((x[:, 1] > 0.3) ^ (rng.random(400) < 0.1)).astype(float)
+    forest = grow(x, y)
+    want = [1 / (1 + np.exp(-(forest.base + sum(walk(forest, r, root) for root in forest.roots)))) for r in x]
+    assert forest.score(x) == pytest.approx(want)
+    rate = (y.sum() + 1) / 402
+    g, h = rate - y, np.full(400, rate * (1 - rate))
+    best = (-1, None)
+    for f in range(4):
+        for cut in np.unique(np.quantile(x[:, f], np.linspace(0, 1, quality.BINS + 1)[1:-1])):
+            left = x[:, f] <= cut
+            if min(left.sum(), (~left).sum()) < quality.LEAST:
+                continue
+            gain = sum(g[m].sum() ** 2 / (h[m].sum() + quality.LAMBDA) for m in (left, ~left)) - g.sum() ** 2 / (h.sum() + quality.LAMBDA)
+            if gain > best[0] + 1e-9:
+                best = (gain, (f, cut))
+    root = forest.roots[0]
+    assert (forest.feature[root], forest.threshold[root]) == (best[1][0], pytest.approx(best[1][1]))
+
+
+def test_training_rows_are_bounded(spark):
+    """Of more labelled rows than the bound those of least hash are taken, wherever they lie."""
+    rows = [(i, ("good plain words here. " if i % 2 else "BAD!! $$$ ") * 3, None, None) for i in range(600)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in score_quality(docs, labels, max_train=100).collect()}
+    assert len(got) == 600 and all((r.score > 0.5) == bool(d % 2) for d, r in got.items())
+
+
+def test_sql_of_duplicates(spark):
+    import duckdb
+
+    where = "/root/testdata/sf0.001"
+    db = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{where}/{t}.parquet'")
+    for name in ("op6_embedding_links", "op8_exact_dedup", "op9_jaccard", "op10_substrings"):
+        got = Q.queries()[name](spark, where)
+        c = db.execute(Q.oracle_sql()[name])
+        names = [x[0] for x in c.description]
+        assert sorted(names) == sorted(got.columns)
+        assert sorted(map(str, c.fetchall())) == sorted(str(tuple(r[n] for n in names)) for r in got.collect())

@@ -131,3 +131,27 @@ def test_vectors_with_clashing_columns(spark):
     rows = [(1, [1.0, 0.0], 1, 7, "x"), (None, [1.0, 0.0], 1, 8, None), (2, [1.0, 1e-3], 1, 9, "y"), (2, [1.0, 1e-3], 1, 9, "y"), (3, [1e300, 1e300], 1, 0, "z")]
     got = vector_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, n_links int, rid string")).collect()
     assert sorted((str(r.vec_id), r.n_links, r.component_id) for r in got) == [("1", 3, 1), ("2", 3, 1), ("2", 3, 1), ("3", 0, 3), ("None", 3, 1)]
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, rid string, place string"
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
+    """Null ids and texts, empty, blank and long texts, repeated rows, clashing columns; every stage alone, then all."""
+    import corpus_pipeline as P
+
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    good = "Plain words make a sentence. " * 3
+    texts = [(1, good), (2, good), (2, good), (None, None), (None, ""), (3, ""), (4, " \n"), (5, "word " * 30_000), (6, None), (-(2**63), "unlike all others"), (7, " ".join(f"w{i}" for i in range(40))), (8, " ".join(f"w{i}" for i in range(30)) + " tail")]
+    rows = [(d, t, None, "s", None, "r", None) for d, t in texts]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    for stage, least in (("quality", 0), ("exact", 7), ("near", 9), ("repeats", 12)):
+        made = dict(P.STAGES)[stage](spark, docs, str(tmp_path))
+        assert made.columns == docs.columns and least <= made.count() <= len(rows), stage
+        assert dict(P.STAGES)[stage](spark, docs.limit(0), str(tmp_path)).count() == 0, stage
+    kept = {r.doc_id: r.text for r in dict(P.STAGES)["repeats"](spark, docs, str(tmp_path)).collect() if r.doc_id in (7, 8)}
+    assert kept == {7: texts[10][1], 8: "tail"}
+    packed = P.packing(spark, docs, str(tmp_path)).collect()
+    assert {str(r.doc_id) for r in packed} == {str(d) for d, _ in texts} and P.packing(spark, docs.limit(0), str(tmp_path)).count() == 0
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id for r in P.run(spark, str(tmp_path)).collect()} <= {d for d, _ in texts}

@@ -44,6 +44,19 @@ def test_chunks_equal_whole_texts(path, monkeypatch):
             assert np.frombuffer(got, enc.dtype).tolist() == ref(t), repr(t[:30])
 
 
+def test_other_makes_encode_whole(tmp_path):
+    """A tokenizer whose file differs from the two makes is not cut."""
+    import json
+
+    config = json.load(open(BYTE, encoding="utf-8"))
+    config["pre_tokenizer"]["add_prefix_space"] = True
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(config), encoding="utf-8")
+    enc, ref = ChunkEncoder(str(path)), whole(str(path))
+    assert not enc.cuts and ChunkEncoder(BYTE).cuts and ChunkEncoder(WORD).cuts
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode_all(ODD)] == [ref(t) for t in ODD]
+
+
 def test_random_texts():
     """Texts of a few awkward characters, all encoders, in one call each."""
     rng = np.random.default_rng(5)
