@@ -27,7 +27,7 @@ def lineage_export(spark: SparkSession, d: str) -> DataFrame:
 
 def decontaminate_report(spark: SparkSession, d: str) -> DataFrame:
     bad = R._table(spark, d, "supplier").where("s_suppkey % 10 = 3").select((F.col("s_suppkey") + 1000000).cast("string").alias("tax_id"))
-    return P.decontaminate(_lines(spark, d), bad, 6).select("sample", "line_no", "tax_id", "clade_reads", "direct_reads", F.round("pct", 4).alias("pct"))
+    return P.decontaminate(_lines(spark, d), bad, 6).select("sample", "line_no", "tax_id", "clade_reads", "direct_reads", "pct")
 
 
 def composition_table(spark: SparkSession, d: str) -> DataFrame:
@@ -128,7 +128,7 @@ _PLAIN = _ordered("count(*)")
 SQL = {
     "report_text": f"""{_PLAIN} SELECT sample, line_no, lpad(printf('%.2f', pct), greatest(6, length(printf('%.2f', pct)))::INT, ' ') || chr(9) || clade_reads || chr(9) || direct_reads || chr(9) || rank_code || chr(9) || tax_id || chr(9) || repeat('  ', len(path) - 1) || name AS value FROM lines""",
     "lineage_export": f"{_PLAIN} SELECT sample, direct_reads || chr(9) || array_to_string(names, chr(9)) AS value FROM lines WHERE direct_reads > 0 AND tax_id <> 0",
-    "decontaminate_report": f"""{_ordered("CASE WHEN s % 10 = 3 THEN 0 ELSE count(*) END")} SELECT sample, line_no, tax_id::VARCHAR AS tax_id, clade_reads, direct_reads, pct FROM lines""",
+    "decontaminate_report": f"""{_ordered("CASE WHEN s % 10 = 3 THEN 0 ELSE count(*) END")} SELECT sample, line_no, tax_id::VARCHAR AS tax_id, clade_reads, direct_reads, round(clade_reads * 100.0 / sum(direct_reads) OVER (PARTITION BY sample), 5)::DOUBLE AS pct FROM lines""",
     "composition_table": f"""{_PLAIN}, w AS (SELECT sample, coalesce(max(clade_reads) FILTER (tax_id = 102), 0) AS host, coalesce(max(clade_reads) FILTER (tax_id = 100), 0) AS bacterial, coalesce(max(clade_reads) FILTER (tax_id = 101), 0) AS viral,
 coalesce(max(clade_reads) FILTER (tax_id = 1), 0) AS root, coalesce(max(clade_reads) FILTER (tax_id = 0), 0) AS unclassified FROM lines GROUP BY 1),
 t AS (SELECT *, greatest(0, root - host - bacterial - viral) AS other, root + unclassified AS total FROM w)
