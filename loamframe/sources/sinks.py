@@ -33,7 +33,8 @@ def write_lines(lines: DataFrame, path: str, order: str | None = None) -> None:
     """``value`` of every row as a line, in a folder for each ``sample`` where there is one and sorted within it by ``order``."""
     by = ["sample"] if "sample" in lines.columns else []
     dealt = lines.repartition(F.col("sample")).sortWithinPartitions("sample", *[order] * (order is not None)) if by else lines
-    dealt.select(*by, "value").write.mode("overwrite").partitionBy(*by).text(path)
+    writer = dealt.select(*by, "value").write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).text(path)
 
 
 def tool_matrix(counts: DataFrame, tool: str, samples: list[str]) -> DataFrame:

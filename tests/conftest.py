@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 def spark():
     session = (
         SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
