@@ -39,7 +39,7 @@ ORDERS = 3
 SMALL, BLOCK = 12, 256
 #: Distinct tokens held at once when blocks are compared.
 COLUMNS = 8192
-#: Star rounds before the remaining cross-component pairs are listed.
+#: Star rounds, at most, before the remaining cross-component pairs are listed; they end when one finds no link.
 STARS = 2
 
 
@@ -278,20 +278,20 @@ def _linked(sets: DataFrame, percent: int, orders: int) -> DataFrame:
     for turn in range(STARS + 1):
         held = small.withColumn("group", F.col("class")) if group is None else materialise(small.join(group, "class", "left").withColumn("group", F.coalesce("group", "class")), "grouped")
         rows = held.select(F.explode("p0").alias("token"), "class", "n", "group")
-        if turn < STARS:
-            found = materialise(_untested(_stars(rows, total, turn, percent), tested), "stars")
-            tested.append(found)
-            new = _verified(found, sets, percent, orders)
-        else:
-            members = _open(rows, total)
-            found = materialise(_untested(_rest(members, percent).union(_blocks(members, sets, percent)), tested).distinct(), "rest")
-            new = _verified(found, sets, percent, orders)
-            tested += [found, members]
+        if turn == STARS:
+            break
+        found = materialise(_untested(_stars(rows, total, turn, percent), tested), "stars")
+        tested.append(found)
+        new = _verified(found, sets, percent, orders)
+        if new.isEmpty():  # another star would hardly find more
+            break
         last, links = links, materialise(links.union(new), "links")
         discard(spark, last, held)
-        if turn < STARS:
-            group = components(links).select(F.col("node").alias("class"), F.col("component").alias("group"))
-    discard(spark, *tested)
+        group = components(links).select(F.col("node").alias("class"), F.col("component").alias("group"))
+    members = _open(rows, total)
+    found = materialise(_untested(_rest(members, percent).union(_blocks(members, sets, percent)), tested).distinct(), "rest")
+    last, links = links, materialise(links.union(_verified(found, sets, percent, orders)), "links")
+    discard(spark, last, held, members, found, *tested)
     return links
 
 
