@@ -82,8 +82,14 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loamframe.llm.syncmers import fingerprint_documents
+
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op5_quality, op6_embedding_links, op7_token_counts, op8_exact_dedup, op9_jaccard, op10_substrings)}
+    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op5_quality, op6_embedding_links, op7_token_counts, op8_exact_dedup, op9_jaccard, op10_substrings, op13_fingerprints)}
 
 
 _OP1 = r"""
