@@ -82,6 +82,12 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loamframe.llm.divergence import source_divergence
+
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loamframe.llm.syncmers import fingerprint_documents
 
@@ -89,7 +95,7 @@ def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op5_quality, op6_embedding_links, op7_token_counts, op8_exact_dedup, op9_jaccard, op10_substrings, op13_fingerprints)}
+    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op5_quality, op6_embedding_links, op7_token_counts, op8_exact_dedup, op9_jaccard, op10_substrings, op12_divergence, op13_fingerprints)}
 
 
 _OP1 = r"""
@@ -148,5 +154,25 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 """
 
 
+_OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT id, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+keep AS (SELECT lang, term FROM t GROUP BY 1, 2 HAVING count(DISTINCT id) >= 3),
+v AS (SELECT lang, count(*) AS v FROM keep GROUP BY 1),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN keep USING (lang, term) GROUP BY 1, 2, 3),
+n AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS n FROM g LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, keep.term, coalesce(c.n, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (n.n + v) AS p
+  FROM g JOIN keep ON keep.lang = g.lang JOIN v ON v.lang = g.lang JOIN n ON n.lang = g.lang AND n.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = keep.term),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(c) + 1)) // (sum(sum(c)) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)) AS q FROM p GROUP BY 1, 2),
+pairs AS (SELECT a.lang, a.source, b.source AS item FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+r AS (SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value FROM pairs LEFT JOIN sums USING (lang, source, item)
+  UNION ALL SELECT p.lang, p.source, 'term', p.term, (p - q) * (p - q) // q FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE c > 0 AND p > q),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM k WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_rules": _OP1, "op6_embedding_links": _OP6, "op8_exact_dedup": _OP8, "op9_jaccard": _OP9, "op10_substrings": _OP10}
+    return {"op1_url_rules": _OP1, "op6_embedding_links": _OP6, "op8_exact_dedup": _OP8, "op9_jaccard": _OP9, "op10_substrings": _OP10, "op12_divergence": _OP12}

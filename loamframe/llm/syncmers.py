@@ -109,7 +109,7 @@ def with_next(rows: DataFrame, n: int, carried: Callable[[DataFrame], DataFrame]
     dealt = dealt.select(*rows.columns, F.explode("to").alias("to")).select(*rows.columns, "to.range", "to.guest")
     order = W.partitionBy("range").orderBy("guest", "key")
     nexts = {f"next_{c}": F.lead(c).over(order) for c in following}
-    return carried(dealt.repartition(n, "range")).withColumns(nexts).where(~F.col("guest")).drop("range", "guest")
+    return carried(dealt.repartitionById(n, "range")).withColumns(nexts).where(~F.col("guest")).drop("range", "guest")
 
 
 def fingerprint_documents(docs: DataFrame, k: int = 5, s: int = 2, most: int = 256) -> DataFrame:
