@@ -82,6 +82,12 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loamframe.llm.spelling import spelling_variants
+
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loamframe.llm.divergence import source_divergence
 
@@ -95,7 +101,7 @@ def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op5_quality, op6_embedding_links, op7_token_counts, op8_exact_dedup, op9_jaccard, op10_substrings, op12_divergence, op13_fingerprints)}
+    return {f.__name__: f for f in (op1_url_rules, op2_token_store, op3_packing, op4_bpe, op5_quality, op6_embedding_links, op7_token_counts, op8_exact_dedup, op9_jaccard, op10_substrings, op11_spelling, op12_divergence, op13_fingerprints)}
 
 
 _OP1 = r"""
@@ -154,6 +160,25 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 """
 
 
+_OP11 = r"""
+WITH RECURSIVE crcs AS (SELECT i, i AS x, 0 AS k FROM range(256) r(i) UNION ALL SELECT i, CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END, k + 1 FROM crcs WHERE k < 8),
+tab AS (SELECT list(x ORDER BY i) AS t FROM crcs WHERE k = 8),
+r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+u AS (SELECT doc_id, w, count(*) AS n, coalesce(doc_id::VARCHAR, '') || ':' || w AS named FROM r GROUP BY 1, 2),
+b AS (SELECT w, n, flatten(list_transform(string_split(named, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + unicode(c) // 64, 128 + unicode(c) % 64] END)) AS bytes FROM u),
+h AS (SELECT w, n, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda a, x: xor(t[(xor(a, x) & 255) + 1], a // 256))) AS h FROM b, tab),
+v AS (SELECT CASE WHEN h % 97 = 0 THEN substring(w, 1, (h % length(w))::INT) || substring(w, (h % length(w))::INT + 2) ELSE w END AS word, n FROM h),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM v WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+cut AS (SELECT word, n, i, substring(word, 1, i::INT - 1) AS pre, substring(word, i::INT + 1) AS post FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.pre = b.pre AND a.post = b.post AND a.word <> b.word
+  UNION SELECT a.word, c.word, c.n FROM words a JOIN cut c ON a.word = c.pre || c.post
+  UNION SELECT c.word, a.word, a.n FROM words a JOIN cut c ON a.word = c.pre || c.post),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY 1),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n FROM words LEFT JOIN best USING (word)),
+c AS (SELECT word, word AS at, form AS next FROM f UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON f.word = c.next)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM f JOIN c ON c.word = f.word AND c.next IS NULL
+"""
+
 _OP12 = r"""
 WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
 g AS (SELECT DISTINCT lang, source FROM d),
@@ -175,4 +200,4 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_rules": _OP1, "op6_embedding_links": _OP6, "op8_exact_dedup": _OP8, "op9_jaccard": _OP9, "op10_substrings": _OP10, "op12_divergence": _OP12}
+    return {"op1_url_rules": _OP1, "op6_embedding_links": _OP6, "op8_exact_dedup": _OP8, "op9_jaccard": _OP9, "op10_substrings": _OP10, "op11_spelling": _OP11, "op12_divergence": _OP12}
