@@ -5,15 +5,15 @@ their documents and send each distinct one once for every language and source.
 distinct chunk of the whole corpus is then taken apart into terms once, and its terms
 are joined back to its counts.  Terms never cross a blank, so nothing is lost.
 
-Whether enough documents of a language hold a term is decided without their lists: a
-chunk that ``least`` documents hold decides by itself; any other chunk names its fewer
-documents, and the distinct documents of a term's chunks are counted as rows.
+Whether three documents of a language hold a term is decided without their lists: a
+chunk that three documents hold decides by itself, and one that fewer hold is known by
+its first and last document.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,98 +26,93 @@ from loamframe.llm.shared import discard, give_back, materialise, partitions, se
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Chunks that a scan block holds before it sends them on.
-HELD = 300_000
-COUNTS = "lang string, source string, chunk string, n long, docs long, ids array<bigint>"
+HELD = 800_000
+COUNTS = "lang string, source string, chunk string, n long, docs long, low long, high long"
+#: Documents that must have a term; a chunk that fewer have is known by its first and last document.
+LEAST = 3
 
 
 class Block:
-    """Chunk counts of one language and source in a scan block, and the first documents of rare chunks."""
+    """Chunk counts of one language and source in a scan block, with the first and last document of each."""
 
-    def __init__(self, least: int) -> None:
-        self.n: Counter[bytes] = Counter()
+    def __init__(self) -> None:
+        self.n: Counter[bytes] = Counter({b"": 0})  # the group occurs, though it may have no words
         self.docs: Counter[bytes] = Counter()
-        #: the first, second, ... document that has a chunk
-        self.first: list[dict[bytes, int]] = [{} for _ in range(least - 1)]
+        self.low: dict[bytes, int] = {b"": 0}
+        self.high: dict[bytes, int] = {b"": 0}
 
     def add(self, rid: int, chunks: list[bytes]) -> None:
-        self.n.update(chunks)
         own = set(chunks)
+        self.n.update(chunks)
         self.docs.update(own)
-        for level in self.first:
-            new = own - level.keys()
-            level.update(dict.fromkeys(new, rid))
-            own -= new
-            if not own:
-                break
-
-    def rows(self, lang: str, source: str, least: int) -> pa.RecordBatch:
-        chunks = list(self.n)
-        ids = [[level[c] for level in self.first if c in level] if self.docs[c] < least else None for c in chunks]
-        columns = [
-            pa.array([lang] * len(chunks)), pa.array([source] * len(chunks)), pa.array(chunks, pa.binary()).cast(pa.string()),
-            pa.array(list(self.n.values()), pa.int64()), pa.array([self.docs[c] for c in chunks], pa.int64()), pa.array(ids, pa.list_(pa.int64())),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "n", "docs", "ids"])
+        self.low.update(dict.fromkeys(own.difference(self.low), rid))
+        self.high.update(dict.fromkeys(own, rid))
 
+    def rows(self, lang: str, source: str) -> pa.RecordBatch:
+        chunks = list(self.n)
+        numbers = [pa.array(list(map(x.__getitem__, chunks)), pa.int64()) for x in (self.n, self.docs, self.low, self.high)]
+        columns = [pa.repeat(lang, len(chunks)), pa.repeat(source, len(chunks)), pa.array(chunks, pa.binary()).cast(pa.string()), *numbers]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "n", "docs", "low", "high"])
 
-def _count_blocks(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], Block] = {}
-
-        def sent() -> Iterator[pa.RecordBatch]:
-            for (lang, source), block in held.items():
-                for part in _cut(block.rows(lang, source, least)):
-                    yield part
-            held.clear()
-
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("rid", "lang", "source", "text"))
-            for rid, lang, source, text in zip(*columns, strict=True):
-                block = held.get((lang, source))
-                if block is None:
-                    block = held[lang, source] = Block(least)
-                    block.n[b""] = 0  # the group occurs, though it may have no words
-                block.add(rid, text.encode().split())
-            if sum(len(b.n) for b in held.values()) > HELD:
-                yield from sent()
-        yield from sent()
-        give_back()
 
-    return count
+def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[tuple[str, str], Block] = {}
 
+    def sent() -> Iterator[pa.RecordBatch]:
+        while held:
+            group, block = held.popitem()
+            rows = block.rows(*group)
+            for i in range(0, rows.num_rows, 20_000):
+                yield rows.slice(i, 20_000)
 
-def _cut(rows: pa.RecordBatch, size: int = 20_000) -> Iterator[pa.RecordBatch]:
-    for i in range(0, rows.num_rows, size):
-        yield rows.slice(i, size)
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("rid", "lang", "source", "text"))
+        for rid, lang, source, text in zip(*columns, strict=True):
+            block = held.get((lang, source))
+            if block is None:
+                block = held[lang, source] = Block()
+            block.add(rid, text.encode().split())
+        if sum(len(b.n) for b in held.values()) > HELD:
+            yield from sent()
+    yield from sent()
+    give_back()
 
 
-def chunk_counts(docs: DataFrame, least: int) -> DataFrame:
-    """``lang``, ``source``, ``chunk``, ``n`` occurrences and ``ids`` (of the documents, if fewer than ``least`` have it; else null).
+def chunk_counts(docs: DataFrame) -> DataFrame:
+    """``lang``, ``source``, ``chunk``, ``n`` occurrences, ``docs`` and the first and last of them (``low``, ``high``).
 
     Every group has the empty chunk too, which never occurs.
     """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), text("lang"), text("source"), text("text"))
-    dealt = rows.mapInArrow(_count_blocks(least), COUNTS).repartition(partitions(docs.sparkSession), "chunk")
-    # a list has fewer than ``least`` ids a scan block, and few if it is kept
-    ids = F.when(F.sum("docs") < least, F.flatten(F.collect_list("ids")))
-    return dealt.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), ids.alias("ids"))
+    dealt = rows.mapInArrow(_count_blocks, COUNTS).repartition(partitions(docs.sparkSession), "chunk")
+    return dealt.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
-def term_counts(docs: DataFrame, least: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(``lang``, ``source``, ``term``, ``n`` of the terms kept; ``lang`` and ``source`` of all groups)."""
+def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``lang``, ``source``, ``term``, ``n`` of the terms that :data:`LEAST` documents have; ``lang`` and ``source`` of all groups).
+
+    Documents of two sources differ, so the first and last documents of a term's
+    chunks decide about all terms but those of one source whose chunks are all rare;
+    the documents of these are counted one by one.
+    """
     with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}):
-        counted = materialise(chunk_counts(docs, least), "chunks")
-    found = F.regexp_extract_all("chunk", F.lit(TERM), 0)
-    lowered = F.transform(found, lambda t: F.translate(t, UPPER, LOWER))
+        counted = materialise(chunk_counts(docs), "chunks")
+    lowered = F.transform(F.regexp_extract_all("chunk", F.lit(TERM), 0), lambda t: F.translate(t, UPPER, LOWER))
     terms = counted.select("chunk").distinct().select("chunk", F.explode(lowered).alias("term"))
     terms = terms.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
+    # a chunk of one or two documents has no others than its first and last
     joined = counted.join(terms, "chunk")
-    each = materialise(joined.groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("n"), F.max(F.col("ids").isNull()).alias("sure")), "terms")
-    sure = each.where("sure").select("lang", "term").distinct()
-    rare = joined.where("ids is not null").select("lang", "term", F.explode("ids").alias("id")).join(sure, ["lang", "term"], "left_anti").distinct()
-    enough = rare.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= least).select("lang", "term")
-    kept = materialise(each.join(sure.union(enough), ["lang", "term"]).select("lang", "source", "term", "n"), "kept")
+    ends = [F.max(F.col("docs") >= LEAST).alias("sure"), F.min("low").alias("low"), F.max("high").alias("high")]
+    each = materialise(joined.groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("n"), *ends), "terms")
+    known = F.sum(F.when(F.col("low") == F.col("high"), 1).otherwise(2))
+    judged = each.groupBy("lang", "term").agg(F.max("sure").alias("sure"), known.alias("known"), F.count(F.lit(1)).alias("sources"))
+    kept = judged.where(F.col("sure") | (F.col("known") >= LEAST)).select("lang", "term")
+    open_terms = judged.where(~F.col("sure") & (F.col("known") == 2) & (F.col("sources") == 1)).select("lang", "term")
+    ids = F.explode(F.array_distinct(F.array("low", "high")))
+    asked = counted.join(terms.join(open_terms, "term"), ["chunk", "lang"]).select("lang", "term", ids.alias("id")).distinct()
+    more = asked.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= LEAST).select("lang", "term")
+    kept = materialise(each.join(kept.union(more), ["lang", "term"]).select("lang", "source", "term", "n"), "kept")
     groups = materialise(counted.where("chunk = ''").select("lang", "source").distinct(), "groups")
     discard(docs.sparkSession, counted, each)
     return kept, groups
@@ -147,30 +142,31 @@ def _pairs(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     Terms that one side or neither has need no row of their own: what they add
     follows from counts of counts.  Only terms that both have are joined.
     """
+    wide = lambda c: c.cast("decimal(38,0)")
     side = lambda x: sizes.select("lang", *[F.col(c).alias(f"{c}_{x}") for c in ("source", "p0", "terms")], *["vocabulary"] * (x == "g"))
-    pairs = side("g").join(side("h"), "lang").where("source_g <> source_h")
     own = lambda x: rows.select("lang", "term", *[F.col(c).alias(f"{c}_{x}") for c in ("source", "p", "p0")])
-    met = own("g").join(own("h"), ["lang", "term"]).where("source_g <> source_h")
-    extra = _f("p_g", "p_h") - _f("p_g", "p0_h") - _f("p0_g", "p_h")
-    both = met.groupBy("lang", "source_g", "source_h").agg(F.sum(extra.cast("decimal(20,0)")).alias("extra"), F.count(F.lit(1)).alias("shared"))
-    levels = rows.groupBy("lang", F.col("source").alias("source_g"), F.col("p").alias("p_g")).agg(F.count(F.lit(1)).alias("k"))
-    against = levels.join(sizes.select("lang", F.col("source").alias("source_h"), F.col("p0").alias("p0_h")), "lang").where("source_g <> source_h")
-    times = lambda p, q: F.sum(_f(p, q).cast("decimal(20,0)") * F.col("k"))
-    one = against.groupBy("lang", "source_g", "source_h").agg(times("p_g", "p0_h").alias("mine"), times("p0_h", "p_g").alias("theirs"))
-    turned = one.select("lang", F.col("source_h").alias("source_g"), F.col("source_g").alias("source_h"), F.col("theirs"))
     key = ["lang", "source_g", "source_h"]
-    out = pairs.join(both, key, "left").join(one.drop("theirs"), key, "left").join(turned, key, "left").fillna(0)
-    neither = (F.col("vocabulary") - F.col("terms_g") - F.col("terms_h") + F.col("shared")).cast("decimal(20,0)") * F.coalesce(_f("p0_g", "p0_h"), F.lit(0))
-    # ``extra`` takes what both sides' sums hold of a shared term back out
-    value = F.col("extra") + F.col("mine") + F.col("theirs") + neither
-    return out.select("lang", F.col("source_g").alias("source"), F.col("source_h").alias("item"), value.cast("long").alias("value"))
-
-
-def source_divergence(docs: DataFrame, least: int = 3, ranks: int = 200) -> DataFrame:
+    met = own("g").join(own("h"), ["lang", "term"]).where("source_g <> source_h")
+    sums = {"a": F.sum(_f("p_g", "p_h")), "b": F.sum(_f("p_g", "p0_h")), "c": F.sum(_f("p0_g", "p_h")), "d": F.sum(_f("p0_g", "p0_h"))}
+    both = met.groupBy(*key).agg(*[v.alias(k) for k, v in sums.items()])
+    # what both sides' sums below hold of a shared term is taken back out
+    both = both.select(*key, (wide(F.col("a")) - wide(F.col("b")) - wide(F.col("c")) + wide(F.col("d"))).alias("value"))
+    levels = rows.groupBy("lang", F.col("source").alias("x"), F.col("p").alias("p")).agg(F.count(F.lit(1)).alias("k"))
+    against = levels.join(sizes.select("lang", F.col("source").alias("y"), F.col("p0").alias("q")), "lang").where("x <> y")
+    ways = F.array(F.struct(F.col("x").alias("source_g"), F.col("y").alias("source_h"), _f("p", "q").alias("f")), F.struct(F.col("y").alias("source_g"), F.col("x").alias("source_h"), _f("q", "p").alias("f")))
+    alone = against.select("lang", "k", F.inline(ways)).groupBy(*key).agg(F.sum(F.col("f").cast("decimal(19,0)") * F.col("k")).alias("value"))
+    some = both.unionByName(alone.select(*key, wide(F.col("value")).alias("value"))).groupBy(*key).agg(F.sum("value").alias("value"))
+    pairs = side("g").join(side("h"), "lang").where("source_g <> source_h").join(some, key, "left")
+    neither = wide(F.expr("vocabulary - terms_g - terms_h")) * F.coalesce(_f("p0_g", "p0_h"), F.lit(0))
+    value = F.coalesce("value", wide(F.lit(0))) + neither
+    return pairs.select("lang", F.col("source_g").alias("source"), F.col("source_h").alias("item"), value.cast("long").alias("value"))
+
+
+def source_divergence(docs: DataFrame, ranks: int = 200) -> DataFrame:
     """How each source differs from the other sources of its language, and in which terms from the whole language.
 
     Terms are runs of ASCII letters and of anything beyond ASCII, A-Z lower-cased;
-    a language keeps those that ``least`` of its documents have.  A group's share of a
+    a language keeps those that :data:`LEAST` of its documents have.  A group's share of a
     term is 1 + floor(10^9 * (n + 1) / (N + V)).  ``part`` ``pair`` has a row for
     every other source, ``term`` the ``ranks`` terms that stand out most; all
     arithmetic is exact.  Null ``text``, ``lang`` and ``source`` are empty strings; a
@@ -178,7 +174,7 @@ def source_divergence(docs: DataFrame, least: int = 3, ranks: int = 200) -> Data
     repeated row is a document of its own; an empty table gives no rows; other columns,
     ``doc_id`` too, are ignored.
     """
-    kept, groups = term_counts(docs, least)
+    kept, groups = term_counts(docs)
     whole = kept.groupBy("lang", "term").agg(F.sum("n").alias("n"))
     vocabulary = whole.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary"), F.sum("n").alias("all"))
     held = kept.groupBy("lang", "source").agg(F.sum("n").alias("own"), F.count(F.lit(1)).alias("terms"))
