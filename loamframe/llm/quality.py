@@ -184,8 +184,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
     rank = F.xxhash64("doc_id")
     labelled = table.where(~held_out(F.col("doc_id"))).select("place", "doc_id", rank.alias("rank")).join(known, "doc_id")
     n = labelled.count()
-    if n > max_train:  # so few rows leave the tasks, however many tasks there are
-        labelled = labelled.where(F.col("rank") < int(min(1.0, 1.2 * max_train / n + 0.001) * 2**64 - 2**63 - 1))
+    wanted = max_train + 8 * math.isqrt(max_train) + 100
+    if n > wanted:  # so few rows leave the tasks, however many tasks there are
+        few = labelled.where(F.col("rank") < wanted * 2**64 // n - 2**63)
+        if few.count() >= max_train:  # fewer only if many rows share an id
+            labelled = few
     chosen = labelled.orderBy("rank", "place").limit(max_train).select("place", "quality")
     train = table.select("place", "x").join(F.broadcast(chosen), "place").toPandas()
     x = np.array(train["x"].tolist(), np.float64).reshape(len(train), len(STATISTICS))
