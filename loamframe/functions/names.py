@@ -34,6 +34,8 @@ def reverse_complement(seq: Column) -> Column:
 #: File endings, and marks of the first mate, in the order they are tried (fixed values).
 FASTQ_ENDINGS = (".fastq.gz", ".fq.gz", ".fastq", ".fq", ".gz")
 MATE_MARKS = ("_R1_001", "_R1", "_1", ".mate1")
+#: Ends of the names of first and second mates, in the order they are tried (fixed values).
+PAIR_MARKS = (("_1_val_1", "_2_val_2"), ("_R1_001", "_R2_001"), ("_R1", "_R2"), ("_1", "_2"), (".mate1", ".mate2"))
 REPORT_ENDINGS = (".kraken2.report.txt", ".report.txt", ".k2report", ".kreport", ".report", ".txt")
 
 
