@@ -1,19 +1,17 @@
 """Sequencing reads: minimizers, index, classification, screening, trimming, quality profile.
 
-Sequences are text columns; everything but the adapter search stays inside the JVM.
-An l-mer is a base-4 number read off a digit string, so it is one cast, and its
-reverse complement is read off the reversed, complemented digits.
+Sequences are text columns.  Minimizers and the adapter search work on Arrow batches
+with numpy, everything else stays inside the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamframe.operators import minimizers as M
 from loamframe.operators import taxonomy as T
 
 #: Bases of a read that count.
@@ -26,44 +24,10 @@ def digits(seq: Column, length: int | None = READ_LENGTH) -> Column:
     return F.translate(F.regexp_replace(F.upper(cut), "[^ACGT]", "A"), "ACGT", "0123")
 
 
-def _number(text: Column) -> Column:
-    return F.conv(text, 4, 10).cast("long")
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def window_minimizers(digit_text: Column, k: int, l: int, toggle: int = 0, spaced: int = 0) -> Column:
-    """The minimizer of every k-window: the canonical l-mer that is least after XOR with ``toggle``.
-
-    An l-mer counts as the lesser of itself and its reverse complement, masked with
-    ``spaced`` unless that is 0.
-    """
-    width = k - l + 1
-
-    def mixed(d: Column, back: Column) -> Column:
-        n = F.length(d)
-
-        def one(i: Column) -> Column:
-            least = F.least(_number(F.substring(d, i, F.lit(l))), _number(F.substring(back, n - i - l + 2, F.lit(l))))
-            return (least.bitwiseAND(F.lit(spaced)) if spaced else least).bitwiseXOR(F.lit(toggle))
-
-        return F.transform(F.sequence(F.lit(1), n - l + 1), one)
-
-    def windows(m: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(m) - width + 1), lambda i: F.array_min(F.slice(m, i, F.lit(width))).bitwiseXOR(F.lit(toggle)))
-
-    def made(d: Column) -> Column:
-        return _let(F.reverse(F.translate(d, "0123", "3210")), lambda back: _let(mixed(d, back), windows))
-
-    return _let(digit_text, lambda d: F.when(F.length(d) >= k, made(d)).otherwise(F.array().cast("array<bigint>")))
-
-
 def minimizers(reads: DataFrame, key: str, k: int = 35, l: int = 31, toggle: int = 0, spaced: int = 0, length: int | None = READ_LENGTH) -> DataFrame:
     """``key``, ``pos`` and ``minimizer`` of every k-window of ``seq``; sequences shorter than k give none."""
-    return reads.select(key, F.posexplode(window_minimizers(digits(F.col("seq"), length), k, l, toggle, spaced)).alias("pos", "minimizer"))
+    runs = M.minimizer_runs(reads, key, k, l, toggle, spaced, length)
+    return runs.select(key, F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("times") - 1)).alias("pos"), "minimizer")
 
 
 def build_index(references: DataFrame, paths: DataFrame, k: int = 35, l: int = 31, toggle: int = 0, spaced: int = 0) -> DataFrame:
@@ -72,29 +36,43 @@ def build_index(references: DataFrame, paths: DataFrame, k: int = 35, l: int = 3
     Of many root paths the common start is that of the least and the greatest, so
     two aggregates per minimizer are enough, combined before the shuffle.
     """
-    found = minimizers(references, "tax_id", k, l, toggle, spaced, None).select("tax_id", "minimizer").distinct()
+    found = M.minimizer_runs(references, "tax_id", k, l, toggle, spaced, None).select("tax_id", "minimizer").distinct()
     rows = found.join(paths.select("tax_id", "path"), "tax_id")
     ends = rows.groupBy("minimizer").agg(F.min("path").alias("a"), F.max("path").alias("b"))
     return ends.select("minimizer", F.element_at(T.lowest_common_ancestor(F.col("a"), F.col("b")), -1).alias("tax_id"))
 
 
-def look_up(found: DataFrame, index: DataFrame) -> DataFrame:
-    """Minimizers with the index's taxon; those it lacks are left out.  The index is shuffled or, when small, broadcast by Spark."""
-    return found.join(index, "minimizer")
+def fold_hits(hits: DataFrame, paths: DataFrame) -> DataFrame:
+    """``read_id``, ``hit_count``, ``path`` and ``tax_id`` from runs of hits (``read_id``, ``pos``, ``times``, ``tax_id``), folded in order.
+
+    A path moves once for each taxon of a read.  From its second window on a run
+    changes nothing more, so two stand for any number.
+    """
+    place = F.struct("pos", F.least("times", F.lit(2)).alias("times"))
+    by_taxon = hits.groupBy("read_id", "tax_id").agg(F.collect_list(place).alias("at"), F.sum("times").alias("hits"))
+    each = by_taxon.join(paths.select("tax_id", "path"), "tax_id").withColumn("t", F.struct("path", "at"))
+    per_read = each.groupBy("read_id").agg(F.sum("hits").alias("hit_count"), F.collect_list("t").alias("taxa"))
+    runs = F.flatten(F.transform("taxa", lambda t: F.transform(t["at"], lambda x: F.struct(x["pos"].alias("pos"), x["times"].alias("times"), t["path"].alias("path")))))
+    folded = F.aggregate(F.array_sort(runs), F.array().cast("array<int>"), lambda held, x: F.when(x["times"] > 1, T.fold(T.fold(held, x["path"]), x["path"])).otherwise(T.fold(held, x["path"])))
+    return per_read.select("read_id", "hit_count", folded.alias("path")).withColumn("tax_id", F.try_element_at("path", F.lit(-1)))
 
 
-def classify(reads: DataFrame, index: DataFrame, paths: DataFrame, k: int = 35, l: int = 31, toggle: int = 0, spaced: int = 0) -> DataFrame:
-    """``read_id``, ``length``, ``hit_count`` and ``tax_id`` (null: unclassified) of every read (``read_id``, ``seq``)."""
-    hits = look_up(minimizers(reads, "read_id", k, l, toggle, spaced), index).join(paths.select("tax_id", "path"), "tax_id")
-    called = T.classify_reads(hits.select("read_id", "pos", "path"))
+def classify(reads: DataFrame, index: DataFrame, paths: DataFrame, k: int = 35, l: int = 31, toggle: int = 0, spaced: int = 0, hot: DataFrame | None = None) -> DataFrame:
+    """``read_id``, ``length``, ``hit_count`` and ``tax_id`` (null: unclassified) of every read (``read_id``, ``seq``).
+
+    ``index`` may be a table in buckets, which stays where it is; ``hot``
+    (:func:`loamframe.operators.minimizers.hot_minimizers`) keeps minimizers of very many reads apart.
+    """
+    hits = M.look_up(M.minimizer_runs(reads, "read_id", k, l, toggle, spaced), index, "read_id", hot)
+    called = fold_hits(hits, paths)
     size = F.least(F.length("seq"), F.lit(READ_LENGTH)).alias("length")
     return reads.select("read_id", size).join(called, "read_id", "left").select("read_id", "length", F.coalesce("hit_count", F.lit(0)).cast("long").alias("hit_count"), "tax_id", "path")
 
 
 def kmer_votes(reads: DataFrame, index: DataFrame, k: int = 35, l: int = 31, toggle: int = 0, spaced: int = 0) -> DataFrame:
     """``read_id``, ``tax_id`` (null: not in the index) and ``kmers``, for a confidence threshold."""
-    found = minimizers(reads, "read_id", k, l, toggle, spaced)
-    return found.join(index, "minimizer", "left").groupBy("read_id", "tax_id").agg(F.count(F.lit(1)).alias("kmers"))
+    found = M.minimizer_runs(reads, "read_id", k, l, toggle, spaced)
+    return found.join(index, "minimizer", "left").groupBy("read_id", "tax_id").agg(F.sum("times").alias("kmers"))
 
 
 def classification_lines(called: DataFrame) -> DataFrame:
@@ -106,13 +84,13 @@ def classification_lines(called: DataFrame) -> DataFrame:
 def screened(reads: DataFrame, references: DataFrame, k: int = 15, share: float = 0.5) -> DataFrame:
     """Add ``matches`` to reads (``read_id``, ``seq``): whether a mate has at least a ``share`` of its k-mers in ``references``.
 
-    Rows with one ``read_id`` are mates and get the same answer, so pairs stay
-    together.  Filter on ``matches`` for either side.
+    Whole reads count.  Rows with one ``read_id`` are mates and get the same answer,
+    so pairs stay together.  Filter on ``matches`` for either side.
     """
-    known = minimizers(references.withColumn("_r", F.lit(0)), "_r", k, k, length=None).select("minimizer").distinct().withColumn("_known", F.lit(1))
+    known = M.minimizer_runs(references.withColumn("_r", F.lit(0)), "_r", k, k, length=None).select("minimizer").distinct().withColumn("_known", F.lit(1))
     mates = reads.withColumn("_mate", F.struct("read_id", F.xxhash64("seq").alias("h")))
-    found = minimizers(mates, "_mate", k, k).join(known, "minimizer", "left")
-    covered = found.groupBy("_mate").agg((F.count("_known") / F.count(F.lit(1))).alias("share"))
+    found = M.minimizer_runs(mates, "_mate", k, k, length=None).join(known, "minimizer", "left")
+    covered = found.groupBy("_mate").agg((F.sum(F.when(F.col("_known").isNotNull(), F.col("times")).otherwise(0)) / F.sum("times")).alias("share"))
     good = covered.where(F.col("share") >= share).select(F.col("_mate.read_id").alias("read_id")).distinct().withColumn("_hit", F.lit(True))
     return reads.join(good, "read_id", "left").withColumn("matches", F.coalesce("_hit", F.lit(False))).drop("_hit")
 

@@ -72,12 +72,13 @@ def map_levels(level: Column, names: dict[str, str]) -> Column:
     return reduce(lambda out, kv: F.when(level == kv[0], F.lit(kv[1])).otherwise(out), names.items(), level)
 
 
-def id_type(genes: DataFrame, most: int = 100) -> DataFrame:
-    """One row, ``id_type``, from the first ``most`` distinct ids in order.
+def id_type(genes: DataFrame, order: str | Column, most: int = 100) -> DataFrame:
+    """One row, ``id_type``, from the first ``most`` distinct ids (``gene``) in the table's ``order``.
 
     ENSEMBL if any begins like one of its genes, ENTREZID if all are digits, else SYMBOL.
     """
-    first = genes.select(F.col("gene").cast("string").alias("gene")).distinct().orderBy("gene").limit(most)
+    ids = genes.select(F.col("gene").cast("string").alias("gene"), (F.col(order) if isinstance(order, str) else order).alias("_at"))
+    first = ids.groupBy("gene").agg(F.min("_at").alias("_at")).orderBy("_at", "gene").limit(most)
     ensembl, numbers = F.bool_or(F.col("gene").rlike("^ENS[A-Z]*G")), F.bool_and(F.col("gene").rlike("^[0-9]+$"))
     return first.agg(F.when(ensembl, "ENSEMBL").when(numbers, "ENTREZID").otherwise("SYMBOL").alias("id_type"))
 
@@ -176,13 +177,17 @@ def column_statistics(table: DataFrame) -> DataFrame:
 
 
 def progress(artifacts: DataFrame, samples: DataFrame, halved: tuple[str, ...] = ()) -> DataFrame:
-    """``completed`` and ``processing`` samples of every stage with an artifact.
+    """:func:`progress_of` the artifacts of every ``stage``."""
+    return progress_of(artifacts.groupBy("stage").agg(F.count(F.lit(1)).alias("artifacts")), samples, halved)
+
+
+def progress_of(counted: DataFrame, samples: DataFrame, halved: tuple[str, ...] = ()) -> DataFrame:
+    """``completed`` and ``processing`` samples of every stage that has ``artifacts``.
 
     Stages in ``halved`` have one artifact a mate.  What is not completed counts as
     processing, not below 0.
     """
     total = samples.agg(F.count(F.lit(1))).scalar()
-    counted = artifacts.groupBy("stage").agg(F.count(F.lit(1)).alias("artifacts"))
     half = F.col("stage").isin(*halved) if halved else F.lit(False)
     completed = F.when(half, F.floor(F.col("artifacts") / 2)).otherwise(F.col("artifacts")).cast("long")
     return counted.withColumn("completed", completed).withColumn("processing", F.greatest(F.lit(0), total - F.col("completed")))

@@ -88,6 +88,12 @@ def lowest_common_ancestor(a: Column, b: Column) -> Column:
     return F.array_intersect(a, b)
 
 
+def fold(held: Column, path: Column) -> Column:
+    """A read's path so far after one more hit."""
+    meets = (F.size(path) == F.size(held)) & (path != held)
+    return F.when(F.size(path) > F.size(held), path).when(meets, lowest_common_ancestor(held, path)).otherwise(held)
+
+
 def classify_reads(hits: DataFrame) -> DataFrame:
     """Fold each read's hits in order (``read_id``, ``pos``, ``path``).
 
@@ -96,12 +102,8 @@ def classify_reads(hits: DataFrame) -> DataFrame:
     """
     ordered = F.array_sort(F.collect_list(F.struct("pos", "path")))
 
-    def step(held: Column, hit: Column) -> Column:
-        path = hit["path"]
-        return F.when(F.size(path) > F.size(held), path).when((F.size(path) == F.size(held)) & (path != held), lowest_common_ancestor(held, path)).otherwise(held)
-
     start = F.array().cast("array<int>")
-    return hits.groupBy("read_id").agg(ordered.alias("hits"), F.count(F.lit(1)).alias("hit_count")).select("read_id", "hit_count", F.aggregate("hits", start, step).alias("path")).withColumn("tax_id", F.element_at("path", -1))
+    return hits.groupBy("read_id").agg(ordered.alias("hits"), F.count(F.lit(1)).alias("hit_count")).select("read_id", "hit_count", F.aggregate("hits", start, lambda held, hit: fold(held, hit["path"])).alias("path")).withColumn("tax_id", F.element_at("path", -1))
 
 
 def merge_pairs(mates: DataFrame) -> DataFrame:

@@ -5,10 +5,13 @@ Every benchmark item is a taxon below a root, in groups of four.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamframe.operators import intervals as I
+from loamframe.operators import minimizers as M
 from loamframe.operators import reads as S
 from loamframe.operators import taxonomy as T
 from loamframe.plans import registry as R
@@ -49,6 +52,15 @@ def classify_sequences(spark: SparkSession, d: str) -> DataFrame:
     return called.select("read_id", "length", "hit_count", "tax_id")
 
 
+def indexed_classification(spark: SparkSession, d: str) -> DataFrame:
+    """As :func:`classify_sequences`, with the index stored in buckets and hot minimizers kept apart."""
+    table = f"minimizer_index_{zlib.crc32(d.encode()):08x}"
+    M.write_index(minimizer_index(spark, d), table)
+    reads, index = _reads(spark, d), M.read_index(spark, table)
+    hot = M.hot_minimizers(M.minimizer_runs(reads.sample(0.1, seed=1), "read_id", K, LMER, TOGGLE), index)
+    return S.classify(reads, index, _paths(spark, d), K, LMER, TOGGLE, hot=hot).select("read_id", "length", "hit_count", "tax_id")
+
+
 def classification_text(spark: SparkSession, d: str) -> DataFrame:
     return S.classification_lines(classify_sequences(spark, d))
 
@@ -68,12 +80,11 @@ def trimmed_reads(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quality_cuts(spark: SparkSession, d: str) -> DataFrame:
-    rows = _reads(spark, d).select("read_id", F.substring("seq", 1, 256).alias("seq"))
-    return rows.select("read_id", S.quality_cut(F.translate("seq", "ACGTacgt", "5?IA+I5B"), 25).alias("kept"), S.poly_tail(F.col("seq"), 2, "ACGTacgt").alias("before_tail"))
+    return _reads(spark, d).select("read_id", S.quality_cut(F.translate("seq", "ACGTacgt", "5?IA+I5B"), 25).alias("kept"), S.poly_tail(F.col("seq"), 2, "ACGTacgt").alias("before_tail"))
 
 
 def position_profile(spark: SparkSession, d: str) -> DataFrame:
-    rows = _reads(spark, d).select(F.lit("raw").alias("stage"), F.substring("seq", 1, 256).alias("seq")).withColumn("qual", F.translate("seq", "ACGTacgt", "5?IA+I5B"))
+    rows = _reads(spark, d).select(F.lit("raw").alias("stage"), "seq").withColumn("qual", F.translate("seq", "ACGTacgt", "5?IA+I5B"))
     return S.position_profile(rows, "stage").withColumn("mean_quality", F.round("mean_quality", 4))
 
 
@@ -96,7 +107,7 @@ def stranded_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = (
-    kmer_minimizers, minimizer_index, classify_sequences, classification_text, kmer_support, screened_reads, trimmed_reads, quality_cuts, position_profile, read_histograms, read_duplication, stranded_counts,
+    kmer_minimizers, minimizer_index, classify_sequences, indexed_classification, classification_text, kmer_support, screened_reads, trimmed_reads, quality_cuts, position_profile, read_histograms, read_duplication, stranded_counts,
 )
 
 _SEQ = "regexp_replace(coalesce(text, ''), '[^ACGTacgt]', '', 'g')"
@@ -113,6 +124,7 @@ mins AS (SELECT id, (i - 1)::INT AS pos, xor(m, {toggle}::BIGINT) AS minimizer F
 
 
 _READS = f"SELECT doc_id AS id, substring({_SEQ}, 1, 256) AS seq FROM documents"
+_WHOLE = f"SELECT doc_id AS id, {_SEQ} AS seq FROM documents"
 _REFS = f"SELECT item_id + 1000 AS id, {_SEQ} AS seq FROM benchmark"
 _INDEX = f"""idx AS (WITH {_minimizers(_REFS, K, LMER, TOGGLE)}, u AS (SELECT DISTINCT minimizer, id FROM mins)
 SELECT minimizer, CASE WHEN count(*) = 1 THEN any_value(id) WHEN count(DISTINCT (id - 1000) // 4) = 1 THEN any_value((id - 1000) // 4) + 10 ELSE 1 END::INT AS tax_id FROM u GROUP BY 1)"""
@@ -129,21 +141,22 @@ SQL = {
     "kmer_minimizers": f"WITH {_minimizers(_READS, K, LMER, TOGGLE)} SELECT id AS read_id, pos, minimizer FROM mins",
     "minimizer_index": f"WITH {_INDEX} SELECT minimizer, tax_id FROM idx",
     "classify_sequences": f"{_CALLED} SELECT read_id, length, hit_count, tax_id FROM called",
+    "indexed_classification": f"{_CALLED} SELECT read_id, length, hit_count, tax_id FROM called",
     "classification_text": f"{_CALLED} SELECT CASE WHEN tax_id IS NULL THEN 'U' ELSE 'C' END || chr(9) || read_id || chr(9) || coalesce(tax_id, 0) || chr(9) || length || chr(9) || CASE WHEN tax_id IS NULL THEN '0' ELSE '1' END AS value FROM called",
     "kmer_support": f"WITH {_INDEX}, {_minimizers(_READS, K, LMER, TOGGLE)} SELECT id AS read_id, tax_id, count(*) AS kmers FROM mins LEFT JOIN idx USING (minimizer) GROUP BY 1, 2",
     "screened_reads": f"""
-WITH kn AS (WITH {_minimizers(_REFS, 9, 9, 0)} SELECT DISTINCT minimizer FROM mins), {_minimizers(_READS, 9, 9, 0)},
+WITH kn AS (WITH {_minimizers(_REFS, 9, 9, 0)} SELECT DISTINCT minimizer FROM mins), {_minimizers(_WHOLE, 9, 9, 0)},
 c AS (SELECT id, count(kn.minimizer) / count(*) AS share FROM mins LEFT JOIN kn USING (minimizer) GROUP BY 1)
 SELECT doc_id AS read_id, coalesce(share >= 0.05, false) AS matches FROM documents LEFT JOIN c ON id = doc_id""",
     "quality_cuts": f"""
-WITH s AS (SELECT doc_id, substring({_SEQ}, 1, 256) AS seq FROM documents), q AS (SELECT doc_id, seq, unnest(range(1, length(seq) + 1)) AS i, {_QUAL} AS qual FROM s),
+WITH s AS (SELECT doc_id, {_SEQ} AS seq FROM documents), q AS (SELECT doc_id, seq, unnest(range(1, length(seq) + 1)) AS i, {_QUAL} AS qual FROM s),
 t AS (SELECT doc_id, i, sum(25 - (ascii(substring(qual, i::INT, 1)) - 33)) OVER (PARTITION BY doc_id ORDER BY i DESC) AS run FROM q),
 b AS (SELECT doc_id, i, run, bool_or(run < 0) OVER (PARTITION BY doc_id ORDER BY i DESC) AS over FROM t),
 best AS (SELECT doc_id, min(i) AS cut FROM (SELECT *, max(run) OVER (PARTITION BY doc_id) AS top FROM b WHERE NOT over AND run > 0) WHERE run = top GROUP BY 1),
 first AS (SELECT doc_id, max(i) AS cut FROM (SELECT *, max(run) OVER (PARTITION BY doc_id) AS top FROM b WHERE NOT over AND run > 0) WHERE run = top GROUP BY 1)
 SELECT s.doc_id AS read_id, coalesce(first.cut - 1, length(seq))::INT AS kept, length(regexp_replace(seq, '(A{{2,}}|C{{2,}}|G{{2,}}|T{{2,}}|a{{2,}}|c{{2,}}|g{{2,}}|t{{2,}})$', ''))::INT AS before_tail FROM s LEFT JOIN first ON first.doc_id = s.doc_id""",
     "position_profile": f"""
-WITH s AS (SELECT substring({_SEQ}, 1, 256) AS seq FROM documents), p AS (SELECT unnest(range(0, length(seq))) AS pos, seq, {_QUAL} AS qual FROM s), b AS (SELECT pos, upper(substring(seq, pos::INT + 1, 1)) AS b, ascii(substring(qual, pos::INT + 1, 1)) - 33 AS q FROM p)
+WITH s AS (SELECT {_SEQ} AS seq FROM documents), p AS (SELECT unnest(range(0, length(seq))) AS pos, seq, {_QUAL} AS qual FROM s), b AS (SELECT pos, upper(substring(seq, pos::INT + 1, 1)) AS b, ascii(substring(qual, pos::INT + 1, 1)) - 33 AS q FROM p)
 SELECT 'raw' AS stage, pos::INT AS pos, count(*) FILTER (b = 'A') AS a, count(*) FILTER (b = 'C') AS c, count(*) FILTER (b = 'G') AS g, count(*) FILTER (b = 'T') AS t, 0::BIGINT AS n, round(avg(q), 4) AS mean_quality FROM b GROUP BY 2""",
     "read_histograms": f"""
 WITH s AS (SELECT {_SEQ} AS seq FROM documents)

@@ -34,9 +34,14 @@ def mapped_levels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def id_types(spark: SparkSession, d: str) -> DataFrame:
+    """Ids whose first hundred, by one order or another, are of another kind than the rest."""
     part = R._table(spark, d, "part")
-    kinds = {"keys": F.col("p_partkey").cast("string"), "brands": F.col("p_brand"), "made": F.concat(F.lit("ENSMUSG"), F.col("p_partkey").cast("string"))}
-    return S.mixed(*[S.id_type(part.select(c.alias("gene"))).withColumn("column", F.lit(k)) for k, c in kinds.items()])
+    key = F.col("p_partkey").cast("string")
+    gene = F.when(F.col("p_size") > 25, F.concat(F.lit("ENSMUSG"), key)).when(F.col("p_retailprice") > 1100, F.concat(F.lit("g"), key)).otherwise(key)
+    orders = {"size": "p_size", "shrinking": -F.col("p_size"), "price": "p_retailprice", "key": "p_partkey"}
+    # ties are broken by the key, so the order is one
+    rank = lambda c: F.struct(F.col(c) if isinstance(c, str) else c, F.col("p_partkey"))
+    return S.mixed(*[S.id_type(part.select(gene.alias("gene"), rank(c).alias("at")), "at").withColumn("order", F.lit(k)) for k, c in orders.items()])
 
 
 def named_genes(spark: SparkSession, d: str) -> DataFrame:
@@ -160,7 +165,11 @@ SQL = {
     "kept_groups": "SELECT c_custkey, c_mktsegment AS segment FROM customer WHERE c_custkey % 7 <> 0 AND c_mktsegment IN ('BUILDING', 'MACHINERY')",
     "derived_status": "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'low' WHEN c_acctbal < 5000 THEN 'middle' ELSE 'high' END AS status FROM customer WHERE c_custkey % 4 < 2 AND c_custkey % 9 <> 0 AND c_custkey % 11 > 0 AND c_acctbal IS NOT NULL",
     "mapped_levels": "SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'Case' WHEN 'MACHINERY' THEN 'Control' ELSE c_mktsegment END AS level, count(*) AS samples FROM customer GROUP BY 1",
-    "id_types": "SELECT 'ENTREZID' AS id_type, 'keys' AS \"column\" WHERE (SELECT count(*) FROM part) > 0 UNION ALL SELECT 'SYMBOL', 'brands' UNION ALL SELECT 'ENSEMBL', 'made'",
+    "id_types": " UNION ALL ".join(
+        f"""SELECT CASE WHEN bool_or(regexp_matches(gene, '^ENS[A-Z]*G')) THEN 'ENSEMBL' WHEN bool_and(regexp_matches(gene, '^[0-9]+$')) THEN 'ENTREZID' ELSE 'SYMBOL' END AS id_type, '{name}' AS "order" FROM (
+SELECT CASE WHEN p_size > 25 THEN 'ENSMUSG' || p_partkey WHEN p_retailprice > 1100 THEN 'g' || p_partkey ELSE p_partkey::VARCHAR END AS gene FROM part ORDER BY {by}, p_partkey LIMIT 100)"""
+        for name, by in (("size", "p_size"), ("shrinking", "p_size DESC"), ("price", "p_retailprice"), ("key", "p_partkey"))
+    ),
     "named_genes": """
 WITH m AS (SELECT p_partkey AS gene, CASE WHEN p_partkey % 4 > 0 AND p_partkey % 3 <> 0 THEN p_type WHEN p_partkey % 2 = 0 THEN p_brand ELSE p_partkey::VARCHAR END AS s FROM part),
 k AS (SELECT gene, s, row_number() OVER (PARTITION BY s ORDER BY gene) - 1 AS k FROM m) SELECT gene, CASE WHEN k > 0 THEN s || '.' || k ELSE s END AS gene_name FROM k""",

@@ -45,7 +45,7 @@ def selected_taxa_pivot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def taxon_matrix(spark: SparkSession, d: str) -> DataFrame:
-    rows = R._table(spark, d, "lineitem").where("l_linenumber = 1").groupBy(F.col("l_returnflag").alias("sample"), F.col("l_suppkey").alias("tax_id")).agg(F.count(F.lit(1)).alias("direct_reads"))
+    rows = R._table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("sample"), F.col("l_suppkey").alias("tax_id")).agg(F.count(F.lit(1)).alias("direct_reads"))
     return P.taxon_matrix(rows)
 
 
@@ -136,7 +136,7 @@ SELECT sample, host, bacterial, viral, other, unclassified, total, round(host /
     "selected_taxa_pivot": f"""{_PLAIN} SELECT sample, coalesce(max(clade_reads) FILTER (tax_id = 100), 0) AS first_reads, coalesce(max(pct) FILTER (tax_id = 100), 0) AS first_pct,
 coalesce(max(clade_reads) FILTER (tax_id = 1003), 0) AS second_reads, coalesce(max(pct) FILTER (tax_id = 1003), 0) AS second_pct, 0::BIGINT AS absent_reads, 0.0::DOUBLE AS absent_pct FROM lines GROUP BY 1""",
     "taxon_matrix": """
-WITH c AS (SELECT l_returnflag AS sample, l_suppkey AS tax_id, count(*) AS n FROM lineitem WHERE l_linenumber = 1 GROUP BY 1, 2)
+WITH c AS (SELECT l_returnflag AS sample, l_suppkey AS tax_id, count(*) AS n FROM lineitem GROUP BY 1, 2)
 SELECT t.tax_id, s.sample, coalesce(n, 0) AS n FROM (SELECT DISTINCT tax_id FROM c) t CROSS JOIN (SELECT DISTINCT sample FROM c) s LEFT JOIN c USING (tax_id, sample)""",
     "top_species": f"""{_PLAIN}, x AS (SELECT sample, name, CASE WHEN sample = 'R' THEN direct_reads / 1000.0 ELSE pct / 100 END AS fraction, CASE WHEN sample = 'R' THEN 'abundance' ELSE 'report' END AS origin FROM lines WHERE rank_code = 'S')
 SELECT sample, name, round(fraction, 6)::DOUBLE AS fraction, origin, (row_number() OVER (PARTITION BY sample ORDER BY fraction DESC, name))::INT AS rank FROM x QUALIFY rank <= 10""",

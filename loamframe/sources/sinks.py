@@ -30,11 +30,17 @@ def write_table(table: DataFrame, path: str, sep: str = "\t") -> None:
 
 
 def write_lines(lines: DataFrame, path: str, order: str | None = None) -> None:
-    """``value`` of every row as a line, in a folder for each ``sample`` where there is one and sorted within it by ``order``."""
-    by = ["sample"] if "sample" in lines.columns else []
-    dealt = lines.repartition(F.col("sample")).sortWithinPartitions("sample", *[order] * (order is not None)) if by else lines
-    writer = dealt.select(*by, "value").write.mode("overwrite")
-    (writer.partitionBy(*by) if by else writer).text(path)
+    """``value`` of every row as a line, in a folder for each ``sample`` where there is one and sorted within it by ``order``.
+
+    A large sample is dealt to several tasks and so has several files; with an
+    ``order`` their names follow it.
+    """
+    if "sample" not in lines.columns:
+        lines.select("value").write.mode("overwrite").text(path)
+        return
+    # both leave the number of tasks to Spark, which puts small samples together
+    dealt = lines.hint("rebalance", "sample") if order is None else lines.repartitionByRange("sample", order).sortWithinPartitions("sample", order)
+    dealt.select("sample", "value").write.mode("overwrite").partitionBy("sample").text(path)
 
 
 def tool_matrix(counts: DataFrame, tool: str, samples: list[str]) -> DataFrame:

@@ -153,10 +153,10 @@ def read_gene_sets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, sep="," if path.lower().endswith(".csv") else "\t").select(F.col("term_id").alias("term"), "ontology", F.col("gene_id").alias("gene"))
 
 
-def read_annotation(spark: SparkSession, path: str) -> DataFrame:
-    """Annotation separated by semicolons, whose numbers have decimal commas: all columns as text, ``bmi`` as a number."""
+def read_annotation(spark: SparkSession, path: str, decimals: tuple[str, ...] = ()) -> DataFrame:
+    """Annotation separated by semicolons, all columns as text; those of ``decimals`` it has become numbers, whose sign may be a comma."""
     raw = spark.read.csv(path, header=True, sep=";")
-    return raw.withColumn("bmi", N.decimal_comma(F.col("bmi"))) if "bmi" in raw.columns else raw
+    return raw.withColumns({c: N.decimal_comma(F.col(c)) for c in decimals if c in raw.columns})
 
 
 def _whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:

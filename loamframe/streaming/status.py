@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loamframe.operators.samples import progress
+from loamframe.operators.samples import progress_of
 
 
 def stage_status(artifacts: DataFrame) -> DataFrame:
@@ -27,8 +27,7 @@ def progress_stream(artifacts: DataFrame, samples: DataFrame, sink: Callable[[Da
     """Start a stream that hands the sink the progress of all stages after each batch."""
 
     def each(counted: DataFrame, batch: int) -> None:
-        rows = counted.select("stage", F.explode(F.sequence(F.lit(1), F.col("artifacts").cast("int"))).alias("i"))
-        sink(progress(rows, samples, halved), batch)
+        sink(progress_of(counted, samples, halved), batch)
 
     counts = artifacts.groupBy("stage").agg(F.count(F.lit(1)).alias("artifacts"))
     return counts.writeStream.outputMode("complete").foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -47,7 +47,7 @@ def test_sheets_and_annotation(spark, tmp_path):
     lines(tmp_path / "pairs.csv", "comparison_name,control_group,treatment_group", "case_vs_ctl,ctl,case")
     assert S.read_comparisons(spark, f"file://{tmp_path}/pairs.csv").first()[:] == ("case_vs_ctl", "ctl", "case")
     lines(tmp_path / "notes.csv", "sample;lane;sampleType;bmi", "P1;L001;POS;23,4")
-    r = S.read_annotation(spark, f"file://{tmp_path}/notes.csv").first()
+    r = S.read_annotation(spark, f"file://{tmp_path}/notes.csv", ("bmi",)).first()
     assert (r["sample"], r.bmi) == ("P1", 23.4)
     lines(tmp_path / "nodes.tsv", "tax_id\tparent_id\trank\tname", "1\t\troot\troot", "2\t1\tdomain\tBacteria")
     assert [(r.tax_id, r.parent_id, r.name) for r in S.read_nodes(spark, f"file://{tmp_path}/nodes.tsv").collect()] == [(1, None, "root"), (2, 1, "Bacteria")]
