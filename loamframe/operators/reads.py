@@ -6,8 +6,11 @@ with numpy, everything else stays inside the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,6 +98,35 @@ def screened(reads: DataFrame, references: DataFrame, k: int = 15, share: float
     return reads.join(good, "read_id", "left").withColumn("matches", F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
+def _windows(length: int, step: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for tax, row, seq in zip(*(batch.column(c).to_pylist() for c in ("tax_id", "row", "seq")), strict=True):
+                for i in range(0, max(0, len(seq) - length + 1), 10_000 * step):
+                    at = range(i, min(i + 10_000 * step, len(seq) - length + 1), step)
+                    keys = pa.StructArray.from_arrays([pa.array([tax] * len(at), pa.int32()), pa.array([row] * len(at), pa.int64()), pa.array(at, pa.int64())], ["tax_id", "row", "at"])
+                    yield pa.RecordBatch.from_arrays([keys, pa.array([seq[p : p + length] for p in at], pa.string())], ["read_id", "seq"])
+
+    return cut
+
+
+def ancestor_shares(references: DataFrame, index: DataFrame, paths: DataFrame, length: int, k: int = 35, l: int = 31, toggle: int = 0, spaced: int = 0, step: int = 1) -> DataFrame:
+    """``tax_id``, ``ancestor``, ``windows`` and ``share``: where reads of a taxon end up, for :func:`loamframe.operators.taxonomy.reestimate`.
+
+    Every stretch of ``length`` letters of a taxon's ``references`` (``tax_id``,
+    ``seq``), one a ``step``, is classified like a read.  Those called as the taxon or
+    one of its ancestors are counted; ``share`` is of all stretches of the taxon.
+    """
+    rows = references.where("seq is not null").select(F.col("tax_id").cast("int").alias("tax_id"), F.monotonically_increasing_id().alias("row"), "seq")
+    reads = rows.mapInArrow(_windows(length, step), "read_id struct<tax_id:int,row:long,at:long>, seq string")
+    hits = M.look_up(M.minimizer_runs(reads, "read_id", k, l, toggle, spaced), index, "read_id")
+    called = fold_hits(hits, paths).groupBy(F.col("read_id.tax_id").alias("tax_id"), F.col("tax_id").alias("ancestor")).agg(F.count(F.lit(1)).alias("windows"))
+    number = F.floor((F.length("seq") - length) / step) + 1
+    whole = rows.where(F.length("seq") >= length).groupBy("tax_id").agg(F.sum(number).alias("all"))
+    own = called.join(paths.select("tax_id", "path"), "tax_id").where(F.array_contains("path", F.col("ancestor")))
+    return own.join(whole, "tax_id").select("tax_id", "ancestor", "windows", (F.col("windows") / F.col("all")).alias("share"))
+
+
 # ---- trimming ----------------------------------------------------------------------------
 
 
@@ -131,31 +163,108 @@ def poly_tail(seq: Column, least: int = 10, bases: str = "G") -> Column:
     return F.length(F.regexp_replace(seq, f"({runs})$", ""))
 
 
+def _edits(text: np.ndarray, size: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Least edits of ``wanted`` against letters that begin at each place of each row, wherever they end.
+
+    Rows are walked from their ends together; a row's automaton is two words of
+    bits, one a letter of ``wanted``, and a place costs a dozen operations on all rows.
+    """
+    m, (rows, width) = len(wanted), text.shape
+    one, top = np.uint64(1), np.uint64(1) << np.uint64(m - 1)
+    every = np.uint64((1 << m) - 1)
+    match = np.zeros(256, np.uint64)
+    for i, c in enumerate(wanted[::-1]):
+        match[c] |= one << np.uint64(i)
+    up, down, score = np.full(rows, every), np.zeros(rows, np.uint64), np.full(rows, m, np.int32)
+    out = np.full((rows, width + 1), m, np.int32)
+    for p in range(width - 1, -1, -1):
+        on = p < size
+        eq = match[text[:, p]]
+        x = eq | down
+        with np.errstate(over="ignore"):
+            d0 = ((((eq & up) + up) ^ up) | x) & every
+        more, less = down | (~(d0 | up) & every), d0 & up
+        step = ((more & top) != 0).astype(np.int32) - ((less & top) != 0)
+        more, less = (more << one) & every, (less << one) & every  # a place may begin the match for nothing
+        up, down = np.where(on, less | (~(d0 | more) & every), up), np.where(on, more & d0, down)
+        score = np.where(on, score + step, score)
+        out[:, p] = score
+    return out
+
+
+def _end_edits(tail: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Edits between ``wanted`` and each row's last 0, 1, ... letters; ``tail`` has rows' letters from the end on."""
+    rows, width = tail.shape
+    line = np.repeat(np.arange(len(wanted) + 1, dtype=np.int32)[None, :], rows, 0)
+    out = np.empty((rows, width + 1), np.int32)
+    out[:, 0] = line[:, -1]
+    back = wanted[::-1]
+    for i in range(width):
+        new = np.empty_like(line)
+        new[:, 0] = i + 1
+        for j, c in enumerate(back):
+            new[:, j + 1] = np.minimum(np.minimum(line[:, j + 1], new[:, j]) + 1, line[:, j] + (tail[:, i] != c))
+        line = new
+        out[:, i + 1] = line[:, -1]
+    return out
+
+
+def _cut_places(text: np.ndarray, size: np.ndarray, wanted: np.ndarray, overlap: int, error: float) -> np.ndarray:
+    rows, width = text.shape
+    m, most = len(wanted), int(error * len(wanted))
+    far = np.int32(1 << 30)
+    cost = np.full((rows, width + most + 1), far)
+    if m >= overlap:
+        whole = _edits(text, size, wanted)
+        cost[:, : width + 1] = np.where(whole <= most, whole, far)
+    for j in range(max(1, overlap), m):  # the read ends inside the adapter
+        allowed = int(error * j)
+        back = size[:, None] - 1 - np.arange(j + allowed)[None, :]
+        tail = np.where(back >= 0, np.take_along_axis(text, np.maximum(back, 0), 1) if width else 0, 0)
+        found = _end_edits(tail, wanted[:j])
+        for n in range(max(1, j - allowed), j + allowed + 1):
+            at = np.flatnonzero((size >= n) & (found[:, n] <= allowed))
+            p = size[at] - n
+            cost[at, p] = np.minimum(cost[at, p], found[at, n])
+    cost[np.arange(width + most + 1)[None, :] >= size[:, None]] = far
+    first = np.where((cost < far).any(1), (cost < far).argmax(1), size)
+    # an edit lets the match begin a little early: take the best of the places right after it
+    near = np.take_along_axis(cost, np.minimum(first[:, None] + np.arange(most + 1)[None, :], width + most), 1)
+    return np.where(first < size, first + near.argmin(1), size)
+
+
+#: Letters of reads that are searched at once.
+AREA = 1 << 22
+
+
 def adapter_cut(seq: Column, adapter: str, overlap: int = 1, error: float = 0.1) -> Column:
     """Letters to keep before the first place where ``adapter`` begins.
 
-    From there to its end, or the read's, at least ``overlap`` letters are compared
-    and at most a share ``error`` of them, rounded down, may differ.
+    A share ``error`` of its letters, rounded down, may be replaced, inserted or
+    deleted.  Where the read ends inside the adapter, ``overlap`` letters or more of
+    its start are compared with the read's end, and the share counts of these.  Of the
+    first place that fits and those as many letters after it as may be edited, the
+    one with the fewest edits is taken.  Adapters have up to 63 letters.
     """
     wanted = np.frombuffer(adapter.encode(), np.uint8)
+    if not 0 < len(wanted) < 64:
+        raise ValueError("an adapter has 1 to 63 letters")
 
     @F.pandas_udf("int")
     def cut(reads: pd.Series) -> pd.Series:
-        text = reads.fillna("")
-        size = text.str.len().to_numpy()
-        width = int(size.max(initial=0))
-        letters = np.zeros((len(text), width), np.uint8)
-        for i, t in enumerate(text):
-            letters[i, : len(t)] = np.frombuffer(t.encode("ascii", "replace"), np.uint8)
-        keep = size.copy()
-        for p in range(width - 1, -1, -1):  # the leftmost place wins
-            span = np.minimum(size - p, len(wanted))
-            part = letters[:, p : p + len(wanted)]
-            wrong = np.cumsum(part != wanted[: part.shape[1]], axis=1)
-            ok = span >= overlap
-            at = np.clip(span - 1, 0, part.shape[1] - 1)
-            good = ok & (wrong[np.arange(len(text)), at] <= np.floor(error * span))
-            keep[good] = p
+        texts = [t.encode("ascii", "replace") for t in reads.fillna("")]
+        sizes = np.array([len(t) for t in texts], np.int64)
+        keep = sizes.copy()
+        order = np.argsort(sizes, kind="stable")[::-1]
+        i = 0
+        while i < len(order) and sizes[order[i]]:  # a long read shares its slice with few others
+            width = int(sizes[order[i]])
+            at = order[i : i + max(1, AREA // width)]
+            letters = np.zeros((len(at), width), np.uint8)
+            for row, k in enumerate(at):
+                letters[row, : sizes[k]] = np.frombuffer(texts[k], np.uint8)
+            keep[at] = _cut_places(letters, sizes[at], wanted, overlap, error)
+            i += len(at)
         return pd.Series(keep).astype("Int32").mask(reads.isna().to_numpy())
 
     return cut(seq)

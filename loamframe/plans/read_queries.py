@@ -106,8 +106,37 @@ def stranded_counts(spark: SparkSession, d: str) -> DataFrame:
     return I.count_features(reads, exons, stranded=True)
 
 
+def spliced_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Line items are reads in two blocks with an intron; parts are genes of three exons, two of which overlap."""
+    text = "concat(cast(l_quantity as int), 'M', 20 + l_linenumber * 150, 'N', 2 * l_linenumber, 'M1I', 3, 'D', 10, 'M5S')"
+    reads = R._table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("read"), F.lit("c").alias("contig"), F.floor("l_extendedprice").alias("start"), F.expr(text).alias("cigar"))
+    at = lambda a, b: F.struct((F.col("p_partkey") * 37 + F.expr(a)).alias("start"), (F.col("p_partkey") * 37 + F.expr(b)).alias("end"))
+    exons = R._table(spark, d, "part").select(F.col("p_partkey").alias("gene"), F.lit("c").alias("contig"), F.inline(F.array(at("0", "p_size"), at("p_size div 2", "p_size + 9"), at("1000", "1000 + p_size"))))
+    return I.count_spliced(reads, exons, 5)
+
+
+#: Letters of a window that stands for a read.
+WINDOW = 18
+
+
+def _shares(spark: SparkSession, d: str) -> DataFrame:
+    return S.ancestor_shares(_references(spark, d), minimizer_index(spark, d), _paths(spark, d), WINDOW, K, LMER, TOGGLE)
+
+
+def kmer_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _shares(spark, d).withColumn("share", F.round("share", 6))
+
+
+def kmer_reestimated(spark: SparkSession, d: str) -> DataFrame:
+    """Documents' letters are reads, languages samples; what stays on a group of items is handed down by the shares."""
+    paths = _paths(spark, d)
+    called = classify_sequences(spark, d).join(R._table(spark, d, "documents").select(F.col("doc_id").alias("read_id"), F.col("lang").alias("sample")), "read_id")
+    out = T.reestimate(T.clade_report(T.direct_counts(called), paths), paths, _shares(spark, d), 1)
+    return out.select("sample", "tax_id", "assigned", F.round("added", 4).alias("added"), F.round("estimate", 4).alias("estimate"), F.round("fraction", 6).alias("fraction"))
+
+
 QUERIES = (
-    kmer_minimizers, minimizer_index, classify_sequences, indexed_classification, classification_text, kmer_support, screened_reads, trimmed_reads, quality_cuts, position_profile, read_histograms, read_duplication, stranded_counts,
+    spliced_counts, kmer_shares, kmer_reestimated, kmer_minimizers, minimizer_index, classify_sequences, indexed_classification, classification_text, kmer_support, screened_reads, trimmed_reads, quality_cuts, position_profile, read_histograms, read_duplication, stranded_counts,
 )
 
 _SEQ = "regexp_replace(coalesce(text, ''), '[^ACGTacgt]', '', 'g')"
@@ -128,16 +157,41 @@ _WHOLE = f"SELECT doc_id AS id, {_SEQ} AS seq FROM documents"
 _REFS = f"SELECT item_id + 1000 AS id, {_SEQ} AS seq FROM benchmark"
 _INDEX = f"""idx AS (WITH {_minimizers(_REFS, K, LMER, TOGGLE)}, u AS (SELECT DISTINCT minimizer, id FROM mins)
 SELECT minimizer, CASE WHEN count(*) = 1 THEN any_value(id) WHEN count(DISTINCT (id - 1000) // 4) = 1 THEN any_value((id - 1000) // 4) + 10 ELSE 1 END::INT AS tax_id FROM u GROUP BY 1)"""
+_FOLD = """h AS (SELECT id, pos, tax_id, CASE WHEN tax_id = 1 THEN [1] WHEN tax_id < 1000 THEN [1, tax_id] ELSE [1, ((tax_id - 1000) // 4 + 10)::INT, tax_id] END AS path FROM mins JOIN idx USING (minimizer)),
+o AS (SELECT id, count(*) AS hits, list(path ORDER BY pos) AS paths FROM h GROUP BY 1),
+c AS (SELECT id, hits, list_reduce(paths, lambda held, hit: CASE WHEN len(hit) > len(held) THEN hit WHEN len(hit) = len(held) AND hit <> held THEN list_filter(held, lambda x: list_contains(hit, x)) ELSE held END)[-1] AS tax_id FROM o)"""
 _CALLED = f"""
 WITH {_INDEX}, {_minimizers(_READS, K, LMER, TOGGLE)},
-h AS (SELECT id, pos, tax_id, CASE WHEN tax_id = 1 THEN [1] WHEN tax_id < 1000 THEN [1, tax_id] ELSE [1, ((tax_id - 1000) // 4 + 10)::INT, tax_id] END AS path FROM mins JOIN idx USING (minimizer)),
-o AS (SELECT id, count(*) AS hits, list(path ORDER BY pos) AS paths FROM h GROUP BY 1),
-c AS (SELECT id, hits, list_reduce(paths, lambda held, hit: CASE WHEN len(hit) > len(held) THEN hit WHEN len(hit) = len(held) AND hit <> held THEN list_filter(held, lambda x: list_contains(hit, x)) ELSE held END)[-1] AS tax_id FROM o),
+{_FOLD},
 called AS (SELECT doc_id AS read_id, least(256, length({_SEQ}))::INT AS length, coalesce(hits, 0) AS hit_count, tax_id::INT AS tax_id FROM documents LEFT JOIN c ON id = doc_id)"""
+_WINDOWS = f"SELECT id * 1000000 + i AS id, substring(seq, i::INT + 1, {WINDOW}) AS seq FROM (SELECT id, seq, unnest(range(0, length(seq) - {WINDOW - 1})) AS i FROM ({_REFS}))"
+_SHARES = f"""shares AS (WITH {_INDEX}, {_minimizers(_WINDOWS, K, LMER, TOGGLE)},
+{_FOLD},
+a AS (SELECT id AS tax_id, length(seq) - {WINDOW - 1} AS n FROM ({_REFS}) WHERE length(seq) >= {WINDOW})
+SELECT a.tax_id::INT AS tax_id, c.tax_id::INT AS ancestor, count(*) AS windows, count(*) / any_value(n) AS share FROM c JOIN a ON c.id // 1000000 = a.tax_id
+WHERE c.tax_id IN (1, (a.tax_id - 1000) // 4 + 10, a.tax_id) GROUP BY 1, 2)"""
 
 _QUAL = "translate(seq, 'ACGTacgt', '5?IA+I5B')"
 
 SQL = {
+    "spliced_counts": """
+WITH r AS (SELECT l_orderkey * 10 + l_linenumber AS read, floor(l_extendedprice)::BIGINT AS s, l_quantity::INT AS q, l_linenumber AS l FROM lineitem),
+b AS (SELECT read, s, s + q - 1 AS e FROM r UNION ALL SELECT read, s + q + 20 + l * 150, s + q + 20 + l * 150 + 2 * l - 1 FROM r
+  UNION ALL SELECT read, s + q + 20 + l * 150 + 2 * l + 3, s + q + 20 + l * 150 + 2 * l + 12 FROM r),
+x AS (SELECT p_partkey AS gene, p_partkey * 37 AS s, p_partkey * 37 + p_size + 9 AS e FROM part UNION ALL SELECT p_partkey, p_partkey * 37 + 1000, p_partkey * 37 + 1000 + p_size FROM part),
+m AS (SELECT read, gene, sum(least(b.e, x.e) - greatest(b.s, x.s) + 1) AS n FROM b JOIN x ON b.s <= x.e AND x.s <= b.e GROUP BY 1, 2 HAVING sum(least(b.e, x.e) - greatest(b.s, x.s) + 1) >= 5),
+o AS (SELECT read, min(gene) AS gene FROM m GROUP BY 1 HAVING count(*) = 1)
+SELECT gene, count(*) AS n FROM o GROUP BY 1""",
+    "kmer_shares": f"WITH {_SHARES} SELECT tax_id, ancestor, windows, round(share, 6) AS share FROM shares",
+    "kmer_reestimated": f"""
+{_CALLED}, {_SHARES},
+direct AS (SELECT lang AS sample, tax_id, count(*) AS n FROM called JOIN documents ON doc_id = read_id WHERE tax_id IS NOT NULL GROUP BY 1, 2),
+assigned AS (SELECT sample, tax_id, n AS assigned FROM direct WHERE tax_id IN (SELECT tax_id FROM shares)),
+w AS (SELECT a.sample, a.tax_id, s.ancestor, assigned * share AS w FROM assigned a JOIN shares s USING (tax_id) WHERE ancestor <> tax_id),
+p AS (SELECT w.sample, w.tax_id, n * w / sum(w) OVER (PARTITION BY w.sample, w.ancestor) AS add FROM w JOIN direct ON direct.sample = w.sample AND direct.tax_id = w.ancestor),
+added AS (SELECT sample, tax_id, sum(add) AS added FROM p GROUP BY 1, 2),
+e AS (SELECT sample, tax_id, assigned, coalesce(added, 0.0) AS added FROM assigned LEFT JOIN added USING (sample, tax_id))
+SELECT sample, tax_id, assigned, round(added, 4) AS added, round(assigned + added, 4) AS estimate, round((assigned + added) / sum(assigned + added) OVER (PARTITION BY sample), 6) AS fraction FROM e""",
     "kmer_minimizers": f"WITH {_minimizers(_READS, K, LMER, TOGGLE)} SELECT id AS read_id, pos, minimizer FROM mins",
     "minimizer_index": f"WITH {_INDEX} SELECT minimizer, tax_id FROM idx",
     "classify_sequences": f"{_CALLED} SELECT read_id, length, hit_count, tax_id FROM called",
