@@ -209,11 +209,53 @@ def effect_contrasts(made: Design, main: str, interactions: list[str]) -> dict[s
     return {name: {main: 1.0} | ({name: 1.0} if name in made.names else {}) for name in interactions}
 
 
-def voom_weights(counts: DataFrame, made: Design, bins: int = 50) -> DataFrame:
+def level_summary(genes: DataFrame, parts: int = 500) -> pd.DataFrame:
+    """Moments of ``root`` over ``level`` in ``parts`` groups of about as many genes each, by level.
+
+    ``w`` genes with means ``x`` and ``y`` and sums ``xx`` and ``xy`` of squares and
+    products about the mean level; one aggregation, and a row a group.
+    """
+    cuts = genes.agg(F.percentile_approx("level", [i / parts for i in range(1, parts)], 20 * parts)).first()[0]
+    if not cuts:
+        return pd.DataFrame({c: np.zeros(0) for c in ("w", "x", "y", "xx", "xy")})
+    edges = np.unique(np.array(cuts, float))
+
+    @F.pandas_udf("int")
+    def group(level: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, level.to_numpy(float), "right").astype(np.int32))
+
+    n = F.count(F.lit(1))
+    sums = genes.groupBy(group("level").alias("part")).agg(n.alias("w"), F.avg("level").alias("x"), F.avg("root").alias("y"), (n * F.var_pop("level")).alias("xx"), (n * F.covar_pop("level", "root")).alias("xy"))
+    return sums.orderBy("x").drop("part").toPandas()
+
+
+def local_line(parts: pd.DataFrame, span: float = 0.5) -> np.ndarray:
+    """Local straight-line regression at each ``x``, with tricube weights over the nearest ``span`` of all.
+
+    Rows are groups (:func:`level_summary`) or single points, with ``w`` 1 and ``xx`` and ``xy`` 0.
+    """
+    w, x, y, xx, xy = (parts[c].to_numpy(float) for c in ("w", "x", "y", "xx", "xy"))
+    out = np.empty(len(x))
+    for i, at in enumerate(x):
+        away = np.abs(x - at)
+        order = np.argsort(away, kind="stable")
+        last = min(len(x) - 1, int(np.searchsorted(np.cumsum(w[order]), span * w.sum())))
+        reach = max(away[order[last]], 1e-12) * (1 + 1e-9)
+        near = np.clip(1 - (away / reach) ** 3, 0, None) ** 3
+        a = near * w
+        mx, my = a @ x / a.sum(), a @ y / a.sum()
+        wide = a @ (x - mx) ** 2 + near @ xx
+        slope = (a @ ((x - mx) * (y - my)) + near @ xy) / wide if wide > 1e-12 else 0.0
+        out[i] = my + slope * (at - mx)
+    return out
+
+
+def voom_weights(counts: DataFrame, made: Design, span: float = 0.5, parts: int = 500) -> DataFrame:
     """``gene``, ``sample``, ``v`` (log2 counts per million) and ``weight``, the inverse of the variance that its level suggests.
 
-    Square roots of residual deviations follow the mean log count; the trend is the
-    mean of ``bins`` groups of genes of like level, interpolated.
+    Square roots of residual deviations follow the mean log count; the trend is a
+    local regression over ``parts`` summaries of genes of like level, interpolated,
+    and level beyond their ends.
     """
     full = filled(counts)
     sizes = full.groupBy("sample").agg(F.sum("n").alias("size"))
@@ -222,12 +264,10 @@ def voom_weights(counts: DataFrame, made: Design, bins: int = 50) -> DataFrame:
     fit = linear_coefficients(values.select("gene", "sample", "v"), made)
     shift = sizes.agg(F.avg(F.log2(F.col("size") + 1)) - F.log2(F.lit(1e6))).scalar()
     genes = fit.groupBy("gene").agg((F.first("mean") + shift).alias("level"), F.pow(F.max("s2"), F.lit(0.25)).alias("root"))
-    low, high = genes.agg(F.min("level"), F.max("level")).first()
-    if low is None:
+    held = level_summary(genes.where("level is not null and root is not null"), parts)
+    if held.empty:
         return values.select("gene", "sample", "v", F.lit(1.0).alias("weight"))
-    width = max((high - low) / bins, 1e-12)
-    trend = genes.groupBy(F.least(F.lit(bins - 1), F.floor((F.col("level") - low) / width)).alias("bin")).agg(F.avg("level").alias("x"), F.avg("root").alias("y")).orderBy("x").toPandas()
-    xs, ys = trend["x"].to_numpy(float), np.maximum(trend["y"].to_numpy(float), 1e-6)
+    xs, ys = held["x"].to_numpy(float), np.maximum(local_line(held, span), 1e-6)
 
     @F.pandas_udf("double")
     def weight(level: pd.Series) -> pd.Series:
@@ -354,19 +394,48 @@ def negative_binomial(counts: DataFrame, made: Design, factors: DataFrame, contr
 # ---- batches and components --------------------------------------------------------------
 
 
-def adjust_batches(values: DataFrame, batches: DataFrame, rounds: int = 30) -> DataFrame:
+def _kept_parts(values: DataFrame, batches: DataFrame, kept: Design) -> DataFrame:
+    """``gene``, ``sample``, ``v``, ``batch``, the ``grand`` level, the ``part`` that ``kept`` explains, and the ``sd`` of what is left."""
+    of = {r["sample"]: r["batch"] for r in batches.select("sample", F.col("batch").cast("string").alias("batch")).collect()}
+    own = [of[s] for s in kept.samples]
+    levels = sorted(set(own))
+    columns = {f"batch {b}": np.array([o == b for o in own], float) for b in levels}
+    columns |= {c: kept.x[:, i] for i, c in enumerate(kept.names) if c != "(Intercept)"}
+    both = Design(kept.samples, columns)
+    if not both.full_rank:
+        raise ValueError("batches and the model to keep cannot be told apart")
+    spark = values.sparkSession
+    table = both.table(spark)
+    share = spark.createDataFrame([(f"batch {b}", own.count(b) / len(own)) for b in levels], "coef string, share double")
+    beta = values.join(table, "sample").groupBy("gene", "coef").agg(F.sum(F.col("v") * F.col("w")).alias("beta"))
+    term = F.col("beta") * F.col("x")
+    is_batch = F.col("share").isNotNull()
+    fit = beta.join(F.broadcast(share), "coef", "left").join(table.select("sample", "coef", "x"), "coef").groupBy("gene", "sample").agg(
+        F.sum(term).alias("fitted"), F.sum(F.when(is_batch, F.col("beta") * F.col("share"))).alias("grand"), F.coalesce(F.sum(F.when(~is_batch, term)), F.lit(0.0)).alias("part")
+    )
+    rows = values.join(batches, "sample").join(fit, ["gene", "sample"])
+    rest = F.col("v") - F.col("fitted")
+    return rows.withColumn("sd", F.sqrt(F.avg(rest * rest).over(W.partitionBy("gene")))).drop("fitted")
+
+
+def adjust_batches(values: DataFrame, batches: DataFrame, rounds: int = 30, kept: Design | None = None) -> DataFrame:
     """Values (``gene``, ``sample``, ``v``) with each batch's location and scale removed, both shrunk over genes.
 
     ``batches``: ``sample``, ``batch``.  Values are standardised per gene; a batch's
     means and variances are drawn towards what the batch has over all genes, by
-    alternating the two posteriors, and taken out.  Constant genes stay as they are.
+    alternating the two posteriors, and taken out.  What the model ``kept`` explains
+    (a group, say) is fitted together with the batches, set aside before and put back
+    after, so it survives where it goes with a batch.  Constant genes stay as they are.
     """
-    rows = values.join(batches, "sample")
-    gene = W.partitionBy("gene")
-    cell = W.partitionBy("gene", "batch")
-    centred = rows.withColumn("grand", F.avg("v").over(gene)).withColumn("centre", F.avg("v").over(cell))
-    centred = centred.withColumn("sd", F.sqrt(F.avg((F.col("v") - F.col("centre")) * (F.col("v") - F.col("centre"))).over(gene)))
-    std = centred.where("sd > 0").withColumn("z", (F.col("v") - F.col("grand")) / F.col("sd"))
+    if kept is None:
+        rows = values.join(batches, "sample")
+        gene = W.partitionBy("gene")
+        cell = W.partitionBy("gene", "batch")
+        centred = rows.withColumn("grand", F.avg("v").over(gene)).withColumn("centre", F.avg("v").over(cell)).withColumn("part", F.lit(0.0))
+        centred = centred.withColumn("sd", F.sqrt(F.avg((F.col("v") - F.col("centre")) * (F.col("v") - F.col("centre"))).over(gene)))
+    else:
+        centred = _kept_parts(values, batches, kept).withColumn("sd", F.when(F.col("sd") > 1e-9, F.col("sd")).otherwise(0.0))
+    std = centred.where("sd > 0").withColumn("z", (F.col("v") - F.col("grand") - F.col("part")) / F.col("sd"))
     cells = std.groupBy("gene", "batch").agg(F.count(F.lit(1)).alias("k"), F.avg("z").alias("g"), F.coalesce(F.var_samp("z"), F.lit(1.0)).alias("d"), F.sum("z").alias("s1"), F.sum(F.col("z") * F.col("z")).alias("s2"))
     prior = cells.groupBy("batch").agg(F.avg("g").alias("g0"), F.coalesce(F.var_samp("g"), F.lit(1.0)).alias("t0"), F.avg("d").alias("dm"), F.coalesce(F.var_samp("d"), F.lit(1.0)).alias("dv"))
     known = cells.join(prior, "batch")
@@ -384,7 +453,7 @@ def adjust_batches(values: DataFrame, batches: DataFrame, rounds: int = 30) -> D
         return pd.DataFrame({"g": mean, "d": var})
 
     drawn = known.withColumn("post", posterior(F.struct("k", "g", "d", "s1", "s2", "g0", "t0", "dm", "dv"))).select("gene", "batch", F.col("post.g").alias("shift"), F.col("post.d").alias("scale"))
-    done = std.join(drawn, ["gene", "batch"]).select("gene", "sample", ((F.col("z") - F.col("shift")) / F.sqrt("scale") * F.col("sd") + F.col("grand")).alias("v"))
+    done = std.join(drawn, ["gene", "batch"]).select("gene", "sample", ((F.col("z") - F.col("shift")) / F.sqrt("scale") * F.col("sd") + F.col("grand") + F.col("part")).alias("v"))
     return done.unionByName(centred.where("sd = 0").select("gene", "sample", "v"))
 
 

@@ -165,9 +165,9 @@ _ALL = (log_cpm, overlap_counts, enrichment_scores, feature_counts, clade_report
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from loamframe.plans import read_queries, result_queries, sample_queries, taxonomy_queries
+    from loamframe.plans import profile_queries, read_queries, result_queries, sample_queries, taxonomy_queries
 
-    more = [f for m in (result_queries, taxonomy_queries, sample_queries, read_queries) for f in m.QUERIES]
+    more = [f for m in (result_queries, taxonomy_queries, sample_queries, read_queries, profile_queries) for f in m.QUERIES]
     return {f.__name__: f for f in (*_ALL, *more)}
 
 
@@ -201,7 +201,7 @@ SELECT sample, tax_id, rank, name, depth, clade_reads::BIGINT AS clade_reads, di
 
 
 def oracle_sql() -> dict[str, str]:
-    from loamframe.plans import read_queries, result_queries, sample_queries, taxonomy_queries
+    from loamframe.plans import profile_queries, read_queries, result_queries, sample_queries, taxonomy_queries
 
     plain = _report("count(*)")
     own = {
@@ -260,5 +260,5 @@ WITH best AS (SELECT l_suppkey AS gene FROM lineitem GROUP BY 1 ORDER BY sum(l_q
 SELECT gene, sample, round(n / total, 6) AS share FROM (SELECT l_suppkey AS gene, l_returnflag AS sample, sum(l_quantity) AS n FROM lineitem GROUP BY 1, 2) JOIN best USING (gene) JOIN t USING (sample)""",
         "stage_status": "SELECT event_type AS stage, count(*) AS completed, round(avg(value), 4) AS mean_size FROM events GROUP BY 1",
     }
-    every = own | result_queries.SQL | taxonomy_queries.SQL | sample_queries.SQL | read_queries.SQL
+    every = own | result_queries.SQL | taxonomy_queries.SQL | sample_queries.SQL | read_queries.SQL | profile_queries.SQL
     return {k: v.replace("__CALLED__", own["classify_lca"]) for k, v in every.items()}
