@@ -26,7 +26,7 @@ from loamframe.llm.shared import discard, give_back, materialise, partitions, se
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Chunks that a scan block holds before it sends them on.
-HELD = 800_000
+HELD = 1_500_000
 COUNTS = "lang string, source string, chunk string, n long, docs long, low long, high long"
 #: Documents that must have a term; a chunk that fewer have is known by its first and last document.
 LEAST = 3
@@ -92,29 +92,33 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
 def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(``lang``, ``source``, ``term``, ``n`` of the terms that :data:`LEAST` documents have; ``lang`` and ``source`` of all groups).
 
-    Documents of two sources differ, so the first and last documents of a term's
-    chunks decide about all terms but those of one source whose chunks are all rare;
-    the documents of these are counted one by one.
+    Documents of two sources differ, and a chunk of one or two documents has no others
+    than its first and last.  So the least and greatest of these decide about all terms
+    but those of one source with three rare chunks or more that seem to lie in the same
+    two documents; only these, if there are any, are counted one by one.
     """
     with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}):
         counted = materialise(chunk_counts(docs), "chunks")
     lowered = F.transform(F.regexp_extract_all("chunk", F.lit(TERM), 0), lambda t: F.translate(t, UPPER, LOWER))
+    # a term that a chunk has twice is there twice, and so counts twice
     terms = counted.select("chunk").distinct().select("chunk", F.explode(lowered).alias("term"))
-    terms = terms.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
-    # a chunk of one or two documents has no others than its first and last
     joined = counted.join(terms, "chunk")
-    ends = [F.max(F.col("docs") >= LEAST).alias("sure"), F.min("low").alias("low"), F.max("high").alias("high")]
-    each = materialise(joined.groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("n"), *ends), "terms")
-    known = F.sum(F.when(F.col("low") == F.col("high"), 1).otherwise(2))
-    judged = each.groupBy("lang", "term").agg(F.max("sure").alias("sure"), known.alias("known"), F.count(F.lit(1)).alias("sources"))
-    kept = judged.where(F.col("sure") | (F.col("known") >= LEAST)).select("lang", "term")
-    open_terms = judged.where(~F.col("sure") & (F.col("known") == 2) & (F.col("sources") == 1)).select("lang", "term")
-    ids = F.explode(F.array_distinct(F.array("low", "high")))
-    asked = counted.join(terms.join(open_terms, "term"), ["chunk", "lang"]).select("lang", "term", ids.alias("id")).distinct()
-    more = asked.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= LEAST).select("lang", "term")
-    kept = materialise(each.join(kept.union(more), ["lang", "term"]).select("lang", "source", "term", "n"), "kept")
+    ends = [f(c).alias(f"{name}_{c}") for name, f in (("least", F.min), ("most", F.max)) for c in ("low", "high")]
+    each = joined.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("chunks"), F.max(F.col("docs") >= LEAST).alias("sure"), *ends)
+    seen = F.size(F.array_distinct(F.array("least_low", "most_low", "least_high", "most_high")))
+    each = materialise(each.select("lang", "source", "term", "n", "sure", seen.alias("seen"), ((F.col("chunks") > 2) & (seen == 2)).alias("hides")), "terms")
+    judged = each.groupBy("lang", "term").agg(F.max("sure").alias("sure"), F.sum("seen").alias("seen"), F.max("hides").alias("hides"))
+    judged = judged.where(F.col("sure") | (F.col("seen") >= LEAST) | F.col("hides"))
+    judged = materialise(judged.select("lang", "term", (F.col("sure") | (F.col("seen") >= LEAST)).alias("kept")), "judged")
+    keep = judged.where("kept").select("lang", "term")
+    hidden = materialise(judged.where("not kept").select("lang", "term"), "hidden")  # few, and Spark sees how few
+    if hidden.head(1):
+        rare = counted.where(F.col("docs") < LEAST).select("lang", "low", "high", F.explode(lowered).alias("term")).join(hidden, ["lang", "term"], "left_semi")
+        asked = rare.select("lang", "term", F.explode(F.array("low", "high")).alias("id")).distinct()
+        keep = keep.union(asked.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= LEAST).select("lang", "term"))
+    kept = materialise(each.join(keep, ["lang", "term"]).select("lang", "source", "term", "n"), "kept")
     groups = materialise(counted.where("chunk = ''").select("lang", "source").distinct(), "groups")
-    discard(docs.sparkSession, counted, each)
+    discard(docs.sparkSession, counted, each, judged, hidden)
     return kept, groups
 
 

@@ -181,3 +181,15 @@ def test_quality_with_labels_around_the_bound(spark, most):
     docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
     scored = quality.score_quality(docs, labels, max_train=most)
     assert scored.where("score between 0 and 1").count() == docs.count()
+
+
+def test_a_third_document_behind_rare_chunks(spark, tmp_path):
+    """Three chunks of a term in three documents, of which first and last hide the one between; and in two documents."""
+    rows = [(1, "a1x a2y", "en", "s"), (2, "hid1 hid2 two1 two2 two3", "en", "s"), (3, "hid3 (hid)", "en", "s"), (4, "hid1 hid2 hid4 two1 two2 two3", "en", "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    from loamframe.llm.divergence import term_counts
+
+    kept, _ = term_counts(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert {(r.term, r.n) for r in kept.collect()} == {("hid", 7)}
