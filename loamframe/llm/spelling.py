@@ -262,12 +262,15 @@ def _search(group: pa.Table) -> pa.Table:
 def cells_of(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> tuple[dict[int, Tree], dict[tuple[int, int], int]]:
     """(a tree of cells for each length, how many parts each crowded cell is cut into).
 
-    The trees grow on the ``sample`` words of least hash (all, if there are fewer),
-    with leaves that hold about ``cell`` of all words.
+    The trees grow on about ``sample`` words, those of least hash (all, if there are
+    fewer), with leaves that hold about ``cell`` of all words.
     """
     sizes = {r["length"]: r["k"] for r in words.groupBy(F.length("word").alias("length")).agg(F.count(F.lit(1)).alias("k")).collect()}
     total = sum(sizes.values())
-    chosen = [r["word"].encode("latin-1") for r in words.orderBy(F.xxhash64("word"), "word").select("word").limit(sample).collect()]
+    few = words.select("word")
+    if total > sample:  # about so many rows leave the tasks, however many tasks there are
+        few = few.where(F.xxhash64("word") < sample * 2**64 // total - 2**63)
+    chosen = [r["word"].encode("latin-1") for r in few.collect()]
     by: dict[int, list[bytes]] = {length: [] for length in sizes}
     for w in chosen:
         by[len(w)].append(w)
