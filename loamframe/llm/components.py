@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loamframe.llm.shared import discard, materialise, salted_join
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges of a partition as stars: every node under the least node it reaches there."""
     parent: dict[int, int] = {}
 
@@ -50,7 +50,7 @@ def components(edges: DataFrame) -> DataFrame:
     before the shuffle, and the neighbours of a node with very many are dealt to
     many tasks.
     """
-    now = materialise(edges.where("u <> v").mapInArrow(_forest, "u long, v long").distinct(), "edges")
+    now = materialise(edges.where("u <> v").mapInArrow(forest, "u long, v long").distinct(), "edges")
     before = _state(now)
     while before[0]:
         both = now.union(now.select("v", "u")).toDF("u", "v")

@@ -10,8 +10,8 @@ left is verified on the sets.  Tokens of one document alone are never sent.
 Components are wanted, so a token's members are first joined as a star around one
 of them, whom one aggregation finds; only members still in different components
 are compared further: all pairs of small token groups, and larger ones block
-against block within the token, where the second order's prefixes meet in a task and
-only pairs that share enough of them leave it.  How much is enough follows from the
+against block within the token, where prefixes and then sets meet in a task and only
+links that connect what it has verified leave it.  How much is enough follows from the
 sizes: rare tokens are what dissimilar documents differ in, and they are in the
 prefix.  Keys that many rows hold are dealt to many tasks.
 """
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.components import components
+from loamframe.llm.components import components, forest
 from loamframe.llm.exchange import Answers, Block, Message, exchange, read_blocks
 from loamframe.llm.shared import discard, materialise, numbered, pinned, place, salted_join, stable, without
 from loamframe.llm.words import grams, mix
@@ -37,6 +37,8 @@ THRESHOLD = 80
 ORDERS = 3
 #: Largest token group whose pairs are listed; members of larger ones are compared in blocks of :data:`BLOCK`.
 SMALL, BLOCK = 12, 256
+#: Tokens of the sets in a block, about, however few sets they are.
+BLOCK_TOKENS = 1 << 22
 #: Distinct tokens held at once when blocks are compared.
 COLUMNS = 8192
 #: Star rounds, at most, before the remaining cross-component pairs are listed; they end when one finds no link.
@@ -148,7 +150,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = THRESH
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many elements each set on the left shares with each on the right."""
-    out = np.zeros((len(left), len(right)), np.float32)
+    out = np.zeros((len(left), len(right)), np.int64)
     if not sum(map(len, left)) or not sum(map(len, right)):
         return out
     l_all, r_all = np.concatenate(left), np.concatenate(right)
@@ -162,35 +164,80 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
         i, j = (l_at >= at) & (l_at < at + COLUMNS), (r_at >= at) & (r_at < at + COLUMNS)
         m[l_row[i], l_at[i] - at] = 1
         k[r_row[j], r_at[j] - at] = 1
-        out += m @ k.T
+        out += (m @ k.T).astype(np.int64)
     return out
 
 
-def _compare_blocks(percent: int):  # noqa: ANN202
-    """A function from the members of two blocks of a token to pairs across groups that share enough of their second prefixes."""
+def _candidates(percent: int):  # noqa: ANN202
+    """A function from the members of two blocks of a token to those that have a partner in another group, sharing enough of the second prefixes, with their partners.
+
+    A pair is named once, and only by the least token that it shares.
+    """
 
     def compare(table: pa.Table) -> pa.Table:
+        token, lo, hi = (table.column(c)[0].as_py() for c in ("token", "lo", "hi"))
         block = table.column("block").to_numpy()
-        lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
         prefixes, tokens = ([x.values.to_numpy() for x in table.column(c).combine_chunks()] for c in ("p1", "tokens"))
-        own = table.column("token")[0].as_py()
-        earlier = [t[t < own] for t in tokens]
+        earlier = [t[t < token] for t in tokens]
         n, group, cls = table.column("n").to_numpy().astype(np.int64), table.column("group").to_numpy(), table.column("class").to_numpy()
         n_a, n_b = n[a][:, None], n[b][None, :]
-        least = -(-percent * (n_a + n_b) // (100 + percent)) - np.maximum(_least_common(n_a, percent), _least_common(n_b, percent)) + 1
         able = (group[a][:, None] != group[b][None, :]) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
-        if able.any():  # a pair is told by the least token that it shares
+        if lo == hi:
+            able &= cls[a][:, None] < cls[b][None, :]
+        if able.any():
             able &= _common([earlier[i] for i in a], [earlier[i] for i in b]) == 0
         if able.any():
-            able &= _common([prefixes[i] for i in a], [prefixes[i] for i in b]) >= np.maximum(1, least)
+            able &= _common([prefixes[i] for i in a], [prefixes[i] for i in b]) >= _enough(n_a, n_b, percent)
         i, j = np.nonzero(able)
-        both = np.unique(np.stack([np.minimum(cls[a[i]], cls[b[j]]), np.maximum(cls[a[i]], cls[b[j]])], axis=1), axis=0)
-        return pa.table({"hub": pa.array(both[:, 0], pa.int64()), "leaf": pa.array(both[:, 1], pa.int64())})
+        u, v = cls[a[i]], cls[b[j]]
+        by = np.argsort(u, kind="stable")
+        u, v = u[by], v[by]
+        active = np.unique(np.concatenate([u, v]))
+        cuts = pa.array(np.append(np.searchsorted(u, active), len(u)), pa.int32())
+        key = lambda x, kind: pa.array(np.full(len(active), x), kind)
+        return pa.table({
+            "token": key(token, pa.int64()), "lo": key(lo, pa.int32()), "hi": key(hi, pa.int32()), "class": pa.array(active, pa.int64()),
+            "partners": pa.ListArray.from_arrays(cuts, pa.array(v, pa.int64())),
+        })
 
     return compare
 
 
+def _verify(percent: int, orders: int):  # noqa: ANN202
+    """A function from members with their sets and partners to links that connect all partners as similar as ``percent``, fewer than members."""
+
+    def verify(table: pa.Table) -> pa.Table:
+        lists = lambda c: [x.values.to_numpy() for x in table.column(c).combine_chunks()]
+        n, cls, partners = table.column("n").to_numpy().astype(np.int64), table.column("class").to_numpy(), lists("partners")
+        by = np.argsort(cls)
+        a = np.flatnonzero([len(x) > 0 for x in partners])
+        b = by[np.searchsorted(cls[by], np.unique(np.concatenate(partners)))]
+        able = np.zeros((len(a), len(b)), bool)
+        for row, i in enumerate(a):
+            able[row, np.searchsorted(cls[b], partners[i])] = True
+        n_a, n_b = n[a][:, None], n[b][None, :]
+        for k in range(2, orders):
+            p = lists(f"p{k}")
+            able &= _common([p[i] for i in a], [p[i] for i in b]) >= _enough(n_a, n_b, percent)
+        x, y = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
+        able, a, b = able[np.ix_(x, y)], a[x], b[y]
+        if able.any():
+            sets = lists("shared")
+            common = _common([sets[i] for i in a], [sets[i] for i in b])
+            able &= 100 * common >= percent * (n[a][:, None] + n[b][None, :] - common)
+        i, j = np.nonzero(able)
+        found = pa.RecordBatch.from_pydict({"u": pa.array(cls[a[i]], pa.int64()), "v": pa.array(cls[b[j]], pa.int64())})
+        return pa.Table.from_batches(list(forest([found])), found.schema)
+
+    return verify
+
+
+def _enough(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """As :func:`_least_shared`, for arrays of sizes."""
+    return np.maximum(1, -(-percent * (n + m) // (100 + percent)) - np.maximum(_least_common(n, percent), _least_common(m, percent)) + 1)
+
+
 def _near(n: str, m: str, percent: int) -> Column:
     """Whether sets of these sizes can be similar enough."""
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
@@ -212,14 +259,14 @@ def _stars(rows: DataFrame, total: int, turn: int, percent: int) -> DataFrame:
 
 
 def _open(rows: DataFrame, total: int) -> DataFrame:
-    """Members of tokens that still join several groups, with ``size``, the token's members.
+    """Members of tokens that still join several groups, with ``size``, the token's members, and ``weight``, their tokens.
 
     Of tokens with the same members one is enough.
     """
     tokens = rows.groupBy("token").agg(
-        F.count(F.lit(1)).alias("size"), F.min("group").alias("low"), F.max("group").alias("high"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("group").alias("low"), F.max("group").alias("high"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")
     ).where("low < high")
-    one = tokens.groupBy("size", "low", "high", "x", "y").agg(F.min("token").alias("token")).select("token", "size")
+    one = tokens.groupBy("size", "weight", "low", "high", "x", "y").agg(F.min("token").alias("token")).select("token", "size", "weight")
     return materialise(salted_join(rows, one, ["token"], ["class"], total), "open")
 
 
@@ -230,14 +277,26 @@ def _rest(members: DataFrame, percent: int) -> DataFrame:
     return few.join(other, "token").where("class < other and group <> apart").where(_near("n", "m", percent)).select(F.col("class").alias("hub"), F.col("other").alias("leaf")).distinct()
 
 
-def _blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs in larger tokens, found block against block."""
-    many = members.where(F.col("size") > SMALL).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).drop("size")
+def _blocks(members: DataFrame, sets: DataFrame, percent: int, orders: int) -> DataFrame:
+    """Links (``u``, ``v``) across groups in larger tokens, found and verified block against block.
+
+    Two blocks meet with first their prefixes and then, of members that still have a
+    partner there, whole sets: pairs stay inside tasks, and what leaves them is no
+    more than the members.
+    """
+    many = members.where(F.col("size") > SMALL)
+    many = many.withColumn("blocks", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_TOKENS)).cast("int")).drop("size", "weight")
     lists = many.groupBy("class").agg(F.collect_list("token").alias("tokens"))  # not more than the prefix has
     held = many.join(lists.join(sets.select("class", "p1"), "class"), "class").withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     held = held.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
-    return held.groupBy("token", "lo", "hi").applyInArrow(_compare_blocks(percent), "hub long, leaf long").distinct()
+    near = held.groupBy("token", "lo", "hi").applyInArrow(_candidates(percent), "token long, lo int, hi int, class long, partners array<long>")
+    near = materialise(near, "candidates")
+    whole = sets.select("class", "n", "shared", *[f"p{k}" for k in range(2, orders)])
+    met = salted_join(near, whole, ["class"], ["token", "lo", "hi"], near.count())
+    links = materialise(met.groupBy("token", "lo", "hi").applyInArrow(_verify(percent, orders), "u long, v long").distinct(), "links")
+    discard(sets.sparkSession, near)
+    return links
 
 
 def _met(pairs: DataFrame, sets: DataFrame, names: list[str], total: int) -> DataFrame:
@@ -289,9 +348,10 @@ def _linked(sets: DataFrame, percent: int, orders: int) -> DataFrame:
         discard(spark, last, held)
         group = components(links).select(F.col("node").alias("class"), F.col("component").alias("group"))
     members = _open(rows, total)
-    found = materialise(_untested(_rest(members, percent).union(_blocks(members, sets, percent)), tested).distinct(), "rest")
-    last, links = links, materialise(links.union(_verified(found, sets, percent, orders)), "links")
-    discard(spark, last, held, members, found, *tested)
+    wide = _blocks(members, sets, percent, orders)
+    found = materialise(_untested(_rest(members, percent), tested).distinct(), "rest")
+    last, links = links, materialise(links.union(wide).union(_verified(found, sets, percent, orders)), "links")
+    discard(spark, last, held, members, found, wide, *tested)
     return links
 
 

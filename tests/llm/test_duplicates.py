@@ -293,3 +293,32 @@ def test_sql_of_duplicates(spark):
         names = [x[0] for x in c.description]
         assert sorted(names) == sorted(got.columns)
         assert sorted(map(str, c.fetchall())) == sorted(str(tuple(r[n] for n in names)) for r in got.collect())
+
+
+def test_pairs_stay_inside_tasks(spark, monkeypatch):
+    """Many sets around the threshold: components as by brute force, and blocks give fewer links than members."""
+    from loamframe.llm import jaccard
+
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for d in range(300):
+        w = list(base)
+        for i in rng.choice(60, rng.integers(0, 3), replace=False):
+            w[i] = f"x{rng.integers(3)}"
+        rows.append((d, " ".join(w), None, None))
+    given, kept = [], jaccard._blocks
+
+    def blocks(members, *rest):
+        out = kept(members, *rest)
+        cells = members.where(f"size > {jaccard.SMALL}").groupBy("token").agg({"*": "count"}).collect()
+        given.append((out.count(), sum(n * -(-n // jaccard.BLOCK) for _, n in cells), len(cells)))
+        return out
+
+    monkeypatch.setattr(jaccard, "_blocks", blocks)
+    for name, value in (("STARS", 0), ("BLOCK", 40)):
+        monkeypatch.setattr(jaccard, name, value)
+    got = near_duplicates(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_components(rows)
+    (links, members, cells), *_ = given
+    assert cells and 0 < links < members
