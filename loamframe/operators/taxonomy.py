@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,22 +12,37 @@ from pyspark.sql import functions as F
 from loamframe.functions.special import hypergeometric_p
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """``df`` through ``spark.checkpoint.dir``; only on one machine, where none is set, through a temporary folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
 def taxonomy_paths(nodes: DataFrame, levels: int) -> DataFrame:
     """Add ``path`` (ids from the root down), ``lineage`` (their ids, ranks and names) and ``depth`` to ``nodes`` (``tax_id``, ``parent_id``, ``rank``, ``name``).
 
-    The root has a null parent.  Every node climbs to its parent ``levels - 1``
-    times, one join with the nodes each; nodes that do not reach the root by then
-    are left out.
+    The root has a null parent.  Pointers double: in each round every node takes over
+    the way up that the node at the top of its own has found, so ``levels`` are
+    climbed in log2(``levels``) joins.  Rounds of trees deeper than four levels are
+    cut by checkpoints, as each plan holds the one before twice.  Nodes that do not
+    reach the root within ``levels`` are left out, also those on a cycle.
     """
     own = F.struct(F.col("tax_id").alias("id"), "rank", "name")
-    parents = nodes.select(F.col("tax_id").alias("_up"), F.col("parent_id").alias("_next"), own.alias("_node"))
     out = nodes.withColumn("lineage", F.array(own)).withColumn("_top", F.col("parent_id"))
-    for _ in range(levels - 1):
-        up = out.join(parents, F.col("_top") == F.col("_up"), "left")
+    for _ in range((levels - 1).bit_length()):
+        above = out.select(F.col("tax_id").alias("_at"), F.col("lineage").alias("_above"), F.col("_top").alias("_next"))
+        # nodes that have arrived look for themselves, in vain, so that they do not meet in one task
+        up = out.join(above, (F.coalesce("_top", "tax_id") == F.col("_at")) & F.col("_top").isNotNull(), "left")
         # an id without a node ends the climb short of the root
-        met = F.col("_up").isNotNull()
-        out = up.select(*nodes.columns, F.when(met, F.concat(F.array("_node"), "lineage")).otherwise(F.col("lineage")).alias("lineage"), F.when(met, F.col("_next")).otherwise(F.col("_top")).alias("_top"))
-    return out.where("_top is null").select(*nodes.columns, "lineage", F.col("lineage.id").alias("path"), F.size("lineage").alias("depth"))
+        met = F.col("_at").isNotNull()
+        out = up.select(*nodes.columns, F.when(met, F.concat("_above", "lineage")).otherwise(F.col("lineage")).alias("lineage"), F.when(met, F.col("_next")).otherwise(F.col("_top")).alias("_top"))
+        out = _cut(out) if levels > 4 else out
+    depth = F.size("lineage")
+    return out.where(F.col("_top").isNull() & (depth <= levels)).select(*nodes.columns, "lineage", F.col("lineage.id").alias("path"), depth.alias("depth"))
 
 
 def direct_counts(reads: DataFrame) -> DataFrame:
@@ -48,21 +64,41 @@ def percent(part: Column, total: Column) -> Column:
 def clade_report(direct: DataFrame, paths: DataFrame, root: int = 1) -> DataFrame:
     """Per-sample report: nodes with reads in their clade, and the unclassified row (``tax_id`` 0).
 
-    Reads are rolled up once: the tree is joined with the direct counts alone, and
-    every step of a path carries its name along.  Ids outside the tree get a row of
-    their own below the root, whose clade they count in.
+    Depth first, a clade is an interval: a sample's rows are put in that order with
+    running sums, a node opens where the path before does not hold it and closes
+    where the next does not, and its clade is the difference of the two sums.  So
+    each node of a report is two rows, however many taxa lie below it and however
+    deep.  A sample has at most a row a taxon there, whatever its reads.  Rows of
+    ``direct`` that repeat add up.  Ids outside the tree get a row of their own
+    below the root, whose clade they count in.
     """
     node = lambda i, rank, name: F.struct(i.cast("int").alias("id"), F.lit(rank).alias("rank"), name.alias("name"))
     none = F.array(node(F.lit(0), "unclassified", F.lit("unclassified")))
     other = F.array(node(F.lit(root), "root", F.lit("root")), node(F.col("tax_id"), "unknown", F.col("tax_id").cast("string")))
     held = direct.join(paths.select("tax_id", "lineage"), "tax_id", "left")
     lineage = F.coalesce("lineage", F.when(F.col("tax_id").isNull(), none).otherwise(other))
-    at = F.when(F.col("tax_id").isNull(), F.lit(-1)).otherwise(F.lit(0))
-    each = held.select("sample", "direct_reads", F.coalesce("tax_id", F.lit(0)).alias("own"), at.alias("base"), F.posexplode(lineage).alias("at", "n"))
-    each = each.select("sample", "direct_reads", "own", F.struct((F.col("base") + F.col("at")).alias("at"), "n.id", "n.rank", "n.name").alias("s"))
-    rolled = each.groupBy("sample", F.col("s.id").alias("tax_id")).agg(
-        F.max("s.rank").alias("rank"), F.max("s.name").alias("name"), (F.max("s.at") + 1).alias("depth"), F.sum("direct_reads").alias("clade_reads"),
-        F.coalesce(F.sum(F.when(F.col("own") == F.col("s.id"), F.col("direct_reads"))), F.lit(0)).alias("direct_reads"),
+    # ids outside the tree come last, so that the root is opened, and named, by a node of the tree if there is one
+    held = held.select("sample", "direct_reads", F.col("tax_id").isNull().cast("int").alias("base"), F.col("lineage").isNull().alias("outside"), lineage.alias("lineage")).withColumn("path", F.col("lineage.id"))
+    order = W.partitionBy("sample").orderBy(F.col("path")[0], "outside", "path")
+    common = lambda a: F.coalesce(F.size(F.array_intersect("path", a)), F.lit(0))
+    rows = held.select(
+        "base", "sample", "direct_reads", "lineage",
+        common(F.coalesce(F.lag("path").over(order), F.array().cast("array<int>"))).alias("before"),
+        common(F.coalesce(F.lead("path").over(order), F.array().cast("array<int>"))).alias("after"),
+        F.sum("direct_reads").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("upto"),
+        F.sum("direct_reads").over(order.rangeBetween(W.currentRow, W.currentRow)).alias("own"),
+    )
+    depth, zero = F.size("lineage"), F.lit(0).cast("long")
+    opened = F.transform(
+        F.slice("lineage", F.col("before") + 1, depth),
+        lambda n, i: F.struct(n["id"].alias("id"), n["rank"].alias("rank"), n["name"].alias("name"), (F.col("before") + i + 1 - F.col("base")).alias("depth"), (F.col("direct_reads") - F.col("upto")).alias("clade"), F.when(F.col("before") + i + 1 == depth, F.col("own")).otherwise(zero).alias("own")),
+    )
+    closed = F.transform(
+        F.slice("lineage", F.col("after") + 1, depth),
+        lambda n: F.struct(n["id"].alias("id"), F.lit(None).cast("string").alias("rank"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("depth"), F.col("upto").alias("clade"), zero.alias("own")),
+    )
+    rolled = rows.select("sample", F.inline(F.concat(opened, closed))).groupBy("sample", F.col("id").alias("tax_id")).agg(
+        F.max("rank").alias("rank"), F.max("name").alias("name"), F.max("depth").alias("depth"), F.sum("clade").alias("clade_reads"), F.sum("own").alias("direct_reads"),
     )
     total = F.sum("direct_reads").over(W.partitionBy("sample"))
     return rolled.withColumn("pct", F.round(percent(F.col("clade_reads"), total), 4))
