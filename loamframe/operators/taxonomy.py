@@ -27,20 +27,22 @@ def taxonomy_paths(nodes: DataFrame, levels: int) -> DataFrame:
 
     The root has a null parent.  Pointers double: in each round every node takes over
     the way up that the node at the top of its own has found, so ``levels`` are
-    climbed in log2(``levels``) joins.  Rounds of trees deeper than four levels are
-    cut by checkpoints, as each plan holds the one before twice.  Nodes that do not
-    reach the root within ``levels`` are left out, also those on a cycle.
+    climbed in log2(``levels``) joins.  Each plan would hold the one before twice, so
+    rounds are cut by checkpoints; up to four levels, where there is little to save,
+    nodes climb one level a join in one plan.  Nodes that do not reach the root within
+    ``levels`` are left out, also those on a cycle.
     """
+    deep = levels > 4
     own = F.struct(F.col("tax_id").alias("id"), "rank", "name")
-    out = nodes.withColumn("lineage", F.array(own)).withColumn("_top", F.col("parent_id"))
-    for _ in range((levels - 1).bit_length()):
-        above = out.select(F.col("tax_id").alias("_at"), F.col("lineage").alias("_above"), F.col("_top").alias("_next"))
+    first = out = nodes.withColumn("lineage", F.array(own)).withColumn("_top", F.col("parent_id"))
+    for _ in range((levels - 1).bit_length() if deep else levels - 1):
+        above = (out if deep else first).select(F.col("tax_id").alias("_at"), F.col("lineage").alias("_above"), F.col("_top").alias("_next"))
         # nodes that have arrived look for themselves, in vain, so that they do not meet in one task
         up = out.join(above, (F.coalesce("_top", "tax_id") == F.col("_at")) & F.col("_top").isNotNull(), "left")
         # an id without a node ends the climb short of the root
         met = F.col("_at").isNotNull()
         out = up.select(*nodes.columns, F.when(met, F.concat("_above", "lineage")).otherwise(F.col("lineage")).alias("lineage"), F.when(met, F.col("_next")).otherwise(F.col("_top")).alias("_top"))
-        out = _cut(out) if levels > 4 else out
+        out = _cut(out) if deep else out
     depth = F.size("lineage")
     return out.where(F.col("_top").isNull() & (depth <= levels)).select(*nodes.columns, "lineage", F.col("lineage.id").alias("path"), depth.alias("depth"))
 
