@@ -85,8 +85,10 @@ def decontaminate(report: DataFrame, contaminants: DataFrame, levels: int = 40)
 def report_lines(report: DataFrame, places: int = 2) -> DataFrame:
     """``sample``, ``line_no``, ``value``: report text, the percentage six wide, lines without reads left out."""
     indent = F.expr("repeat('  ', depth)")
-    pct = F.lpad(F.format_string(f"%.{places}f", F.col("pct").cast("double")), 6, " ")
-    long = F.format_string(f"%.{places}f", F.col("pct").cast("double"))
+    # rounds the number as stored, to even where it is a tie, as C's printf does; format_string rounds its shortest decimals up
+    pattern = "0." + "0" * places if places else "0"
+    long = F.coalesce(F.expr(f"format_number(cast(pct AS double), '{pattern}')"), F.lit("null"))
+    pct = F.lpad(long, 6, " ")
     line = F.concat_ws("\t", F.when(F.length(long) > 6, long).otherwise(pct), F.col("clade_reads").cast("string"), F.col("direct_reads").cast("string"), "rank_code", F.col("tax_id").cast("string"), F.concat(indent, "name"))
     return report.where("clade_reads > 0 or rank_code = 'U'").select("sample", "line_no", line.alias("value"))
 
