@@ -135,28 +135,31 @@ def pca_scores(spark: SparkSession, d: str) -> DataFrame:
     return M.principal_components(M.sample_gram(counts, X.sample_count(counts), scale=True))[0]
 
 
-def _design(spark: SparkSession, d: str) -> M.Design:
-    return M.design(R._groups(spark, d), "group", "ASIA")
+def _design(spark: SparkSession, d: str, counts: DataFrame) -> M.Design:
+    """A design over the samples that have counts."""
+    return M.design(R._groups(spark, d).join(counts.select("sample").distinct(), "sample", "left_semi"), "group", "ASIA")
 
 
 def linear_model_coef(spark: SparkSession, d: str) -> DataFrame:
-    values = M.filled(_sparse(spark, d)).select("gene", "sample", F.col("n").alias("v"))
-    return _rounded(M.linear_coefficients(values, _design(spark, d)), "beta", "mean", "s2").select("gene", "coef", "beta", "mean", "s2", "df")
+    counts = _sparse(spark, d)
+    values = counts.select("gene", "sample", F.col("n").alias("v"))
+    return _rounded(M.linear_coefficients(values, _design(spark, d, counts)), "beta", "mean", "s2").select("gene", "coef", "beta", "mean", "s2", "df")
 
 
 def dge_linear(spark: SparkSession, d: str) -> DataFrame:
-    made = _design(spark, d)
-    return M.moderated(M.weighted_coefficients(M.voom_weights(_sparse(spark, d), made), made), made)
+    counts = _sparse(spark, d)
+    made = _design(spark, d, counts)
+    return M.moderated(M.voom_coefficients(counts, made), made)
 
 
 def dge_negative_binomial(spark: SparkSession, d: str) -> DataFrame:
     counts = R._counts(spark, d)
-    return M.negative_binomial(counts, _design(spark, d), X.size_factors(counts))
+    return M.negative_binomial(counts, _design(spark, d, counts), X.size_factors(counts))
 
 
 def dge_quasi_likelihood(spark: SparkSession, d: str) -> DataFrame:
     counts = R._counts(spark, d)
-    return M.negative_binomial(counts, _design(spark, d), X.size_factors(counts), quasi=True)
+    return M.negative_binomial(counts, _design(spark, d, counts), X.size_factors(counts), quasi=True)
 
 
 def batch_adjusted(spark: SparkSession, d: str) -> DataFrame:

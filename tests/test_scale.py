@@ -1,7 +1,12 @@
 """Results that change, or stop being whole, only on larger tables than the samples."""
 
+import itertools
 
+import numpy as np
+import pytest
+from loamframe.operators import models as M
 from loamframe.operators import reports as P
+from pyspark.sql import functions as F
 
 
 def test_report_lines_round_as_printf_does(spark):
@@ -10,3 +15,52 @@ def test_report_lines_round_as_printf_does(spark):
     report = spark.createDataFrame([("s", i, x, 1, 1, "S", str(i), "n", 0) for i, x in enumerate(values)], "sample string, line_no int, pct double, clade_reads long, direct_reads long, rank_code string, tax_id string, name string, depth int")
     got = [r.value.split("\t")[0] for r in P.report_lines(report).orderBy("line_no").collect()]
     assert got == [f"{x:6.2f}" for x in values]
+
+
+def sparse(spark, genes=30, samples=24, seed=5):
+    """Counts with three of four cells missing, and samples of three groups."""
+    rng = np.random.default_rng(seed)
+    m = rng.poisson(9, size=(genes, samples)) * (rng.random((genes, samples)) < 0.25)
+    m[:, 0] += 1  # no sample or gene without counts
+    m[0] += 1
+    rows = [(i, j, float(m[i, j])) for i in range(genes) for j in range(samples) if m[i, j]]
+    meta = [(j, "abc"[j % 3], float(j % 7)) for j in range(samples)]
+    return m.astype(float), spark.createDataFrame(rows, "gene long, sample long, n double"), spark.createDataFrame(meta, "sample long, group string, age double")
+
+
+@pytest.mark.parametrize("covariates", [(), ("age",)])
+def test_models_read_only_cells_that_exist(spark, covariates):
+    m, counts, meta = sparse(spark)
+    made = M.design(meta, "group", "a", covariates)
+    values = counts.select("gene", "sample", F.col("n").alias("v"))
+    fit = M.linear_coefficients(values, made)
+    got = {(r.gene, r.coef): r for r in fit.collect()}
+    beta = np.linalg.lstsq(made.x, m.T, rcond=None)[0]
+    s2 = ((m.T - made.x @ beta) ** 2).sum(axis=0) / (24 - len(made.names))
+    assert len(got) == 30 * len(made.names)
+    for i, (j, c) in itertools.product(range(30), enumerate(made.names)):
+        r = got[i, c]
+        assert (r.beta, r.s2, r.mean) == pytest.approx((beta[j, i], s2[i], m[i].mean()))
+    # the same from cells filled up, and from the sums over kinds of samples
+    cells = M.weighted_coefficients(M.voom_weights(counts, made), made)
+    want = {(r.gene, r.coef): r for r in cells.collect()}
+    sums = {(r.gene, r.coef): r for r in M.voom_coefficients(counts, made).collect()}
+    assert set(sums) == set(want)
+    for k, r in want.items():
+        assert (sums[k].beta, sums[k].s2, sums[k].mean, sums[k].df) == pytest.approx((r.beta, r.s2, r.mean, r.df), rel=1e-7)
+    assert "Generate" not in _plan(M.voom_coefficients(counts, made))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_negative_binomial_of_missing_cells(spark):
+    """Missing cells are zeros, and no expression is made for each sample."""
+    m, counts, meta = sparse(spark)
+    made = M.design(meta, "group", "a")
+    factors = spark.createDataFrame([(j, 1.0 + j / 50) for j in range(24)], "sample long, size_factor double")
+    full = spark.createDataFrame([(i, j, float(m[i, j])) for i in range(30) for j in range(24)], "gene long, sample long, n double")
+    a, b = ({r.gene: r for r in M.negative_binomial(c, made, factors).collect()} for c in (counts, full))
+    assert len(a) == 30 and all((a[g].mean, a[g].estimate, a[g].stat) == pytest.approx((b[g].mean, b[g].estimate, b[g].stat)) for g in a)
+    assert _plan(M.negative_binomial(counts, made, factors)).lower().count("element_at") == 0
