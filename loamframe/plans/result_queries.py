@@ -132,7 +132,7 @@ def pca_gram(spark: SparkSession, d: str) -> DataFrame:
 
 def pca_scores(spark: SparkSession, d: str) -> DataFrame:
     counts = R._counts(spark, d).withColumn("v", F.log2(F.col("n") + 1))
-    return M.principal_components(M.sample_gram(counts, X.sample_count(counts), scale=True))[0]
+    return M.component_scores(counts, X.sample_count(counts), scale=True)
 
 
 def _design(spark: SparkSession, d: str, counts: DataFrame) -> M.Design:
