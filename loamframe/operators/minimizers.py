@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -20,7 +21,7 @@ _CODE = np.zeros(256, np.uint64)
 for _i, _pair in enumerate(("Aa", "Cc", "Gg", "Tt")):
     _CODE[[ord(c) for c in _pair]] = _i
 #: Letters of a batch that are worked on at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 def _joined(codes: np.ndarray, l: int, forward: bool) -> np.ndarray:
@@ -80,10 +81,11 @@ def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
 def _runs(k: int, l: int, toggle: int, spaced: int, length: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(s or "")[:length].encode("latin-1", "replace") for s in batch.column(1).to_pylist()]
-            sizes = np.array([len(r) for r in rows], np.int64)
+            seq = pc.fill_null(batch.column(1), "")
+            sizes = np.minimum(pc.utf8_length(seq).to_numpy(zero_copy_only=False).astype(np.int64), 1 << 62 if length is None else length)
             for i, j in _slices(sizes):
-                found = minimizers_of(_CODE[np.frombuffer(b"".join(rows[i:j]), np.uint8)], k, l, toggle, spaced)
+                rows = [s[:length].encode("latin-1", "replace") for s in seq.slice(i, j - i).to_pylist()]
+                found = minimizers_of(_CODE[np.frombuffer(b"".join(rows), np.uint8)], k, l, toggle, spaced)
                 row = np.repeat(np.arange(i, j), sizes[i:j])[: len(found)]
                 first = np.cumsum(sizes[i:j]) - sizes[i:j]
                 pos = np.arange(len(found)) - first[row - i]
@@ -111,7 +113,8 @@ def minimizer_runs(reads: DataFrame, key: str, k: int = 35, l: int = 31, toggle:
         raise ValueError("l-mers have 1 to 31 letters, and no more than windows")
     kind = reads.select(key).schema.fields[0]
     schema = StructType([kind, StructField("pos", IntegerType()), StructField("times", IntegerType()), StructField("minimizer", LongType())])
-    return reads.select(key, "seq").mapInArrow(_runs(k, l, toggle, spaced, length), schema)
+    seq = F.col("seq") if length is None else F.substring("seq", 1, length)  # what does not count stays out of Python
+    return reads.select(key, seq.alias("seq")).mapInArrow(_runs(k, l, toggle, spaced, length), schema)
 
 
 def write_index(index: DataFrame, table: str, buckets: int | None = None) -> None:
