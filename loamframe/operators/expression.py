@@ -119,7 +119,8 @@ def group_stats(counts: DataFrame, groups: DataFrame) -> DataFrame:
     ``groups``: ``sample``, ``group``.  A gene without any read in a group has no row there.
     """
     sizes = groups.groupBy("group").agg(F.count_distinct("sample").alias("k"))
-    rows = counts.join(groups, "sample").join(sizes, "group")
+    # samples are few; cells stay where they are, by gene if they lie so
+    rows = counts.join(F.broadcast(groups), "sample").join(F.broadcast(sizes), "group")
     mean, var = _full("n", F.count("n"), F.max("k"))
     return rows.groupBy("gene", "group").agg(mean.alias("mean"), var.alias("var"), F.max("k").alias("k"))
 
