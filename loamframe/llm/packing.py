@@ -25,12 +25,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loamframe.llm.chunks import encoder
-from loamframe.llm.shared import materialise, text_or_empty
+from loamframe.llm.shared import give_back, materialise, settings, text_or_empty
 
 #: Tokens to a bin: a piece is planned as if rounded up to a multiple of this.
 UNIT = 8
 #: Pieces ranked together by one task, about.
 RANK_GROUP = 20_000
+#: Documents that a task reads at once.
+BATCH = "500"
 #: Stop when the linear program is proved this close to its optimum.
 GAP = 1e-3
 
@@ -140,6 +142,7 @@ def cut_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int,
     schema = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, row_key long" + ", ids array<int>" * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what the worker's tasks before have left
         enc = encoder(vocabulary, special)
         end = np.array([end_id], enc.dtype).tobytes()
         for b in batches:
@@ -172,7 +175,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
     """
     spark = docs.sparkSession
     unit = UNIT if capacity % UNIT == 0 else 1
-    pieces = materialise(cut_documents(docs, vocabulary, end_id, capacity, keep_ids, special), "pieces")
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH}):
+        pieces = materialise(cut_documents(docs, vocabulary, end_id, capacity, keep_ids, special), "pieces")
     bin_of = F.floor((F.col("length") - 1) / unit).cast("int")
     histogram = pieces.groupBy(bin_of.alias("bin")).count().collect()
     demand = np.zeros(capacity // unit, np.int64)

@@ -96,3 +96,42 @@ def test_components_from_the_smaller_side(spark):
         assert len(rows) == shape[1] * min(10, shape[1]) and got.schema["component"].dataType.simpleString() == "int"
         for c in range(3):
             assert np.abs([rows[j, c + 1] for j in range(shape[1])]) == pytest.approx(np.abs(u[:, c] * d[c]), abs=1e-6)
+
+
+def test_packing_takes_few_documents_at_a_time(spark, monkeypatch):
+    import public_tokenizers
+    from loamframe.llm import packing
+
+    seen = []
+
+    def spy(df, name):
+        seen.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        return df
+
+    monkeypatch.setattr(packing, "materialise", spy)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string")
+    assert packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2).count() == 2
+    assert [int(x) <= 500 for x in seen] == [True] and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_groups_are_summed_where_cells_lie(spark):
+    """Rows move once, to their genes; samples' groups come to them."""
+    from loamframe.plans import result_queries as Q
+
+    plan = Q.group_means(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(gene") == 1 and "SortMergeJoin" not in plan
+
+
+def test_letters_that_do_not_count_stay_out_of_python(spark):
+    from loamframe.operators import minimizers as K
+
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("ACGT"), n)) for n in (5, 300, 256, 40_000)] + [None, "é" * 30]
+    reads = spark.createDataFrame(list(enumerate(texts)), "read_id long, seq string")
+    runs = K.minimizer_runs(reads, "read_id", 15, 11)
+    assert "substring(seq" in _plan(runs)
+    got = {r.read_id: r.n for r in runs.groupBy("read_id").agg(F.sum("times").alias("n")).collect()}
+    assert got == {1: 242, 2: 242, 3: 242, 5: 16}
+    whole = K.minimizer_runs(reads, "read_id", 15, 11, length=None).where("read_id = 3").agg(F.sum("times")).first()[0]
+    assert whole == 40_000 - 14
