@@ -1,125 +1,120 @@
 """How sources of a language differ in the words they use, by chunk factorisation.
 
-Texts are cut at blanks; a chunk is what stands between.  Scan blocks count chunks of
-their documents and send each distinct one once for every language and source.  Every
-distinct chunk of the whole corpus is then taken apart into terms once, and its terms
-are joined back to its counts.  Terms never cross a blank, so nothing is lost.
-
-Whether three documents of a language hold a term is decided without their lists: a
-chunk that three documents hold decides by itself, and one that fewer hold is known by
-its first and last document.
+Texts are cut at spaces; a chunk is what stands between.  Scan blocks number the
+distinct chunks of their documents and take each of them apart into terms once; what
+chunks count for is then summed by their terms, and each term is sent once for every
+language and source of a block.  Terms never cross a space, so nothing is lost.
+
+A document is in one block only, so the documents that have a term add up over blocks.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loamframe.llm.shared import discard, give_back, materialise, partitions, settings
+from loamframe.llm.shared import give_back, materialise, partitions, settings
 
-#: Letters of ASCII and everything beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Chunks that a scan block holds before it sends them on.
-HELD = 1_500_000
-COUNTS = "lang string, source string, chunk string, n long, docs long, low long, high long"
-#: Documents that must have a term; a chunk that fewer have is known by its first and last document.
+#: What each byte of a chunk becomes: A-Z lower-cased, other ASCII but letters a space, bytes beyond ASCII kept.
+TERM_BYTES = bytes(c | 32 if chr(c).isalpha() and c < 128 else c if c > 127 else 32 for c in range(256))
+#: Bytes of text that a scan block holds before it sends its terms on.
+HELD = 32_000_000
+COUNTS = "lang string, source string, term string, n long, docs long"
+#: Documents that must have a term.
 LEAST = 3
 
 
-class Block:
-    """Chunk counts of one language and source in a scan block, with the first and last document of each."""
-
-    def __init__(self) -> None:
-        self.n: Counter[bytes] = Counter({b"": 0})  # the group occurs, though it may have no words
-        self.docs: Counter[bytes] = Counter()
-        self.low: dict[bytes, int] = {b"": 0}
-        self.high: dict[bytes, int] = {b"": 0}
-
-    def add(self, rid: int, chunks: list[bytes]) -> None:
-        own = set(chunks)
-        self.n.update(chunks)
-        self.docs.update(own)
-        self.low.update(dict.fromkeys(own.difference(self.low), rid))
-        self.high.update(dict.fromkeys(own, rid))
-
-    def rows(self, lang: str, source: str) -> pa.RecordBatch:
-        chunks = list(self.n)
-        numbers = [pa.array(list(map(x.__getitem__, chunks)), pa.int64()) for x in (self.n, self.docs, self.low, self.high)]
-        columns = [pa.repeat(lang, len(chunks)), pa.repeat(source, len(chunks)), pa.array(chunks, pa.binary()).cast(pa.string()), *numbers]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "n", "docs", "low", "high"])
+def _terms_of(chunks: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    """(distinct terms, number of terms of each chunk, numbers of all chunks' terms one after another)."""
+    _, ends, data = chunks.buffers()
+    lowered = pa.py_buffer((data.to_pybytes() if data is not None else b"").translate(TERM_BYTES))
+    cut = pc.split_pattern(pa.StringArray.from_buffers(len(chunks), ends, lowered, offset=chunks.offset), " ")
+    pieces = pc.list_flatten(cut)
+    real = pc.greater(pc.binary_length(pieces), 0)
+    coded = pieces.filter(real).dictionary_encode()
+    # a term that a chunk has twice is there twice, and so counts twice
+    each = np.bincount(pc.list_parent_indices(cut).filter(real).to_numpy(), minlength=len(chunks))
+    return coded.dictionary, each, coded.indices.to_numpy().astype(np.int64)
+
+
+def _block(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms of a block for every language and source, and an empty term for each of these."""
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    langs, sources = (rows[c].combine_chunks().dictionary_encode() for c in ("lang", "source"))
+    group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
+    order = np.argsort(group, kind="stable")  # documents of a group follow each other
+    groups, group = np.unique(group[order], return_inverse=True)
+    cut = pc.split_pattern(rows["text"].combine_chunks().take(pa.array(order)), " ")
+    docs = len(group)
+    del rows, order
+    doc = pc.list_parent_indices(cut).to_numpy()
+    coded = pc.list_flatten(cut).dictionary_encode()
+    del cut
+    terms, each, numbers = _terms_of(coded.dictionary)
+    chunk = coded.indices.to_numpy()
+    del coded
+    first, many = np.cumsum(each) - each, each[chunk]
+    key = np.repeat(first[chunk] - (np.cumsum(many) - many), many)
+    key += np.arange(len(key))  # of each occurrence, the place of its term in numbers
+    key = numbers[key]
+    key *= docs
+    key += np.repeat(doc, many)
+    del chunk, doc, many
+    key.sort()
+    new_doc = np.ones(len(key), bool)
+    new_doc[1:] = key[1:] != key[:-1]
+    at = np.flatnonzero(new_doc)
+    term, own = np.divmod(key[at], docs)
+    own = group[own]
+    new_row = np.ones(len(at), bool)
+    new_row[1:] = (term[1:] != term[:-1]) | (own[1:] != own[:-1])
+    start = np.flatnonzero(new_row)
+    n, having = np.diff(at[start], append=len(key)), np.diff(start, append=len(at))
+    term, own = term[start], own[start]
+    del key, new_doc, at, new_row
+    # groups occur, though they may have no terms
+    text = pa.concat_arrays([terms.take(pa.array(term)), pa.array([""] * len(groups), pa.string())])
+    own = np.concatenate([own, np.arange(len(groups))])
+    n, having = (np.concatenate([x, np.zeros(len(groups), np.int64)]) for x in (n, having))
+    names = (d.dictionary.take(pa.array(i[own])) for d, i in zip((langs, sources), np.divmod(groups, max(1, len(sources.dictionary))), strict=True))
+    out = pa.RecordBatch.from_arrays([*names, text, pa.array(n, pa.int64()), pa.array(having, pa.int64())], ["lang", "source", "term", "n", "docs"])
+    for i in range(0, out.num_rows, 20_000):
+        yield out.slice(i, 20_000)
 
 
 def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, str], Block] = {}
-
-    def sent() -> Iterator[pa.RecordBatch]:
-        while held:
-            group, block = held.popitem()
-            rows = block.rows(*group)
-            for i in range(0, rows.num_rows, 20_000):
-                yield rows.slice(i, 20_000)
-
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("rid", "lang", "source", "text"))
-        for rid, lang, source, text in zip(*columns, strict=True):
-            block = held.get((lang, source))
-            if block is None:
-                block = held[lang, source] = Block()
-            block.add(rid, text.encode().split())
-        if sum(len(b.n) for b in held.values()) > HELD:
-            yield from sent()
-    yield from sent()
+        held.append(batch)
+        size += batch.nbytes
+        if size > HELD:
+            yield from _block(held)
+            held, size = [], 0
+    if sum(b.num_rows for b in held):
+        yield from _block(held)
     give_back()
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
-    """``lang``, ``source``, ``chunk``, ``n`` occurrences, ``docs`` and the first and last of them (``low``, ``high``).
-
-    Every group has the empty chunk too, which never occurs.
-    """
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), text("lang"), text("source"), text("text"))
-    dealt = rows.mapInArrow(_count_blocks, COUNTS).repartition(partitions(docs.sparkSession), "chunk")
-    return dealt.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high"))
-
-
 def term_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(``lang``, ``source``, ``term``, ``n`` of the terms that :data:`LEAST` documents have; ``lang`` and ``source`` of all groups).
+    """(``lang``, ``source``, ``term``, ``n`` of the terms that :data:`LEAST` documents of the language have; ``lang`` and ``source`` of all groups).
 
-    Documents of two sources differ, and a chunk of one or two documents has no others
-    than its first and last.  So the least and greatest of these decide about all terms
-    but those of one source with three rare chunks or more that seem to lie in the same
-    two documents; only these, if there are any, are counted one by one.
+    ``whole`` is the language's ``n`` of a term, ``leads`` is 1 in one row of each of its terms.
     """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    whole = W.partitionBy("lang", "term")
     with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}):
-        counted = materialise(chunk_counts(docs), "chunks")
-    lowered = F.transform(F.regexp_extract_all("chunk", F.lit(TERM), 0), lambda t: F.translate(t, UPPER, LOWER))
-    # a term that a chunk has twice is there twice, and so counts twice
-    terms = counted.select("chunk").distinct().select("chunk", F.explode(lowered).alias("term"))
-    joined = counted.join(terms, "chunk")
-    ends = [f(c).alias(f"{name}_{c}") for name, f in (("least", F.min), ("most", F.max)) for c in ("low", "high")]
-    each = joined.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("chunks"), F.max(F.col("docs") >= LEAST).alias("sure"), *ends)
-    seen = F.size(F.array_distinct(F.array("least_low", "most_low", "least_high", "most_high")))
-    each = materialise(each.select("lang", "source", "term", "n", "sure", seen.alias("seen"), ((F.col("chunks") > 2) & (seen == 2)).alias("hides")), "terms")
-    judged = each.groupBy("lang", "term").agg(F.max("sure").alias("sure"), F.sum("seen").alias("seen"), F.max("hides").alias("hides"))
-    judged = judged.where(F.col("sure") | (F.col("seen") >= LEAST) | F.col("hides"))
-    judged = materialise(judged.select("lang", "term", (F.col("sure") | (F.col("seen") >= LEAST)).alias("kept")), "judged")
-    keep = judged.where("kept").select("lang", "term")
-    hidden = materialise(judged.where("not kept").select("lang", "term"), "hidden")  # few, and Spark sees how few
-    if hidden.head(1):
-        rare = counted.where(F.col("docs") < LEAST).select("lang", "low", "high", F.explode(lowered).alias("term")).join(hidden, ["lang", "term"], "left_semi")
-        asked = rare.select("lang", "term", F.explode(F.array("low", "high")).alias("id")).distinct()
-        keep = keep.union(asked.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= LEAST).select("lang", "term"))
-    kept = materialise(each.join(keep, ["lang", "term"]).select("lang", "source", "term", "n"), "kept")
-    groups = materialise(counted.where("chunk = ''").select("lang", "source").distinct(), "groups")
-    discard(docs.sparkSession, counted, each, judged, hidden)
-    return kept, groups
+        dealt = docs.select(text("lang"), text("source"), text("text")).mapInArrow(_count_blocks, COUNTS).repartition(partitions(docs.sparkSession), "lang", "term")
+        each = dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        each = each.select("lang", "source", "term", "n", F.sum("n").over(whole).alias("whole"), (F.min("source").over(whole) == F.col("source")).cast("int").alias("leads"), F.sum("docs").over(whole).alias("docs"))
+        each = materialise(each.where((F.col("docs") >= LEAST) | (F.col("term") == "")).drop("docs"), "terms")
+    return each.where("term <> ''"), each.where("term = ''").select("lang", "source")
 
 
 SCALE = 1_000_000_000
@@ -179,14 +174,13 @@ def source_divergence(docs: DataFrame, ranks: int = 200) -> DataFrame:
     ``doc_id`` too, are ignored.
     """
     kept, groups = term_counts(docs)
-    whole = kept.groupBy("lang", "term").agg(F.sum("n").alias("n"))
-    vocabulary = whole.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary"), F.sum("n").alias("all"))
-    held = kept.groupBy("lang", "source").agg(F.sum("n").alias("own"), F.count(F.lit(1)).alias("terms"))
-    sizes = groups.join(held, ["lang", "source"], "left").join(vocabulary, "lang", "left").fillna(0)
+    held = kept.groupBy("lang", "source").agg(F.sum("n").alias("own"), F.count(F.lit(1)).alias("terms"), F.sum("leads").alias("leads"))
+    vocabulary = held.groupBy("lang").agg(F.sum("leads").alias("vocabulary"), F.sum("own").alias("all"))
+    sizes = groups.join(held.drop("leads"), ["lang", "source"], "left").join(vocabulary, "lang", "left").fillna(0)
     sizes = materialise(sizes.withColumn("total", F.expr("own + vocabulary")).withColumn("p0", _p("0", "total")), "sizes")
-    rows = kept.join(sizes.select("lang", "source", "total", "p0"), ["lang", "source"]).withColumn("p", _p("n", "total"))
-    share = whole.join(sizes.groupBy("lang").agg(F.max(F.expr("`all` + vocabulary")).alias("total")), "lang").select("lang", "term", _p("n", "total").alias("q"))
-    out = rows.join(share, ["lang", "term"]).where("p > q").select("lang", "source", F.col("term").alias("item"), _f("p", "q").alias("value"))
+    rows = kept.join(sizes.select("lang", "source", "total", "p0", F.expr("`all` + vocabulary").alias("of_all")), ["lang", "source"])
+    rows = rows.select("lang", "source", "term", _p("n", "total").alias("p"), "p0", _p("whole", "of_all").alias("q"))
+    out = rows.where("p > q").select("lang", "source", F.col("term").alias("item"), _f("p", "q").alias("value"))
     parts = [(F.lit("pair"), _ranked(_pairs(rows, sizes))), (F.lit("term"), _ranked(out).where(F.col("rank") <= ranks))]
     pair, term = (x.select("lang", "source", name.alias("part"), "item", "value", "rank") for name, x in parts)
     return pair.unionAll(term)

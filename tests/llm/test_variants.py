@@ -193,3 +193,24 @@ def test_a_third_document_behind_rare_chunks(spark, tmp_path):
 
     kept, _ = term_counts(spark.read.parquet(f"{tmp_path}/documents.parquet"))
     assert {(r.term, r.n) for r in kept.collect()} == {("hid", 7)}
+
+
+def test_a_block_sends_each_term_once(monkeypatch):
+    """Chunks of one term are one row, with the documents that have it; documents add up over blocks."""
+    import pyarrow as pa
+    from loamframe.llm import divergence
+
+    texts = [("en", "a", "Foo, foo. (foo) bar\nfoo\u00a0x"), ("en", "b", "FOO! 12 foo"), ("en", "a", "foo-foo \x00"), ("", "", ""), ("fr", "a", "foo")]
+    batches = [pa.RecordBatch.from_pydict(dict(zip(("lang", "source", "text"), ([v] for v in row), strict=True))) for row in texts]
+    want = {("en", "a", "foo"): (5, 2), ("en", "a", "foo\u00a0x"): (1, 1), ("en", "a", "bar"): (1, 1), ("en", "b", "foo"): (2, 1), ("fr", "a", "foo"): (1, 1)}
+    empty = {(lang, source, ""): (0, 0) for lang, source, _ in texts}
+    for held in (10_000_000, 0):
+        monkeypatch.setattr(divergence, "HELD", held)
+        rows = [tuple(r.values()) for b in divergence._count_blocks(iter(batches)) for r in b.to_pylist()]
+        if held:
+            assert len(rows) == len(want) + len(empty)
+        got = {}
+        for *key, n, docs in rows:
+            a, b = got.get(tuple(key), (0, 0))
+            got[tuple(key)] = (a + n, b + docs)
+        assert got == want | empty
