@@ -75,7 +75,8 @@ def count_spliced(alignments: DataFrame, exons: DataFrame, least: int = 1, width
 
     ``alignments``: ``read``, ``contig``, ``start``, ``cigar``; ``exons`` as in
     :func:`count_features`.  What a read passes over, an intron, counts for nothing.
-    Rows with one ``read`` are parts or mates of it.
+    Rows with one ``read`` are parts or mates of it.  What blocks share with exons moves
+    once, to its read; exons, far fewer than blocks, are hashed where the two meet.
     """
     strand = ["strand"] * stranded
     held = merged_exons(exons, stranded)
@@ -84,7 +85,8 @@ def count_spliced(alignments: DataFrame, exons: DataFrame, least: int = 1, width
     cut = alignments.select("read", "contig", *strand, F.inline(blocks(F.col("start"), F.col("cigar"))))
     a = cut.select("read", "contig", *strand, "start", "end", bins)
     e = held.select("gene", "contig", *strand, F.col("start").alias("first"), F.col("end").alias("last"), bins)
-    met = a.join(e, ["contig", "bin", *strand]).where("start <= last AND first <= end").where(F.col("bin") == F.floor(F.greatest("start", "first") / width))
-    shared = met.groupBy("read", "gene").agg(F.sum(F.least("end", "last") - F.greatest("start", "first") + 1).alias("letters")).where(F.col("letters") >= least)
+    met = a.join(e.hint("shuffle_hash"), ["contig", "bin", *strand]).where("start <= last AND first <= end").where(F.col("bin") == F.floor(F.greatest("start", "first") / width))
+    letters = (F.least("end", "last") - F.greatest("start", "first") + 1).alias("letters")
+    shared = met.select("read", "gene", letters).repartition("read").groupBy("read", "gene").agg(F.sum("letters").alias("letters")).where(F.col("letters") >= least)
     genes = shared.groupBy("read").agg(F.min("gene").alias("gene"), F.max("gene").alias("other"))
     return genes.where("gene = other").groupBy("gene").agg(F.count(F.lit(1)).alias("n"))

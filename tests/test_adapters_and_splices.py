@@ -1,6 +1,7 @@
 """Adapter search with edits against plain dynamic programs, spliced alignments, shares of ancestors."""
 
 import random
+import re
 
 import pytest
 from loamframe.operators import intervals as I
@@ -77,6 +78,17 @@ def test_introns_count_for_nothing(spark):
     assert [(r.start, r.end) for r in I.merged_exons(exons).where("gene = 'a'").orderBy("start").collect()] == [(1, 120), (900, 1000)]
 
 
+def test_what_blocks_share_moves_once(spark):
+    """Letters of mates add up, and rows go to their read in a single exchange."""
+    exons = spark.createDataFrame([("a", "c", 1, 100), ("b", "c", 300, 400), ("a", "d", 1, 50)], "gene string, contig string, start long, end long")
+    reads = [("mates", "c", 98, "3M"), ("mates", "d", 49, "9M"), ("two", "c", 90, "10M"), ("two", "c", 395, "6M"), ("short", "c", 300, "4M"), (None, "c", 1, "5M")]
+    table = spark.createDataFrame(reads, "read string, contig string, start long, cigar string")
+    counted = I.count_spliced(table, exons, 5, 64)
+    assert {r.gene: r.n for r in counted.collect()} == {"a": 2}
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", I.count_spliced(table, exons, 5, 64)._jdf.queryExecution().executedPlan().toString())
+    assert sum("read#" in x for x in dealt) == 1, dealt
+
+
 def test_shares_follow_what_taxa_have_in_common(spark):
     shared, own, refs = sequences()
     paths = tree(spark)
