@@ -73,8 +73,8 @@ def classify(reads: DataFrame, index: DataFrame, paths: DataFrame, k: int = 35,
 
 
 def kmer_votes(reads: DataFrame, index: DataFrame, k: int = 35, l: int = 31, toggle: int = 0, spaced: int = 0) -> DataFrame:
-    """``read_id``, ``tax_id`` (null: not in the index) and ``kmers``, for a confidence threshold."""
-    found = M.minimizer_runs(reads, "read_id", k, l, toggle, spaced)
+    """``read_id``, ``tax_id`` (null: not in the index) and ``kmers`` of whole reads, for a confidence threshold."""
+    found = M.minimizer_runs(reads, "read_id", k, l, toggle, spaced, None)
     return found.join(index, "minimizer", "left").groupBy("read_id", "tax_id").agg(F.sum("times").alias("kmers"))
 
 

@@ -197,7 +197,7 @@ SELECT sample, tax_id, assigned, round(added, 4) AS added, round(assigned + adde
     "classify_sequences": f"{_CALLED} SELECT read_id, length, hit_count, tax_id FROM called",
     "indexed_classification": f"{_CALLED} SELECT read_id, length, hit_count, tax_id FROM called",
     "classification_text": f"{_CALLED} SELECT CASE WHEN tax_id IS NULL THEN 'U' ELSE 'C' END || chr(9) || read_id || chr(9) || coalesce(tax_id, 0) || chr(9) || length || chr(9) || CASE WHEN tax_id IS NULL THEN '0' ELSE '1' END AS value FROM called",
-    "kmer_support": f"WITH {_INDEX}, {_minimizers(_READS, K, LMER, TOGGLE)} SELECT id AS read_id, tax_id, count(*) AS kmers FROM mins LEFT JOIN idx USING (minimizer) GROUP BY 1, 2",
+    "kmer_support": f"WITH {_INDEX}, {_minimizers(_WHOLE, K, LMER, TOGGLE)} SELECT id AS read_id, tax_id, count(*) AS kmers FROM mins LEFT JOIN idx USING (minimizer) GROUP BY 1, 2",
     "screened_reads": f"""
 WITH kn AS (WITH {_minimizers(_REFS, 9, 9, 0)} SELECT DISTINCT minimizer FROM mins), {_minimizers(_WHOLE, 9, 9, 0)},
 c AS (SELECT id, count(kn.minimizer) / count(*) AS share FROM mins LEFT JOIN kn USING (minimizer) GROUP BY 1)

@@ -59,6 +59,23 @@ def test_index_classification_and_confidence(spark):
     assert sorted((r.read_id, r.matches) for r in R.screened(mates, references, 15).collect()) == [("p", True), ("p", True), ("q", False)]
 
 
+def test_votes_of_whole_reads(spark):
+    """Letters far behind the first 256 vote as well."""
+    rng = random.Random(7)
+    shared, own, refs = sequences()
+    index = R.build_index(spark.createDataFrame(refs, "tax_id int, seq string"), tree(spark), 15, 11)
+    fresh = "".join(rng.choice("ACGT") for _ in range(5000))
+    texts = {1: fresh + own[4], 2: fresh[:250] + own[5], 3: own[3]}
+    got = {}
+    for r in R.kmer_votes(spark.createDataFrame(list(texts.items()), "read_id int, seq string"), index, 15, 11).collect():
+        got.setdefault(r.read_id, {})[r.tax_id] = r.kmers
+    known = {r.minimizer: r.tax_id for r in index.collect()}
+    for i, text in texts.items():
+        votes = [known.get(min(brute_minimizers(text[p : p + 15], 15, 11, 0))) for p in range(len(text) - 14)]
+        assert got[i] == {t: votes.count(t) for t in set(votes)}
+    assert got[1][4] >= 106 and got[2][5] >= 106
+
+
 def brute_quality_cut(quals, least):
     total = best = cut = 0
     for i, q in enumerate(reversed(quals), 1):
