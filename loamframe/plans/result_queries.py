@@ -135,8 +135,9 @@ def largest_change(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pca_gram(spark: SparkSession, d: str) -> DataFrame:
-    counts = _sparse(spark, d).withColumn("v", F.log2(F.col("n") + 1))
-    return _rounded(M.sample_gram(counts, X.sample_count(counts)), "g", places=3)
+    values = _by_gene(spark, d).select("gene", "sample", F.log2(F.col("n") + 1).alias("v"))
+    samples = X.sample_count(R._table(spark, d, "lineitem").select(F.col("l_suppkey").alias("sample")))
+    return M.sample_gram(values, samples, places=3)
 
 
 def pca_scores(spark: SparkSession, d: str) -> DataFrame:

@@ -135,3 +135,37 @@ def test_letters_that_do_not_count_stay_out_of_python(spark):
     assert got == {1: 242, 2: 242, 3: 242, 5: 16}
     whole = K.minimizer_runs(reads, "read_id", 15, 11, length=None).where("read_id = 3").agg(F.sum("times")).first()[0]
     assert whole == 40_000 - 14
+
+
+def test_gram_rows_lie_by_their_numbers(spark):
+    """Of samples that share no gene, pairs with equal numbers lie together, so that files stay small; each pair is there once."""
+    rng = np.random.default_rng(6)
+    n = 400
+    values = spark.createDataFrame([(3 * j + i, j, float(rng.integers(1, 40))) for j in range(n) for i in range(3)], "gene long, sample long, v double")
+    t = M.sample_gram(values, n).withColumn("r", F.round("g", 1)).toPandas()
+    assert len(t) == n * n and len(t[["a", "b"]].drop_duplicates()) == n * n
+    assert (t["r"].diff() != 0).sum() < len(t) / 3
+
+
+def test_gram_moves_rows_once_to_their_genes(spark):
+    from loamframe.plans import result_queries as Q
+
+    plan = Q.pca_gram(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(gene") == 1 and "SortMergeJoin" not in plan and "round(" not in plan
+
+
+def test_gram_rounds_as_spark_does(spark):
+    rng = np.random.default_rng(8)
+    x = [*(rng.integers(-(10**7), 10**7, 3000) / 1e4), *rng.normal(0, 1e5, 3000), 0.0, -0.0004, -0.0005, 2.6745, 1.0005, 1e13 / 3, 1e22, float("inf")]
+    want = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, x double").orderBy("i").select(F.round("x", 3)).toPandas().iloc[:, 0].to_numpy()
+    assert M._half_up(np.array(x), 3).tolist() == want.tolist()
+
+
+def test_gram_of_missing_numbers_and_keys(spark):
+    """A number that is missing counts as a missing cell, a gene without a name for nothing; no rows give none."""
+    rows = [(1, 1, 2.0), (1, 2, None), (2, 2, 3.0), (2, 3, 5.0), (None, 1, 7.0)]
+    got = {(r.a, r.b): r.g for r in M.sample_gram(spark.createDataFrame(rows, "gene long, sample long, v double"), 3).collect()}
+    m = np.array([[2.0, 0, 0], [0, 3, 5]])
+    z = m - m.mean(axis=1, keepdims=True)
+    assert [got[a, b] for a in (1, 2, 3) for b in (1, 2, 3)] == pytest.approx((z.T @ z).ravel(), abs=1e-9)
+    assert M.sample_gram(spark.createDataFrame([], "gene long, sample long, v double"), 3).count() == 0
